@@ -463,7 +463,7 @@ sql("list_arrivals", f"""SELECT DISTINCT id_aeroport, {_LABEL} FROM zbor
     WHERE status = 'PROGRAMAT' AND id_aeroport_plecare = 6""")
 sql("list_flights", """SELECT id_zbor, numar_zbor || ' | ' || strftime(data_plecare, '%Y-%m-%d %H:%M') AS "label",
     CAST(pret_standard AS DOUBLE) pret_standard, model FROM zbor JOIN avion USING (id_avion)
-    WHERE status = 'PROGRAMAT' AND id_aeroport_plecare = 6 AND id_aeroport_sosire = 12""")
+    WHERE status = 'PROGRAMAT' AND id_aeroport_plecare = 0 AND id_aeroport_sosire = 3""")
 sql("latest_payments", """SELECT id_plata, id_rezervare, CAST(suma_achitata AS DOUBLE) suma_achitata, status
     FROM plata WHERE id_rezervare % 2 = 0 ORDER BY id_plata DESC LIMIT 20""")
 sql("booking_history", f"""SELECT {BOOKING_COLUMNS}, nume || ' ' || prenume client

@@ -839,7 +839,7 @@ def list_arrivals(t: Tables) -> DataFrame:
 
 @query
 def list_flights(t: Tables) -> DataFrame:
-    return rp.list_flights(t.catalog(), 6, 12)
+    return rp.list_flights(t.catalog(), 0, 3)
 
 
 @query

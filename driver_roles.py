@@ -8,46 +8,99 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sitefold.functions import instant, money
-from sitefold.sources.schema import FLIGHT_STATUS, USER_FRAGMENTS
+from sitefold.sources.schema import USER_FRAGMENTS
 from sitefold.sources.sites import SiteCatalog
 
 AS_OF = "2001-08-01 00:00:00"
 
-# Aircraft model and seat letter are read off a part's type and a line's number.
-MODELS = {
-    "ECONOMY": "Boeing 737-800",
-    "PROMO": "Airbus A320",
-    "SMALL": "ATR 72-600",
-    "STANDARD": "Boeing 737-700",
-    "LARGE": "Boeing 737 MAX 8",
-}
-LETTERS = ["A", "B", "C", "D", "E", "F", "G"]
-BOOKING_STATUS = {"F": "CONFIRMATA", "O": "IN_ASTEPTARE"}
-PAYMENT_STATUS = {"F": "ACCEPTATA", "O": "IN_PROCESARE"}
-REGION_SITE = {"AMERICA": "AM", "EUROPE": "EU"}
-
-
-def _map(column: str, values: dict[str, str], other: str) -> Column:
-    out = F.lit(other)
-    for key, value in values.items():
-        out = F.when(F.col(column) == key, value).otherwise(out)
-    return out
-
-
-def _days(n) -> Column:
-    return F.make_dt_interval(n)
-
-
-def _minutes(n) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), n)
-
-
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
+_SCHEMAS: dict[str, T.StructType] = {}
+
+# Projections of the driver tables, as Spark SQL expressions.
+TARA = [
+    "CAST(r_regionkey AS BIGINT) AS id_tara", "r_name AS nume_tara",
+    "upper(substring(r_name, 1, 2)) AS cod_iso_2",
+]
+ORAS = [
+    "CAST(n_nationkey AS BIGINT) AS id_oras", "CAST(n_regionkey AS BIGINT) AS id_tara",
+    "n_name AS nume_oras",
+]
+AEROPORT = [
+    "CAST(n_nationkey AS BIGINT) AS id_aeroport", "CAST(n_nationkey AS BIGINT) AS id_oras",
+    "'N' || lpad(CAST(n_nationkey AS STRING), 2, '0') AS cod_iata",
+    "n_name || ' Intl' AS nume_aeroport",
+]
+AVION = [
+    "p_partkey AS id_avion", "'YR-' || p_partkey AS numar_inmatriculare",
+    """CASE p_type WHEN 'ECONOMY' THEN 'Boeing 737-800' WHEN 'PROMO' THEN 'Airbus A320'
+        WHEN 'SMALL' THEN 'ATR 72-600' WHEN 'STANDARD' THEN 'Boeing 737-700'
+        WHEN 'LARGE' THEN 'Boeing 737 MAX 8' ELSE 'Other' END AS model""",
+    "CAST(p_size AS BIGINT) AS capacitate", "1940 + p_size AS an_fabricatie",
+]
+FLIGHT_TIMES = [
+    "*", "p_partkey % 4 AS late", "60 + p_partkey % 181 AS lasts",
+    """TIMESTAMP_NTZ '2001-07-01 00:00:00'
+        + make_dt_interval(CAST(p_partkey % 61 AS INT), p_size) AS leaves""",
+]
+FLIGHT_ENDS = [
+    "*", "leaves + make_dt_interval(0, 0, CAST(lasts AS INT)) AS arrives",
+    "make_dt_interval(0, 0, IF(late = 1, 30, 0)) AS delay",
+]
+ZBOR = [
+    "p_partkey AS id_zbor", "p_partkey AS id_avion", "p_partkey % 25 AS id_aeroport_plecare",
+    "CAST(p_size % 25 AS BIGINT) AS id_aeroport_sosire", "'F' || p_partkey AS numar_zbor",
+    "leaves AS data_plecare", "arrives AS data_sosire",
+    "IF(late <> 0, leaves + delay, NULL) AS data_plecare_efectiva",
+    "IF(late <> 0, arrives + delay, NULL) AS data_sosire_efectiva",
+    "lasts AS durata_estimata", "CAST(p_retailprice AS DECIMAL(10,2)) AS pret_standard",
+    """CASE p_partkey % 6 WHEN 0 THEN 'PROGRAMAT' WHEN 1 THEN 'ANULAT' WHEN 2 THEN 'INTARZIAT'
+        WHEN 3 THEN 'IMBARCAT' WHEN 4 THEN 'IN_ZBOR' ELSE 'ATERIZAT' END AS status""",
+]
+PASAGER = [
+    "c_custkey AS id_pasager", "c_name AS nume", "c_mktsegment AS prenume",
+    """TIMESTAMP_NTZ '1950-01-01 00:00:00'
+        + make_dt_interval(CAST(c_custkey % 20000 AS INT)) AS data_nasterii""",
+    "'XY' || c_custkey AS numar_document",
+    "'N' || lpad(CAST(c_nationkey AS STRING), 2, '0') AS nationalitate",
+]
+UTILIZATOR = [
+    "c_custkey AS id_user", "c_name AS nume", "c_mktsegment AS prenume",
+    """IF(c_acctbal < 0, lower(c_mktsegment),
+        lower(c_mktsegment) || c_custkey || '@example.com') AS email""",
+    "'pw' || c_custkey AS parola", "IF(c_acctbal >= 0, '07' || c_custkey, NULL) AS telefon",
+    """TIMESTAMP_NTZ '1995-01-01 00:00:00'
+        + make_dt_interval(CAST(c_custkey % 365 AS INT)) AS data_inregistrare""",
+    "IF(c_custkey % 10 = 0, 'ADMIN', 'CLIENT') AS rol",
+]
+PLATA = [
+    "o_orderkey AS id_plata", "o_orderkey AS id_rezervare",
+    "CAST(o_totalprice AS DECIMAL(10,2)) AS suma_achitata", "o_orderdate AS data_plata",
+    """CASE o_orderpriority WHEN '1-URGENT' THEN 'CARD' WHEN '2-HIGH' THEN 'TRANSFER_BANCAR'
+        ELSE 'CASH' END AS metoda_plata""",
+    """CASE o_orderstatus WHEN 'F' THEN 'ACCEPTATA' WHEN 'O' THEN 'IN_PROCESARE'
+        ELSE 'RAMBURSATA' END AS status""",
+]
+BILET = [
+    "l_orderkey * 16 + l_linenumber * 2 + l_orderkey % 2 AS id_bilet",
+    "l_orderkey AS id_rezervare", "l_partkey AS id_zbor", "l_suppkey AS id_pasager",
+    "CAST(l_quantity AS BIGINT) AS numar_rand",
+    "substring('ABCDEFG', l_linenumber, 1) AS litera_scaun",
+    "IF(l_returnflag = 'R', 'BUSINESS', 'ECONOMY') AS clasa",
+    "CAST(l_extendedprice AS DECIMAL(10,2)) AS pret_final",
+]
+
+
+def booking(region: str) -> list[str]:
+    """Bookings out of orders, with an expression for the region."""
+    return [
+        "o_orderkey AS id_rezervare", "o_custkey AS id_user", "o_orderdate AS data_rezervare",
+        f"{region} AS regiune_vanzare", "CAST(o_totalprice AS DECIMAL(10,2)) AS total_de_plata",
+        """CASE o_orderstatus WHEN 'F' THEN 'CONFIRMATA' WHEN 'O' THEN 'IN_ASTEPTARE'
+            ELSE 'ANULATA' END AS status""",
+    ]
 
 
 class Tables:
@@ -57,142 +110,49 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table; its schema is inferred from the file once per process."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def tara(self) -> DataFrame:
-        return self.raw("region").select(
-            F.col("r_regionkey").cast("bigint").alias("id_tara"),
-            F.col("r_name").alias("nume_tara"),
-            F.upper(F.substring("r_name", 1, 2)).alias("cod_iso_2"),
-        )
+        return self.raw("region").selectExpr(*TARA)
 
     def oras(self) -> DataFrame:
-        return self.raw("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("id_oras"),
-            F.col("n_regionkey").cast("bigint").alias("id_tara"),
-            F.col("n_name").alias("nume_oras"),
-        )
+        return self.raw("nation").selectExpr(*ORAS)
 
     def aeroport(self) -> DataFrame:
-        return self.raw("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("id_aeroport"),
-            F.col("n_nationkey").cast("bigint").alias("id_oras"),
-            F.concat(F.lit("N"), F.lpad(_text("n_nationkey"), 2, "0")).alias("cod_iata"),
-            F.concat("n_name", F.lit(" Intl")).alias("nume_aeroport"),
-        )
+        return self.raw("nation").selectExpr(*AEROPORT)
 
     def avion(self) -> DataFrame:
-        return self.raw("part").select(
-            F.col("p_partkey").alias("id_avion"),
-            F.concat(F.lit("YR-"), _text("p_partkey")).alias("numar_inmatriculare"),
-            _map("p_type", MODELS, "Other").alias("model"),
-            F.col("p_size").cast("bigint").alias("capacitate"),
-            (F.lit(1940) + F.col("p_size")).alias("an_fabricatie"),
-        )
+        return self.raw("part").selectExpr(*AVION)
 
     def zbor(self) -> DataFrame:
-        leaves = instant("2001-07-01 00:00:00") + F.make_dt_interval(
-            (F.col("p_partkey") % 61).cast("int"), F.col("p_size")
-        )
-        lasts = (F.lit(60) + F.col("p_partkey") % 181).cast("bigint")
-        late = F.col("p_partkey") % 4
-        known = late != 0
-        delay = F.when(late == 1, 30).otherwise(0)
-        status = F.element_at(
-            F.array(*[F.lit(s) for s in FLIGHT_STATUS]), (F.col("p_partkey") % 6 + 1).cast("int")
-        )
-        flights = self.raw("part").select(
-            "*", leaves.alias("leaves"), lasts.alias("lasts"), delay.alias("delay")
-        )
-        arrives = F.col("leaves") + _minutes(F.col("lasts").cast("int"))
-        return flights.select(
-            F.col("p_partkey").alias("id_zbor"),
-            F.col("p_partkey").alias("id_avion"),
-            (F.col("p_partkey") % 25).alias("id_aeroport_plecare"),
-            (F.col("p_size") % 25).cast("bigint").alias("id_aeroport_sosire"),
-            F.concat(F.lit("F"), _text("p_partkey")).alias("numar_zbor"),
-            F.col("leaves").alias("data_plecare"),
-            arrives.alias("data_sosire"),
-            F.when(known, F.col("leaves") + _minutes(F.col("delay"))).alias("data_plecare_efectiva"),
-            F.when(known, arrives + _minutes(F.col("delay"))).alias("data_sosire_efectiva"),
-            F.col("lasts").alias("durata_estimata"),
-            money("p_retailprice").alias("pret_standard"),
-            status.alias("status"),
-        )
+        return self.raw("part").selectExpr(*FLIGHT_TIMES).selectExpr(*FLIGHT_ENDS).selectExpr(*ZBOR)
 
     def pasager(self) -> DataFrame:
-        return self.raw("customer").select(
-            F.col("c_custkey").alias("id_pasager"),
-            F.col("c_name").alias("nume"),
-            F.col("c_mktsegment").alias("prenume"),
-            (instant("1950-01-01 00:00:00") + _days((F.col("c_custkey") % 20000).cast("int"))).alias("data_nasterii"),
-            F.concat(F.lit("XY"), _text("c_custkey")).alias("numar_document"),
-            F.concat(F.lit("N"), F.lpad(_text("c_nationkey"), 2, "0")).alias("nationalitate"),
-        )
+        return self.raw("customer").selectExpr(*PASAGER)
 
     def utilizator(self) -> DataFrame:
-        owes = F.col("c_acctbal") < 0
-        name = F.lower("c_mktsegment")
-        return self.raw("customer").select(
-            F.col("c_custkey").alias("id_user"),
-            F.col("c_name").alias("nume"),
-            F.col("c_mktsegment").alias("prenume"),
-            F.when(owes, name).otherwise(F.concat(name, _text("c_custkey"), F.lit("@example.com"))).alias("email"),
-            F.concat(F.lit("pw"), _text("c_custkey")).alias("parola"),
-            F.when(~owes, F.concat(F.lit("07"), _text("c_custkey"))).alias("telefon"),
-            (instant("1995-01-01 00:00:00") + _days((F.col("c_custkey") % 365).cast("int"))).alias("data_inregistrare"),
-            F.when(F.col("c_custkey") % 10 == 0, "ADMIN").otherwise("CLIENT").alias("rol"),
-        )
-
-    def _booking(self, orders: DataFrame, region: Column) -> DataFrame:
-        return orders.select(
-            F.col("o_orderkey").alias("id_rezervare"),
-            F.col("o_custkey").alias("id_user"),
-            F.col("o_orderdate").alias("data_rezervare"),
-            region.alias("regiune_vanzare"),
-            money("o_totalprice").alias("total_de_plata"),
-            _map("o_orderstatus", BOOKING_STATUS, "ANULATA").alias("status"),
-        )
+        return self.raw("customer").selectExpr(*UTILIZATOR)
 
     def rezervare(self) -> DataFrame:
         """Bookings before fragmentation; the region is the one of the customer."""
         home = (
             self.raw("customer")
-            .join(self.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .join(self.raw("nation"), F.expr("c_nationkey = n_nationkey"))
+            .join(self.raw("region"), F.expr("n_regionkey = r_regionkey"))
             .select("c_custkey", "r_name")
         )
-        orders = self.raw("orders").join(home, F.col("o_custkey") == F.col("c_custkey"))
-        return self._booking(orders, _map("r_name", REGION_SITE, "OTHER"))
+        region = "CASE r_name WHEN 'AMERICA' THEN 'AM' WHEN 'EUROPE' THEN 'EU' ELSE 'OTHER' END"
+        return self.raw("orders").join(home, F.expr("o_custkey = c_custkey")).selectExpr(*booking(region))
 
     def plata(self) -> DataFrame:
-        method = (
-            F.when(F.col("o_orderpriority") == "1-URGENT", "CARD")
-            .when(F.col("o_orderpriority") == "2-HIGH", "TRANSFER_BANCAR")
-            .otherwise("CASH")
-        )
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("id_plata"),
-            F.col("o_orderkey").alias("id_rezervare"),
-            money("o_totalprice").alias("suma_achitata"),
-            F.col("o_orderdate").alias("data_plata"),
-            method.alias("metoda_plata"),
-            _map("o_orderstatus", PAYMENT_STATUS, "RAMBURSATA").alias("status"),
-        )
+        return self.raw("orders").selectExpr(*PLATA)
 
     def bilet(self) -> DataFrame:
-        order = F.col("l_orderkey")
-        letter = F.element_at(F.array(*[F.lit(x) for x in LETTERS]), F.col("l_linenumber"))
-        return self.raw("lineitem").select(
-            (order * 16 + F.col("l_linenumber") * 2 + order % 2).alias("id_bilet"),
-            order.alias("id_rezervare"),
-            F.col("l_partkey").alias("id_zbor"),
-            F.col("l_suppkey").alias("id_pasager"),
-            F.col("l_quantity").cast("bigint").alias("numar_rand"),
-            letter.alias("litera_scaun"),
-            F.when(F.col("l_returnflag") == "R", "BUSINESS").otherwise("ECONOMY").alias("clasa"),
-            money("l_extendedprice").alias("pret_final"),
-        )
+        return self.raw("lineitem").selectExpr(*BILET)
 
     def catalog(self, root: str | None = None) -> SiteCatalog:
         """Both sites: copies everywhere, central tables on AM, split tables by key parity."""
@@ -202,10 +162,9 @@ class Tables:
             return self.utilizator().select("id_user", *USER_FRAGMENTS[part])
 
         def fragment(name: str, site: str) -> DataFrame:
-            odd = F.col("id_rezervare") % 2 != 0
-            own = odd if site == "AM" else ~odd
+            own = "id_rezervare % 2 <> 0" if site == "AM" else "id_rezervare % 2 = 0"
             if name == "rezervare":
-                return self._booking(self.raw("orders"), F.lit(site)).filter(own)
+                return self.raw("orders").selectExpr(*booking(f"'{site}'")).filter(own)
             return getattr(self, name)().filter(own)
 
         for site in ("AM", "EU"):
@@ -222,18 +181,16 @@ class Tables:
 
     def accounts(self) -> DataFrame:
         """A keyed table for the change operators."""
-        return self.raw("customer").select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("c_acctbal").alias("value"),
-            F.col("c_mktsegment").alias("note"),
+        return self.raw("customer").selectExpr(
+            "c_custkey AS user_id", "c_acctbal AS value", "c_mktsegment AS note"
         )
 
     def account_changes(self, events: DataFrame | None = None) -> DataFrame:
         """All events as changes: sign-ups insert, errors delete, the rest update."""
-        op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
-        return (self.raw("events") if events is None else events).select(
-            F.col("event_id").alias("seq"), op.alias("op"), "user_id", "value",
-            F.col("event_type").alias("note"),
+        return (self.raw("events") if events is None else events).selectExpr(
+            "event_id AS seq",
+            "CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op",
+            "user_id", "value", "event_type AS note",
         )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +52,10 @@ def dense_row_number(
     same_run = F.col("_part") == F.col("_p")
     for b in by:
         same_run = same_run & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
+    # Without ``by`` there is one run per partition; with it their number is checked.
+    shift = broadcast_if_small(shift) if by else F.broadcast(shift)
     return (
-        placed.join(broadcast_if_small(shift), same_run)
+        placed.join(shift, same_run)
         .withColumn(out, F.col("_at") + F.col("_shift"))
         .select(*df.columns, out)
     )
@@ -111,6 +115,15 @@ def next_key(df: DataFrame, key: str, start: int, step: int) -> DataFrame:
     return df.agg(following.cast("bigint").alias("next_key"))
 
 
+def next_keys(tables: dict[str, tuple[DataFrame, str]], start: int, step: int) -> dict[str, int]:
+    """The next key of several tables, ``{name: (table, key)}``, found in one job."""
+    each = [
+        next_key(df, key, start, step).withColumn("name", F.lit(name))
+        for name, (df, key) in tables.items()
+    ]
+    return {row.name: row.next_key for row in reduce(DataFrame.unionByName, each).collect()}
+
+
 def allocate_keys(
     new: DataFrame, order: list, key: str, next_value: int, step: int
 ) -> DataFrame:

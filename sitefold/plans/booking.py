@@ -5,12 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitefold.functions import booking_state, instant, money, seat_fits, seat_models, status_at, ticket_price
-from sitefold.operators.keys import SITE_SEQUENCE, dense_row_number, next_key
-from sitefold.session import materialize
+from sitefold.operators.keys import SITE_SEQUENCE, dense_row_number, next_keys
 from sitefold.sources.schema import TRAVEL_CLASS
 from sitefold.sources.sites import SiteCatalog
 
@@ -135,24 +134,20 @@ def book(catalog: SiteCatalog, requests: DataFrame, site: str, as_of, factor="1.
     Every accepted request gives a booking, a payment and a ticket with keys of the site's
     sequence, in ``request_id`` order. Publish the three with :func:`publish_booked`.
     """
-    reviewed = materialize(review(catalog, requests, factor), "reviewed")
-    accepted = dense_row_number(
-        reviewed.filter(F.col("reason").isNull()), ["request_id"], out="_rn"
+    accepted = F.col("reason").isNull()
+    # Accepted and refused requests are numbered apart in one pass, which also fixes both.
+    reviewed = dense_row_number(
+        review(catalog, requests, factor).withColumn("_ok", accepted), ["request_id"], by=("_ok",), out="_rn"
     )
-    now = instant(as_of)
-
-    def new_key(table: str, key: str) -> Column:
-        start, step = SITE_SEQUENCE[site]
-        stored = catalog.table(site, f"{table}_{site.lower()}")
-        first = next_key(stored, key, start, step).first()[0]
-        return (F.lit(first) + F.lit(step) * (F.col("_rn") - 1)).alias(key)
-
-    keyed = accepted.select(
+    start, step = SITE_SEQUENCE[site]
+    keys = {"rezervare": "id_rezervare", "plata": "id_plata", "bilet": "id_bilet"}
+    stored = {name: (catalog.table(site, f"{name}_{site.lower()}"), key) for name, key in keys.items()}
+    first = next_keys(stored, start, step)
+    keyed = reviewed.filter(accepted).select(
         "*",
-        new_key("rezervare", "id_rezervare"),
-        new_key("plata", "id_plata"),
-        new_key("bilet", "id_bilet"),
+        *[(F.lit(first[n]) + F.lit(step) * (F.col("_rn") - 1)).alias(key) for n, key in keys.items()],
     )
+    now = instant(as_of)
     return Booked(
         bookings=keyed.select(
             "id_rezervare",
@@ -174,7 +169,7 @@ def book(catalog: SiteCatalog, requests: DataFrame, site: str, as_of, factor="1.
             "id_bilet", "id_rezervare", "id_zbor", "id_pasager", "numar_rand", "litera_scaun",
             "clasa", "pret_final",
         ),
-        refused=reviewed.filter(F.col("reason").isNotNull()),
+        refused=reviewed.filter(~accepted).drop("_ok", "_rn"),
     )
 
 

@@ -223,6 +223,14 @@ EAGER_REPLICAS = ["tara", "oras", "avion", "utilizator_data"]
 ON_DEMAND_REPLICAS = ["zbor"]
 
 
+def table_schema(name: str) -> tuple[T.StructType, str]:
+    """Schema and key of a stored table: a relation, or a vertical fragment of the users."""
+    if name in USER_FRAGMENTS:
+        whole = RELATIONS["utilizator"].schema
+        return T.StructType([whole["id_user"], *[whole[c] for c in USER_FRAGMENTS[name]]]), "id_user"
+    return RELATIONS[name].schema, RELATIONS[name].key
+
+
 def conform(df: DataFrame, schema: T.StructType, dates: tuple[str, ...] = ()) -> DataFrame:
     """Cast ``df`` to a declared schema.
 

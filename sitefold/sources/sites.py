@@ -11,6 +11,7 @@ published folders are never changed. There is one writer at a time per root.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable
 
@@ -55,14 +56,6 @@ class SiteCatalog:
     def has(self, site: str, name: str) -> bool:
         return (site, name) in self._registered or bool(self._entries(site, name))
 
-    def sites_of(self, name: str) -> list[str]:
-        """Sites that hold a table of this name."""
-        known = {site for site, table in self._registered if table == name}
-        if self.root:
-            rows = self._log().filter(F.col("name") == name).select("site").distinct().collect()
-            known |= {row.site for row in rows}
-        return sorted(known)
-
     def synonym(self, name: str, view: str | None = None) -> DataFrame:
         """The master site's copy, also registered as a temporary view."""
         df = self.table(self.master, name)
@@ -174,12 +167,10 @@ class SiteCatalog:
             .write.partitionBy("_bucket")
             .parquet(path)
         )
-        layout = T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])
-        stored = self.spark.read.schema(layout).parquet(path)
-        return {
-            r["_bucket"]: f"{path}/_bucket={r['_bucket']}"
-            for r in stored.select("_bucket").distinct().collect()
-        }
+        # The file list names the buckets that have rows; no job is needed to find them.
+        files = self.spark.read.schema(df.schema).parquet(path).inputFiles()
+        found = {int(m.group(1)) for f in files if (m := re.search(r"/_bucket=(\d+)/", f))}
+        return {b: f"{path}/_bucket={b}" for b in found}
 
     def _commit(self, rows: list[tuple]) -> None:
         self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("append").json(

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sitefold.operators.changes import apply_changes, capture_changes, collapse, route_update_vertical
 from sitefold.operators.integrity import check_fk
+from sitefold.sources.schema import EAGER_REPLICAS, table_schema
 from sitefold.sources.sites import SiteCatalog
 
 #: Bookkeeping columns of a streamed replica: last applied sequence, and a mark that keeps
@@ -90,6 +91,25 @@ def read_changes(
     return spark.readStream.schema(schema).options(**options).parquet(folder)
 
 
+def start_sync(
+    catalog: SiteCatalog, site: str, folder: str, checkpoints: str, once: bool = True
+) -> dict[str, StreamingQuery]:
+    """Start a stream for every relation that is pushed to its copy as it changes.
+
+    Changes of a relation are read from ``folder/<name>``. Airports are copied but never
+    pushed, and flights wait for a refresh, so neither has a stream.
+    """
+    queries = {}
+    for name in EAGER_REPLICAS:
+        schema, key = table_schema(name)
+        # A delete carries its key only, so no column of a change is required.
+        optional = [T.StructField(f.name, f.dataType) for f in schema.fields]
+        layout = T.StructType([T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()), *optional])
+        changes = read_changes(catalog.spark, f"{folder}/{name}", layout)
+        queries[name] = replicate_stream(changes, catalog, site, name, key, f"{checkpoints}/{name}", once)
+    return queries
+
+
 # --- refresh on demand -----------------------------------------------------------------
 
 
