@@ -127,4 +127,5 @@ def months_back(ts, months: int) -> Column:
 
 
 def fmt_minute(ts) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd HH:mm")
+    """``2026-01-11 12:00``; cut from the text form, which no time zone shifts."""
+    return F.substring(_col(ts).cast("timestamp_ntz").cast("string"), 1, 16)

@@ -5,13 +5,14 @@ or tables published below the catalog's root. A published table is a set of Parq
 one per hash bucket of its key; a commit log of small JSON files says which folders are
 current. One publish writes its data first and then adds ONE log file, so readers see all of
 its tables or none. Readers that already resolved their folders keep reading them, because
-published folders are never changed. There is one writer at a time per root.
+published folders are never changed. There is one writing driver at a time per root.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -34,6 +35,8 @@ class SiteCatalog:
         self.root = root
         self.master = master
         self._registered: dict[tuple[str, str], DataFrame | Callable[[], DataFrame]] = {}
+        # Streams of one driver publish through the same catalog, one after the other.
+        self._writing = threading.RLock()
 
     # --- reading -----------------------------------------------------------------------
 
@@ -69,15 +72,16 @@ class SiteCatalog:
         tag: str | None = None,
     ) -> int:
         """Publish whole tables together: ``{(site, name): (df, key)}``. Returns the version."""
-        version = self._next_version()
-        rows = []
-        for (site, name), (df, key) in tables.items():
-            written = self._write(site, name, df, key, buckets, version)
-            rows += [
-                (version, site, name, buckets, b, written.get(b), df.schema.json(), key, tag)
-                for b in range(buckets)
-            ]
-        self._commit(rows)
+        with self._writing:
+            version = self._next_version()
+            rows = []
+            for (site, name), (df, key) in tables.items():
+                written = self._write(site, name, df, key, buckets, version)
+                rows += [
+                    (version, site, name, buckets, b, written.get(b), df.schema.json(), key, tag)
+                    for b in range(buckets)
+                ]
+            self._commit(rows)
         return version
 
     def publish_changes(
@@ -90,25 +94,30 @@ class SiteCatalog:
         ``{(site, name): (changes, apply)}``: ``apply(current, changes)`` gets the rows of the
         touched buckets. ``changes`` must carry the key column of the table.
         """
-        version = self._next_version()
-        rows = []
-        for (site, name), (changes, apply) in tables.items():
-            entries = self._entries(site, name)
-            head = next(iter(entries.values()))
-            n, key = head.buckets, head.key
-            # At most one row per bucket reaches the driver.
-            hit = [r.b for r in changes.select(bucket_of(key, n).alias("b")).distinct().collect()]
-            if not hit:
-                continue
-            current = self._read({b: entries[b] for b in hit})
-            written = self._write(site, name, apply(current, changes), key, n, version)
-            rows += [
-                (version, site, name, n, b, written.get(b), head.columns, key, tag) for b in hit
-            ]
-        if rows or tag:
-            self._commit(rows or [(version, None, None, None, None, None, None, None, tag)])
+        with self._writing:
+            version = self._next_version()
+            rows = []
+            for (site, name), (changes, apply) in tables.items():
+                rows += self._rewrite(site, name, changes, apply, version, tag)
+            if rows or tag:
+                self._commit(rows or [(version, *[None] * 7, tag)])
         return version
 
+    def _rewrite(self, site, name, changes, apply, version, tag) -> list[tuple]:
+        """New folders for the buckets that ``changes`` touches, as log rows."""
+        entries = self._entries(site, name)
+        if not entries:
+            raise KeyError(f"no published table {name!r} at site {site!r}")
+        head = next(iter(entries.values()))
+        n, key = head.buckets, head.key
+        # At most one row per bucket reaches the driver.
+        hit = [r.b for r in changes.select(bucket_of(key, n).alias("b")).distinct().collect()]
+        if not hit:
+            return []
+        current = self._read({b: entries[b] for b in hit})
+        written = self._write(site, name, apply(current, changes), key, n, version)
+        return [(version, site, name, n, b, written.get(b), head.columns, key, tag) for b in hit]
+
     def committed(self, tag: str) -> bool:
         """True when a publish with this tag is in the log (a retried batch can be skipped)."""
         return bool(self._log().filter(F.col("tag") == tag).limit(1).collect())
