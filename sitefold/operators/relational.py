@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitefold.functions import order_keys
-from sitefold.session import is_small
+from sitefold.session import is_small, materialize
 from sitefold.sources.sites import SiteCatalog
 
 # --- projection and filters ------------------------------------------------------------
@@ -173,6 +173,23 @@ def top_k(df: DataFrame, keys: list, k: int) -> DataFrame:
     return df.orderBy(*order_keys(keys)).limit(k)
 
 
+def top_k_join(
+    df: DataFrame, other: DataFrame, on: str, keys: list, k: int, slack: int = 20
+) -> DataFrame:
+    """First ``k`` rows of ``df`` ⋈ ``other``, ordered by columns of ``df``.
+
+    Joining everything would shuffle both tables for k rows. The first ``slack * k`` rows of
+    ``df`` are found in one pass, broadcast (their number is fixed) and joined by scanning
+    ``other``. When at least k joined rows come out they are the result, because every row
+    outside sorts later. Otherwise, with many partnerless rows or a short table, the whole
+    join is run.
+    """
+    head = F.broadcast(top_k(df, keys, slack * k))
+    near = materialize(other.join(head, on), "near")
+    enough = near.limit(k).count() >= k
+    return top_k(near if enough else df.join(other, on), keys, k)
+
+
 def any_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` rows; the lowest keys, so that repeated runs agree."""
     return top_k(df, [key], n)

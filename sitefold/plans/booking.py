@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sitefold.functions import booking_state, instant, money, seat_fits, seat_models, status_at, ticket_price
 from sitefold.operators.keys import SITE_SEQUENCE, dense_row_number, next_keys
+from sitefold.session import materialize
 from sitefold.sources.schema import TRAVEL_CLASS
 from sitefold.sources.sites import SiteCatalog
 
@@ -107,7 +108,10 @@ def review(catalog: SiteCatalog, requests: DataFrame, factor="1.5") -> DataFrame
         .when(price <= 0, "no price")
         .when(F.col("_sold"), "seat taken")
     )
-    judged = checked.select(*requests.columns, price.alias("pret_final"), reason.alias("reason"))
+    # Used twice below; written once, so the joins above run once.
+    judged = materialize(
+        checked.select(*requests.columns, price.alias("pret_final"), reason.alias("reason")), "judged"
+    )
     # Seats wanted by several requests: the winner per seat is an aggregate, so a seat that
     # very many requests want collapses before the shuffle.
     winners = (

@@ -13,6 +13,7 @@ from sitefold.operators.relational import (
     most_frequent,
     rank_counts,
     top_k,
+    top_k_join,
 )
 from sitefold.plans.views import view_horizontal, view_vertical
 from sitefold.sources.sites import SiteCatalog
@@ -223,11 +224,12 @@ def latest(table: DataFrame, key: str, k: int) -> DataFrame:
 def booking_history(catalog: SiteCatalog, site: str, k: int = 15) -> DataFrame:
     """Latest bookings of a site with the client's name."""
     bookings = catalog.table(site, f"rezervare_{site.lower()}")
-    users = catalog.table(site, "utilizator_data").select("id_user", "nume", "prenume")
-    joined = bookings.join(users, "id_user").select(
-        *bookings.columns, cat("nume", F.lit(" "), "prenume").alias("client")
+    users = catalog.table(site, "utilizator_data").select(
+        "id_user", cat("nume", F.lit(" "), "prenume").alias("client")
+    )
+    return top_k_join(bookings, users, "id_user", [("id_rezervare", "desc")], k).select(
+        *bookings.columns, "client"
     )
-    return latest(joined, "id_rezervare", k)
 
 
 def global_tickets(catalog: SiteCatalog, k: int = 100) -> DataFrame:
@@ -236,9 +238,10 @@ def global_tickets(catalog: SiteCatalog, k: int = 100) -> DataFrame:
         "id_rezervare", F.col("regiune_vanzare").alias("regiune"), F.col("status").alias("status_rezervare")
     )
     tickets = view_horizontal(catalog, "bilet")
-    joined = tickets.join(bookings, "id_rezervare").select(*tickets.columns, "regiune", "status_rezervare")
     rest = [c for c in tickets.columns if c != "id_bilet"]
-    return top_k(joined, [("id_bilet", "desc"), *rest], k)
+    return top_k_join(tickets, bookings, "id_rezervare", [("id_bilet", "desc"), *rest], k).select(
+        *tickets.columns, "regiune", "status_rezervare"
+    )
 
 
 def global_users(catalog: SiteCatalog, k: int = 50) -> DataFrame:

@@ -15,6 +15,7 @@ import re
 import threading
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,14 +75,17 @@ class SiteCatalog:
         """Publish whole tables together: ``{(site, name): (df, key)}``. Returns the version."""
         with self._writing:
             version = self._next_version()
-            rows = []
-            for (site, name), (df, key) in tables.items():
+
+            def write(entry) -> list[tuple]:
+                (site, name), (df, key) = entry
                 written = self._write(site, name, df, key, buckets, version)
-                rows += [
-                    (version, site, name, buckets, b, written.get(b), df.schema.json(), key, tag)
+                columns = df.schema.json()
+                return [
+                    (version, site, name, buckets, b, written.get(b), columns, key, tag)
                     for b in range(buckets)
                 ]
-            self._commit(rows)
+
+            self._commit(self._side_by_side(write, tables.items()))
         return version
 
     def publish_changes(
@@ -96,13 +100,19 @@ class SiteCatalog:
         """
         with self._writing:
             version = self._next_version()
-            rows = []
-            for (site, name), (changes, apply) in tables.items():
-                rows += self._rewrite(site, name, changes, apply, version, tag)
+            rows = self._side_by_side(
+                lambda entry: self._rewrite(*entry[0], *entry[1], version, tag), tables.items()
+            )
             if rows or tag:
                 self._commit(rows or [(version, *[None] * 7, tag)])
         return version
 
+    @staticmethod
+    def _side_by_side(write: Callable[[tuple], list[tuple]], tables) -> list[tuple]:
+        """Write several tables at the same time, so small ones do not wait for large ones."""
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            return [row for rows in pool.map(write, list(tables)) for row in rows]
+
     def _rewrite(self, site, name, changes, apply, version, tag) -> list[tuple]:
         """New folders for the buckets that ``changes`` touches, as log rows."""
         entries = self._entries(site, name)

@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
-from world import booking, catalog, payment, rows, ticket
+from world import booking, catalog, payment, publish, rows, ticket
 
 from sitefold.operators import fragment as fr
 from sitefold.operators import keys as ks
@@ -147,9 +147,7 @@ def scans(df):
 
 
 def test_view_reads_only_the_fragment_it_needs(spark, root):
-    from world import publish_all
-
-    sites = publish_all(spark, root, bookings=[booking(i) for i in range(1, 9)])
+    sites = publish(spark, root, "rezervare", bookings=[booking(i) for i in range(1, 9)])
     view = vw.view_horizontal(sites, "rezervare", site_column="site", prune=True)
     assert scans(view) == 2
     assert scans(view.filter("site = 'AM'")) == 1

@@ -2,7 +2,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from world import FLIGHTS, frame, publish_all, rows, ticket
+from world import FLIGHTS, frame, publish, rows, ticket
 
 from sitefold.operators.changes import apply_changes
 from sitefold.sources.sites import SiteCatalog
@@ -118,7 +118,7 @@ def flight_log(spark, *changes):
 
 
 def test_refresh_on_demand(spark, root):
-    sites = publish_all(spark, root)
+    sites = publish(spark, root, "zbor")
     log = flight_log(spark, (1, "U", 1, "INTARZIAT"), (2, "I", 9, "PROGRAMAT"))
     status = lambda: dict(rows(sites.table("EU", "zbor"), "id_zbor", "status"))
     assert status()[1] == "PROGRAMAT"
@@ -131,7 +131,7 @@ def test_refresh_on_demand(spark, root):
 
 
 def test_refresh_is_refused_when_it_orphans_rows(spark, root):
-    sites = publish_all(spark, root, tickets=[ticket(2, 2, 1, 1)])
+    sites = publish(spark, root, "zbor", "bilet", tickets=[ticket(2, 2, 1, 1)])
     log = flight_log(spark, (1, "D", 1, "PROGRAMAT"), (2, "U", 2, "ANULAT"))
     children = [("bilet_eu", sites.table("EU", "bilet_eu"), "id_bilet", "id_zbor")]
     _, _, orphans = rs.refresh_validated(sites.table("EU", "zbor"), log, 0, "id_zbor", children)
@@ -143,7 +143,7 @@ def test_refresh_is_refused_when_it_orphans_rows(spark, root):
 
 
 def test_chain_from_the_view_to_the_copy(spark, root):
-    sites = publish_all(spark, root)
+    sites = publish(spark, root, "utilizator_data")
     change = spark.createDataFrame(
         [(1, "U", 3, "Nou")], "seq long, op string, id_user long, nume string"
     )

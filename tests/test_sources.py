@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from world import frame, publish_all, rows
+from world import frame, publish, rows
 
 from sitefold.plans.views import global_catalog
 from sitefold.sources import loading as ld
@@ -126,7 +126,7 @@ def test_empty_and_missing_tables(spark, root):
 
 
 def test_sites_synonyms_and_global_names(spark, root):
-    catalog = publish_all(spark, root)
+    catalog = publish(spark, root, "tara", "zbor", "utilizator_data")
     assert rows(catalog.table("EU", "tara"), "cod_iso_2") == [("FR",), ("RO",), ("US",)]
     catalog.synonym("zbor")
     assert spark.sql("SELECT count(*) FROM zbor").first()[0] == 4

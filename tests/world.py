@@ -82,16 +82,18 @@ def catalog(spark, root=None, bookings=(), payments=(), tickets=(), flights=None
     return out
 
 
-def publish_all(spark, root, **rows) -> SiteCatalog:
-    """The same world as published tables."""
-    source = catalog(spark, None, **rows)
-    out = SiteCatalog(spark, root)
+def publish(spark, root, *names, **split) -> SiteCatalog:
+    """The same world with the tables called ``names`` published; the others are registered."""
+    out = catalog(spark, root, **split)
     tables = {}
-    for (site, name) in list(source._registered):
+    for site, name in list(out._registered):
         base = name.removesuffix("_am").removesuffix("_eu")
-        key = "id_user" if base in USER_FRAGMENTS else RELATIONS[base].key
-        tables[site, name] = (source.table(site, name), key)
+        if base in names:
+            key = "id_user" if base in USER_FRAGMENTS else RELATIONS[base].key
+            tables[site, name] = (out.table(site, name), key)
     out.publish(tables, buckets=4)
+    for place in tables:
+        del out._registered[place]
     return out
 
 
