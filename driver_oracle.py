@@ -94,6 +94,11 @@ sql("view_union_all", f"SELECT {BOOKING_COLUMNS}, regiune_vanzare site FROM v_re
 sql("view_vertical_join", """SELECT id_user, nume, prenume, email, parola, telefon,
     data_inregistrare, rol FROM utilizator""")
 
+sql("global_names", """SELECT regiune_vanzare, nume_tara, count(*) tickets, count(DISTINCT id_user) users
+    FROM bilet JOIN v_rezervare USING (id_rezervare) JOIN zbor USING (id_zbor)
+    JOIN aeroport ON id_aeroport_plecare = id_aeroport JOIN oras USING (id_oras) JOIN tara USING (id_tara)
+    GROUP BY 1, 2""")
+
 # --- projections, filters, expressions -------------------------------------------------
 
 sql("project_alias", "SELECT nume client, id_user, rol, rol = 'ADMIN' is_admin FROM utilizator")
@@ -258,6 +263,7 @@ sql("cancel_bookings", """SELECT 'booking' kind, r.regiune_vanzare site, r.id_re
     CASE WHEN c.id IS NULL THEN p.status ELSE 'RAMBURSATA' END
     FROM plata p LEFT JOIN cancelled c ON c.id = p.id_rezervare""",
     "cancelled AS (SELECT DISTINCT l_orderkey id FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)")
+ORACLE["cancel_published"] = ORACLE["cancel_bookings"]
 _REVIEW = (
     """request AS (SELECT o_orderkey request_id, o_custkey id_user, o_custkey id_zbor,
         o_custkey + 30 id_pasager, o_orderkey % 36 + 1 numar_rand,

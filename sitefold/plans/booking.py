@@ -8,7 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitefold.functions import booking_state, instant, money, seat_fits, seat_models, status_at, ticket_price
+from sitefold.functions import (
+    booking_state,
+    instant,
+    money,
+    route_site,
+    seat_fits,
+    seat_models,
+    status_at,
+    ticket_price,
+)
 from sitefold.operators.keys import SITE_SEQUENCE, dense_row_number, next_keys
 from sitefold.session import materialize
 from sitefold.sources.schema import TRAVEL_CLASS
@@ -191,3 +200,29 @@ def publish_booked(catalog: SiteCatalog, site: str, booked: Booked, tag: str | N
         },
         tag=tag,
     )
+
+
+def publish_cancelled(catalog: SiteCatalog, ids: DataFrame, tag: str | None = None) -> int:
+    """Cancel bookings by id in the published tables of all sites, in one commit.
+
+    Booking and payment keys that are hit are looked up first; only their buckets are
+    rewritten. A booking belongs to the site of its key, payments are found by booking id.
+    """
+    def marking(key: str, status: str):
+        def mark(current: DataFrame, hit: DataFrame) -> DataFrame:
+            marked = current.join(hit.withColumn("_hit", F.lit(True)), key, "left")
+            state = F.when(F.col("_hit"), status).otherwise(F.col("status"))
+            return marked.withColumn("status", state).select(*current.columns)
+
+        return mark
+
+    wanted = ids.select("id_rezervare").distinct()
+    tables = {}
+    for site in SITE_SEQUENCE:
+        bookings, payments = f"rezervare_{site.lower()}", f"plata_{site.lower()}"
+        own = wanted.filter(route_site("id_rezervare") == site)
+        booked = catalog.table(site, bookings).join(own, "id_rezervare", "left_semi")
+        paid = catalog.table(site, payments).join(wanted, "id_rezervare", "left_semi")
+        tables[site, bookings] = (booked.select("id_rezervare"), marking("id_rezervare", "ANULATA"))
+        tables[site, payments] = (paid.select("id_plata"), marking("id_plata", "RAMBURSATA"))
+    return catalog.publish_changes(tables, tag=tag)

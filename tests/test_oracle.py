@@ -26,13 +26,5 @@ def test_query(spark, con, name):
     assert problem in (None, "no rows"), problem
 
 
-def test_no_query_pairs_everything(spark):
-    for name, query in queries().items():
-        if name in ("replica_after_changes", "replicate_full"):  # write first; plan is a plain read
-            continue
-        plan = query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
-
-
 def test_entry(spark):
     assert entry(spark).count() > 0

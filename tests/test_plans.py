@@ -173,3 +173,18 @@ def test_latest_rows_without_partner_do_not_shorten_the_list(spark):
     sites = catalog(spark, bookings=[booking(i) for i in range(1, 6)], tickets=[ticket(i, i, 1, 1) for i in range(1, 120)])
     got = rp.global_tickets(sites, 4).collect()
     assert [r.id_bilet for r in got] == [5, 4, 3, 2]
+
+
+def test_cancel_in_published_tables(spark, root):
+    sites = publish(
+        spark, root, "rezervare", "plata", bookings=[booking(i) for i in (1, 2, 3)],
+        payments=[payment(1, 1), payment(3, 1), payment(2, 2), payment(5, 3)],
+    )
+    before = sites.table("AM", "plata_am")
+    version = bk.publish_cancelled(sites, spark.createDataFrame([(1,), (2,), (50,)], "id_rezervare long"))
+    assert rows(sites.table("AM", "rezervare_am"), "id_rezervare", "status") == [(1, "ANULATA"), (3, "CONFIRMATA")]
+    assert rows(sites.table("AM", "plata_am"), "id_plata", "status") == [
+        (1, "RAMBURSATA"), (3, "RAMBURSATA"), (5, "ACCEPTATA")]
+    assert rows(sites.table("EU", "plata_eu"), "status") == [("RAMBURSATA",)]
+    assert {r.status for r in before.collect()} == {"ACCEPTATA"}
+    assert version == 2
