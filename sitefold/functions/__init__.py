@@ -1,10 +1,12 @@
 from sitefold.functions.semantics import (  # noqa: F401
     asc,
     cat,
+    cents,
     check_fails,
     desc,
     email_ok,
     fmt_minute,
+    from_cents,
     instant,
     is_upper,
     len_in,

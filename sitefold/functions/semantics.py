@@ -89,6 +89,16 @@ def money(column) -> Column:
     return _col(column).cast("decimal(10,2)")
 
 
+def cents(amount) -> Column:
+    """Money as whole cents. Sums of integers stay in fast fixed-width buffers and are exact;
+    beyond 9·10^16 units a sum fails (ANSI) instead of being wrong."""
+    return (_col(amount) * 100).cast("bigint")
+
+
+def from_cents(total) -> Column:
+    return (_col(total).cast("decimal(20,0)") / 100).cast("decimal(28,2)")
+
+
 def occupancy_pct(sold, capacity) -> Column:
     """``sold`` in percent of ``capacity``, two decimals half-up, computed in decimals."""
     return F.round(_col(sold).cast("decimal(18,0)") * 100 / _col(capacity).cast("decimal(10,0)"), 2)

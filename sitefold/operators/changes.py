@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitefold.functions import route_site
@@ -48,45 +48,24 @@ def collapse(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
     )
 
 
-def insert_conflicts(target: DataFrame, changes: DataFrame, key: str, chunks: int = 256) -> DataFrame:
+def insert_conflicts(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Keys that a change inserts while they exist.
 
     Only I and D matter. An I is refused when the previous I/D of the key is an I, or when
-    there is none and the target holds the key. The rows of a key are looked at in chunks of
-    the sequence, and then the ends of neighbouring chunks, so a hot key is spread over tasks.
+    there is none and the target holds the key. Rows are numbered in (key, seq) order and
+    each meets its predecessor by number, so a hot key is spread like any other rows.
     """
-    flips = changes.filter(F.col("op") != UPDATE).select(key, "op", "seq")
-    ends = flips.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
-    if ends.lo is None:
-        return target.select(key).limit(0)
-    width = max(1, (ends.hi - ends.lo) // chunks + 1)
-    placed = flips.withColumn("_chunk", F.floor((F.col("seq") - ends.lo) / width))
-    inside = Window.partitionBy(key, "_chunk").orderBy("seq")
-    pieces = (
-        placed.withColumn("_again", (F.col("op") == INSERT) & (F.lag("op").over(inside) == INSERT))
-        .groupBy(key, "_chunk")
-        .agg(
-            F.max(F.coalesce("_again", F.lit(False))).alias("_again"),
-            F.min_by("op", "seq").alias("_first"),
-            F.max_by("op", "seq").alias("_last"),
-        )
-    )
-    across = Window.partitionBy(key).orderBy("_chunk")
-    touched = (
-        pieces.withColumn("_before", F.lag("_last").over(across))
-        .groupBy(key)
-        .agg(
-            F.max(
-                F.col("_again")
-                | F.coalesce((F.col("_first") == INSERT) & (F.col("_before") == INSERT), F.lit(False))
-            ).alias("_clash"),
-            F.min_by("_first", "_chunk").alias("_opening"),
-        )
-    )
-    held = touched.filter(~F.col("_clash") & (F.col("_opening") == INSERT)).join(
-        target.select(key), key, "left_semi"
+    flips = changes.filter(F.col("op") != UPDATE).select(F.col(key).alias("_key"), "op", "seq")
+    numbered = dense_row_number(flips, ["_key", "seq"], out="_rn")
+    previous = numbered.select(
+        (F.col("_rn") + 1).alias("_rn"), F.col("_key").alias("_prev_key"), F.col("op").alias("_prev_op")
     )
-    return touched.filter("_clash").select(key).unionByName(held.select(key))
+    inserts = numbered.filter(F.col("op") == INSERT).join(previous, "_rn", "left")
+    follows = F.coalesce(F.col("_prev_key") == F.col("_key"), F.lit(False))
+    doubled = inserts.filter(follows & (F.col("_prev_op") == INSERT)).select("_key")
+    opening = inserts.filter(~follows).select("_key")
+    held = opening.join(target.select(key), F.col("_key") == F.col(key), "left_semi")
+    return doubled.unionByName(held).distinct().withColumnRenamed("_key", key)
 
 
 def apply_changes(

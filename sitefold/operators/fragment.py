@@ -64,12 +64,13 @@ def bag_difference(left: DataFrame, right: DataFrame, left_name: str, right_name
     )
 
 
-def _verdict(check: str, violations: DataFrame) -> DataFrame:
-    """``violations`` has one row with the column ``violations``."""
-    return violations.select(
-        F.lit(check).alias("check"),
-        F.col("violations").cast("bigint").alias("violations"),
-        (F.col("violations") == 0).alias("ok"),
+def _verdicts(counted: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """One row per check out of a single row of counts."""
+    found = F.array(
+        *[F.struct(F.lit(c).alias("check"), n.cast("bigint").alias("violations")) for c, n in checks.items()]
+    )
+    return counted.select(F.explode(found).alias("v")).select(
+        "v.check", "v.violations", (F.col("v.violations") == 0).alias("ok")
     )
 
 
@@ -117,14 +118,10 @@ def verify_fragmentation(
         F.coalesce(F.sum("only_source"), F.lit(0)).alias("missing"),
         F.coalesce(F.sum("only_rebuilt"), F.lit(0)).alias("extra"),
     )
-    complete = (
-        surplus.select(F.col("missing").alias("violations")) if mode == "horizontal" else incomplete
-    )
-    rebuild = surplus.select(
-        (F.col("extra") + (F.lit(0) if mode == "horizontal" else F.col("missing"))).alias("violations")
-    )
-    return (
-        _verdict("complete", complete)
-        .unionByName(_verdict("disjoint", shared))
-        .unionByName(_verdict("rebuild", rebuild))
-    )
+    disjoint = _verdicts(shared, {"disjoint": F.col("violations")})
+    if mode == "horizontal":
+        differing = _verdicts(surplus, {"complete": F.col("missing"), "rebuild": F.col("extra")})
+        return differing.unionByName(disjoint)
+    complete = _verdicts(incomplete, {"complete": F.col("violations")})
+    rebuild = _verdicts(surplus, {"rebuild": F.col("missing") + F.col("extra")})
+    return complete.unionByName(disjoint).unionByName(rebuild)

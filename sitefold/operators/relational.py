@@ -147,9 +147,21 @@ def mode_by(df: DataFrame, key: str, value: str, out: str = "mode") -> DataFrame
 
 
 def rank_counts(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Count per (key, value) and its rank within the key; ties share a rank."""
-    window = Window.partitionBy(key).orderBy(F.col("cnt").desc())
-    return counts(df, [key, value]).withColumn("rnk", F.rank().over(window))
+    """Count per (key, value) and its rank within the key; ties share a rank.
+
+    The rank is one more than the number of values with a larger count. It is found per
+    distinct count of the key: n rows have at most about sqrt(2n) distinct counts, so even a
+    key with very many values is a short group there.
+    """
+    per_value = counts(df, [key, value])
+    larger = Window.partitionBy("_key").orderBy(F.col("_cnt").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    levels = (
+        per_value.groupBy(F.col(key).alias("_key"), F.col("cnt").alias("_cnt"))
+        .agg(F.count(F.lit(1)).alias("_values"))
+        .select("_key", "_cnt", (F.coalesce(F.sum("_values").over(larger), F.lit(0)) + 1).alias("rnk"))
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("cnt") == F.col("_cnt"))
+    return per_value.join(levels, same).select(key, value, "cnt", "rnk")
 
 
 def match_count(df: DataFrame, other: DataFrame, on: list[str], out: str = "matches") -> DataFrame:

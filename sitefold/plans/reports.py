@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitefold.functions import asc, cat, fmt_minute, instant, months_back, occupancy_pct
+from sitefold.functions import (
+    asc,
+    cat,
+    cents,
+    fmt_minute,
+    from_cents,
+    instant,
+    months_back,
+    occupancy_pct,
+)
 from sitefold.operators.relational import (
     counts,
     join_chain,
@@ -44,10 +53,8 @@ def paid_tickets(catalog: SiteCatalog, as_of, months: int = 6) -> DataFrame:
 
 
 def _sales(tickets: DataFrame, keys: list[str]) -> DataFrame:
-    # Summed per ticket in wide decimals: exact, and free of overflow on large tables.
     return tickets.groupBy(*keys).agg(
-        F.sum("paid").alias("nr_bilete"),
-        F.sum((F.col("pret_final") * F.col("paid")).cast("decimal(28,2)")).cast("decimal(28,2)").alias("venit_ruta"),
+        F.sum("paid").alias("nr_bilete"), F.sum(cents("pret_final") * F.col("paid")).alias("venit_cents")
     )
 
 
@@ -91,7 +98,7 @@ def _route_columns(df: DataFrame, nationality: str) -> DataFrame:
         "tara_plecare",
         "tara_sosire",
         F.col("nr_bilete").alias("total_bilete"),
-        F.col("venit_ruta").alias("venit_total"),
+        from_cents("venit_cents").alias("venit_total"),
         occupancy_pct("nr_bilete", "capacitate").alias("rata_ocupare_pct"),
         F.col(nationality).alias("nationalitate_predominanta"),
     )
@@ -110,7 +117,7 @@ def report_routes(catalog: SiteCatalog, as_of, k: int = 10, months: int = 6) ->
     by_nationality = _sales(tickets, ["id_zbor", "nationalitate"])
     per_flight = by_nationality.groupBy("id_zbor").agg(
         F.sum("nr_bilete").alias("nr_bilete"),
-        F.sum("venit_ruta").cast("decimal(28,2)").alias("venit_ruta"),
+        F.sum("venit_cents").alias("venit_cents"),
         most_frequent("nationalitate", "nr_bilete").alias("nationalitate_predominanta"),
     )
     routes = _route_columns(_dimensions(catalog, per_flight), "nationalitate_predominanta")
@@ -122,8 +129,8 @@ def report_routes_ranked(catalog: SiteCatalog, as_of, k: int = 10, months: int =
 
     Revenue and ticket count cover all tickets of the flight, the ranking only those whose
     passenger is known; a flight without any drops out. Both come from one pass: the window
-    runs over sales per (flight, nationality), so a flight has a handful of rows there
-    however many tickets it sold.
+    runs over sales per (flight, nationality), so a flight has one row per country code
+    there, however many tickets it sold.
     """
     passengers = catalog.table(catalog.master, "pasager").select(
         "id_pasager", "nationalitate", F.lit(True).alias("_known")
@@ -137,7 +144,7 @@ def report_routes_ranked(catalog: SiteCatalog, as_of, k: int = 10, months: int =
             "nationalitate",
             F.when(F.col("_known"), F.col("nr_bilete")).alias("_own"),
             F.sum("nr_bilete").over(flight).alias("nr_bilete"),
-            F.sum("venit_ruta").over(flight).cast("decimal(28,2)").alias("venit_ruta"),
+            F.sum("venit_cents").over(flight).alias("venit_cents"),
         )
         .withColumn("_rank", F.rank().over(flight.orderBy(F.col("_own").desc_nulls_last())))
         .filter(F.col("_own").isNotNull() & (F.col("_rank") == 1))

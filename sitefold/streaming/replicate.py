@@ -78,7 +78,11 @@ def replicate_stream(
         tag = f"{label}#{batch_id}"
         if catalog.committed(tag):
             return
-        catalog.publish_changes({(site, f"{name}__state"): (batch, apply)}, tag=tag)
+        batch.persist()  # read twice: for the touched buckets and for the merge
+        try:
+            catalog.publish_changes({(site, f"{name}__state"): (batch, apply)}, tag=tag)
+        finally:
+            batch.unpersist()
 
     writer = changes.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -57,7 +57,7 @@ def test_strict_mode_finds_the_same_conflicts(spark, seed):
             replay([t for t in target if t[0] == k], [c for c in changes if c[2] == k], strict=True)
         except ch.ChangeConflict:
             bad.add(k)
-    assert {r.k for r in ch.insert_conflicts(*frames, "k", chunks=5).collect()} == bad
+    assert {r.k for r in ch.insert_conflicts(*frames, "k").collect()} == bad
     if bad:
         with pytest.raises(ch.ChangeConflict):
             ch.apply_changes(*frames, "k", strict=True)
