@@ -16,6 +16,7 @@ import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,12 @@ _LOG_SCHEMA = (
 )
 
 
+class _Head(NamedTuple):
+    version: int
+    entries: dict[tuple[str, str], dict[int, T.Row]]
+    tagged: bool
+
+
 class SiteCatalog:
     """Tables of named sites. ``master`` is the site whose copy synonyms point at."""
 
@@ -52,13 +59,13 @@ class SiteCatalog:
             if not isinstance(known, DataFrame):
                 known = self._registered[site, name] = known()
             return known
-        entries = self._entries(site, name)
+        entries = self._head([(site, name)]).entries.get((site, name))
         if not entries:
             raise KeyError(f"no table {name!r} at site {site!r}")
         return self._read(entries)
 
     def has(self, site: str, name: str) -> bool:
-        return (site, name) in self._registered or bool(self._entries(site, name))
+        return (site, name) in self._registered or (site, name) in self._head([(site, name)]).entries
 
     def synonym(self, name: str, view: str | None = None) -> DataFrame:
         """The master site's copy, also registered as a temporary view."""
@@ -73,8 +80,10 @@ class SiteCatalog:
         tag: str | None = None,
     ) -> int:
         """Publish whole tables together: ``{(site, name): (df, key)}``. Returns the version."""
+        if self.root is None:
+            raise ValueError("a catalog without a root cannot publish")
         with self._writing:
-            version = self._next_version()
+            version = self._head().version + 1
 
             def write(entry) -> list[tuple]:
                 (site, name), (df, key) = entry
@@ -96,13 +105,22 @@ class SiteCatalog:
         """Rewrite only the buckets that a set of changes touches, for several tables together.
 
         ``{(site, name): (changes, apply)}``: ``apply(current, changes)`` gets the rows of the
-        touched buckets. ``changes`` must carry the key column of the table.
+        touched buckets. ``changes`` must carry the key column of the table. Nothing happens
+        when the log has a commit with this ``tag`` already, so a batch can be retried.
         """
         with self._writing:
-            version = self._next_version()
-            rows = self._side_by_side(
-                lambda entry: self._rewrite(*entry[0], *entry[1], version, tag), tables.items()
-            )
+            head = self._head(list(tables), tag)
+            if head.tagged:
+                return head.version
+            version = head.version + 1
+
+            def rewrite(entry) -> list[tuple]:
+                place, (changes, apply) = entry
+                if place not in head.entries:
+                    raise KeyError(f"no published table {place}")
+                return self._rewrite(*place, head.entries[place], changes, apply, version, tag)
+
+            rows = self._side_by_side(rewrite, tables.items())
             if rows or tag:
                 self._commit(rows or [(version, *[None] * 7, tag)])
         return version
@@ -113,11 +131,8 @@ class SiteCatalog:
         with ThreadPoolExecutor(max_workers=8) as pool:
             return [row for rows in pool.map(write, list(tables)) for row in rows]
 
-    def _rewrite(self, site, name, changes, apply, version, tag) -> list[tuple]:
+    def _rewrite(self, site, name, entries, changes, apply, version, tag) -> list[tuple]:
         """New folders for the buckets that ``changes`` touches, as log rows."""
-        entries = self._entries(site, name)
-        if not entries:
-            raise KeyError(f"no published table {name!r} at site {site!r}")
         head = next(iter(entries.values()))
         n, key = head.buckets, head.key
         # At most one row per bucket reaches the driver.
@@ -129,8 +144,8 @@ class SiteCatalog:
         return [(version, site, name, n, b, written.get(b), head.columns, key, tag) for b in hit]
 
     def committed(self, tag: str) -> bool:
-        """True when a publish with this tag is in the log (a retried batch can be skipped)."""
-        return bool(self._log().filter(F.col("tag") == tag).limit(1).collect())
+        """True when a publish with this tag is in the log."""
+        return self._head(tag=tag).tagged
 
     # --- the commit log ----------------------------------------------------------------
 
@@ -144,28 +159,41 @@ class SiteCatalog:
                 return self.spark.createDataFrame([], _LOG_SCHEMA)
             raise
 
-    def _next_version(self) -> int:
-        if self.root is None:
-            raise ValueError("a catalog without a root cannot publish")
-        return (self._log().agg(F.max("version")).first()[0] or 0) + 1
+    def _head(self, places: list[tuple[str, str]] = (), tag: str | None = None) -> _Head:
+        """What the log says, in one job: newest version, buckets of ``places``, tag known.
 
-    def _entries(self, site: str, name: str) -> dict[int, T.Row]:
-        """Newest log row of every bucket of a table (a publish of the table renews them all)."""
+        Of every bucket the newest row counts; a publish of the whole table renews them all.
+        """
         if self.root is None:
-            return {}
+            return _Head(0, {}, False)
+        log = self._log()
+        wanted = F.lit(False)
+        for site, name in places:
+            wanted = wanted | ((F.col("site") == site) & (F.col("name") == name))
         newest = (
-            self._log()
-            .filter((F.col("site") == site) & (F.col("name") == name))
-            .groupBy("bucket")
+            log.filter(wanted)
+            .groupBy("site", "name", "bucket")
             .agg(F.max_by(F.struct("version", "buckets", "path", "columns", "key"), "version").alias("e"))
-            .select("bucket", "e.*")
-            .collect()
+            .select("site", "name", "bucket", "e.*", F.lit(False).alias("tagged"))
+        )
+        whole = log.agg(
+            F.coalesce(F.max("version"), F.lit(0)).alias("version"),
+            F.coalesce(F.max(F.col("tag") == F.lit(tag)), F.lit(False)).alias("tagged"),
         )
-        if not newest:
-            return {}
-        # The bucket count may have changed with a later publish; older rows are stale then.
-        width = max(newest, key=lambda r: r.version).buckets
-        return {r.bucket: r for r in newest if r.buckets == width}
+        rows = newest.unionByName(whole, allowMissingColumns=True).collect()
+        tables: dict[tuple[str, str], list[T.Row]] = {}
+        top = None
+        for row in rows:
+            if row.name is None:
+                top = row
+            else:
+                tables.setdefault((row.site, row.name), []).append(row)
+        entries = {}
+        for place, found in tables.items():
+            # The bucket count may have changed with a later publish; older rows are stale then.
+            width = max(found, key=lambda r: r.version).buckets
+            entries[place] = {r.bucket: r for r in found if r.buckets == width}
+        return _Head(top.version, entries, top.tagged)
 
     def _read(self, entries: dict[int, T.Row]) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(next(iter(entries.values())).columns))

@@ -76,8 +76,6 @@ def replicate_stream(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         tag = f"{label}#{batch_id}"
-        if catalog.committed(tag):
-            return
         batch.persist()  # read twice: for the touched buckets and for the merge
         try:
             catalog.publish_changes({(site, f"{name}__state"): (batch, apply)}, tag=tag)

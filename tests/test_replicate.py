@@ -77,13 +77,13 @@ def test_retried_batch_is_applied_once(spark, root, tmp_path):
     feed(spark, folder, [(1, "I", 7, "A", "AA")], COUNTRY)
     checkpoint = str(tmp_path / "cp")
     sync(spark, catalog, folder, checkpoint, COUNTRY)
-    versions = catalog._next_version()
+    versions = catalog._head().version
     assert catalog.committed(f"EU/tara@{checkpoint}#0")
     # Lose the stream's own commit record: Spark runs batch 0 again.
     for f in (tmp_path / "cp" / "commits").iterdir():
         f.unlink()
     sync(spark, catalog, folder, checkpoint, COUNTRY)
-    assert catalog._next_version() == versions
+    assert catalog._head().version == versions
     assert rows(rs.read_replica(catalog, "EU", "tara"), "id_tara") == [(7,)]
 
 
