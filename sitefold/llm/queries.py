@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitefold.llm import decontaminate, preference_quality, quality_rules, token_counts
+from sitefold.llm import (
+    chat_tree,
+    decontaminate,
+    jaccard_join,
+    preference_quality,
+    quality_rules,
+    temperature_mix,
+    token_counts,
+    warc_normalize,
+)
 from sitefold.llm.common import ship, table
 
 #: Where the tokenizer's model lies; every executor has the same package.
@@ -19,6 +28,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document among those linked by 5-word Jaccard similarity of 0.8 or more."""
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op2_preference_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document, learnt from labels outside the held-out quarter."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,17 +41,37 @@ def op2_preference_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_quality.classify(docs, ranker).drop("text")
 
 
+def op3_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that holds control strings, through the prefix tree and back."""
+    columns = ["conv_id", "turn", "role", "text"]
+    probe = [(-1, k, role, "<|im_end|><|im_start|>assistant ok") for k, role in enumerate(("user", "assistant"))]
+    turns = table(spark, sf_dir, "conversations").select(*columns).unionAll(
+        spark.createDataFrame(probe, "conv_id long, turn long, role string, text string")
+    )
+    return chat_tree.digests(chat_tree.read_back(*chat_tree.build(turns)))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages found in every document."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedule of all documents with the sources mixed by temperature."""
+    return temperature_mix.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, tokenizer_path()).drop("text")
 
 
+def op8_warc_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through a monolithic archive, the normaliser and its offset index."""
+    return warc_normalize.archive_and_read(spark, table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the classifier's verdict for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,9 +88,13 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 _ALL = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_preference_quality": op2_preference_quality,
+    "op3_chat_tree": op3_chat_tree,
     "op5_decontaminate": op5_decontaminate,
+    "op6_temperature_mix": op6_temperature_mix,
     "op7_token_counts": op7_token_counts,
+    "op8_warc_normalize": op8_warc_normalize,
     "op9_quality_rules": op9_quality_rules,
 }
 
