@@ -427,3 +427,21 @@ def link_components(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with one document of each component: the one with the smallest doc_id.
+
+    Columns stay as they are. Documents without words all stay; so do rows with a null id, which
+    nothing can name. Rows that repeat an id and its text are one document.
+    """
+    found = materialize(link_components(docs), "gram-components")
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    again = again.select(F.col("doc_id").alias("again"))
+    if again.isEmpty():
+        return kept
+    repeated = F.col("doc_id") == F.col("again")
+    once = kept.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, repeated, "left_anti").unionByName(once)
