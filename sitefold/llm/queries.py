@@ -10,6 +10,8 @@ from sitefold.llm import (
     chat_tree,
     decontaminate,
     jaccard_join,
+    language_id,
+    license_scan,
     preference_quality,
     quality_rules,
     temperature_mix,
@@ -51,6 +53,12 @@ def op3_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_tree.digests(chat_tree.read_back(*chat_tree.build(turns)))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan_licences(docs, license_scan.train(docs))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages found in every document."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -79,6 +87,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(docs, model).drop("text")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, markup, address and host."""
+    model = language_id.train_text(table(spark, sf_dir, "documents"))
+    return language_id.identify(table(spark, sf_dir, "pages"), model)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -91,11 +105,13 @@ _ALL = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_preference_quality": op2_preference_quality,
     "op3_chat_tree": op3_chat_tree,
+    "op4_license_scan": op4_license_scan,
     "op5_decontaminate": op5_decontaminate,
     "op6_temperature_mix": op6_temperature_mix,
     "op7_token_counts": op7_token_counts,
     "op8_warc_normalize": op8_warc_normalize,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: _shipped(q) for n, q in _ALL.items()}
