@@ -334,8 +334,8 @@ def link_components(docs: DataFrame) -> DataFrame:
 
     One row per row of ``docs``. component_id is the smallest doc_id that links reach. A null or empty
     text, or one without words, has no grams and links with nothing. Equal sets are one class and are
-    compared once. A row with a null id keeps a null component unless its set has a row with an id;
-    rows that repeat an id count each with their own text. Without rows there is no result.
+    compared once. A row with a null id has the component of a row with the same set and an id, else null
+    and no links; rows that repeat an id count each with their own text. Without rows there is no result.
     """
     docs = docs.select("doc_id", "text")
     described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
@@ -392,8 +392,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         .join(side("a"), "a")
         .join(side("b"), "b")
         .where(
-            (F.col("over_a") + F.col("over_b") > 0)
-            & (F.col("both") + F.col("over_a") + F.col("over_b") >= _need(F.col("least_a") + F.col("least_b")))
+            F.col("both") + F.col("over_a") + F.col("over_b") >= _need(F.col("least_a") + F.col("least_b"))
         )
         .select("a", "b", "both", "over_b", "least_b")
     )
