@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sitefold.functions import route_site
 from sitefold.operators.keys import dense_row_number
-from sitefold.session import is_small
+from sitefold.session import materialize
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
@@ -32,20 +32,21 @@ def collapse(changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
     neither: only updates; they count when the key exists already.
     """
     last_write = F.when(F.col("op") != DELETE, F.col("seq"))
-    per_key = changes.groupBy(key).agg(
+    per_key = changes.groupBy(known_key(key).alias("_key")).agg(
         F.max_by(F.struct(*columns), last_write).alias("_row"),
-        F.max(F.when(F.col("op") == DELETE, F.col("seq"))).alias("_deleted"),
+        F.max(last_write).alias("_written"),
+        F.max(F.when(F.col("op") == DELETE, F.col("seq"))).alias("_removed"),
         F.max(F.when(F.col("op") == INSERT, F.col("seq"))).alias("_inserted"),
         F.max("seq").alias("_seq"),
     )
-    born = F.coalesce(F.col("_inserted") > F.coalesce(F.col("_deleted"), F.col("_inserted") - 1), F.lit(False))
-    return per_key.select(
-        F.col(key).alias("_key"),
-        "_row",
-        "_seq",
-        born.alias("_born"),
-        (F.col("_deleted").isNotNull() & ~born).alias("_gone"),
-    )
+    born = F.coalesce(F.col("_inserted") > F.coalesce(F.col("_removed"), F.col("_inserted") - 1), F.lit(False))
+    return per_key.withColumns({"_born": born, "_gone": F.col("_removed").isNotNull() & ~born})
+
+
+def known_key(key: str) -> Column:
+    """The key column of changes; a change without a key fails the job."""
+    missing = F.raise_error(F.lit(f"a change without {key}"))
+    return F.when(F.col(key).isNull(), missing).otherwise(F.col(key))
 
 
 def insert_conflicts(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -68,49 +69,38 @@ def insert_conflicts(target: DataFrame, changes: DataFrame, key: str) -> DataFra
     return doubled.unionByName(held).distinct().withColumnRenamed("_key", key)
 
 
-def apply_changes(
-    target: DataFrame, changes: DataFrame, key: str, strict: bool = False, small: bool | None = None
-) -> DataFrame:
+def apply_changes(target: DataFrame, changes: DataFrame, key: str, strict: bool = False) -> DataFrame:
     """``target`` after a batch of changes.
 
     Updates set every non-key column and never the key; an update or delete of an absent key
-    does nothing. An insert of a present key replaces the row, or fails when ``strict``.
+    does nothing. An insert of a present key replaces the row, or fails when ``strict``. A
+    change without a key fails. Keys of the target are unique and not NULL.
 
-    With few changed keys (checked, or stated by ``small``) they are broadcast and the target
-    is read in place without a shuffle; otherwise both sides meet in one full outer join.
+    The batch is collapsed once and written, so Spark knows its size: it broadcasts a small
+    one and reads the target in place, and shuffles both for a large one, with one result.
     """
     if strict and (bad := insert_conflicts(target, changes, key).take(5)):
         raise ChangeConflict(f"insert of a present {key}: {[row[0] for row in bad]}")
     columns = [c for c in target.columns if c != key]
-    batch = collapse(changes, key, columns)
-    if small is None:
-        small = is_small(batch.select("_key"))
-    changed = F.col("_key").isNotNull()
+    collapsed = collapse(changes, key, columns).select("_key", "_row", "_born", "_gone")
+    batch = materialize(collapsed, "changes").withColumn("_changed", F.lit(True))
+    changed = F.coalesce("_changed", F.lit(False))
 
     def value(c: str) -> Column:
         return F.when(changed, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c)
 
-    if small:
-        side = F.broadcast(batch)
-        kept = (
-            target.join(side, F.col(key) == F.col("_key"), "left")
-            .filter(~F.coalesce("_gone", F.lit(False)))
-            .select(*[F.col(c) if c == key else value(c) for c in target.columns])
-        )
-        held = target.select(key).join(side.select("_key"), F.col(key) == F.col("_key"), "left_semi")
-        added = (
-            batch.filter("_born")
-            .join(F.broadcast(held), F.col("_key") == F.col(key), "left_anti")
-            .select(*[F.col("_key").alias(c) if c == key else F.col(f"_row.{c}").alias(c) for c in target.columns])
-        )
-        return kept.unionByName(added)
-    marked = target.withColumn("_held", F.lit(True))
-    stays = F.when(F.col("_gone"), False).when(F.col("_born"), True).otherwise(F.col("_held"))
-    return (
-        marked.join(batch, F.col(key) == F.col("_key"), "full")
-        .filter(F.coalesce(stays, F.lit(False)))
-        .select(*[F.coalesce(key, "_key").alias(c) if c == key else value(c) for c in target.columns])
+    kept = (
+        target.join(batch, F.col(key) == F.col("_key"), "left")
+        .filter(~F.coalesce("_gone", F.lit(False)))
+        .select(*[F.col(c) if c == key else value(c) for c in target.columns])
+    )
+    held = target.select(key).join(batch.select("_key"), F.col(key) == F.col("_key"), "left_semi")
+    added = (
+        batch.filter("_born")
+        .join(held, F.col("_key") == F.col(key), "left_anti")
+        .select(*[F.col("_key").alias(c) if c == key else F.col(f"_row.{c}").alias(c) for c in target.columns])
     )
+    return kept.unionByName(added)
 
 
 def capture_changes(

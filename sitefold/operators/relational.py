@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitefold.functions import order_keys
-from sitefold.session import is_small, materialize
+from sitefold.session import materialize
 from sitefold.sources.sites import SiteCatalog
 
 # --- projection and filters ------------------------------------------------------------
@@ -90,17 +90,14 @@ def join_roles(df: DataFrame, dim: DataFrame, key: str, roles: dict[str, str]) -
 
 
 def join_hashed(
-    df: DataFrame, dims: list[tuple[DataFrame, dict[str, str]]], max_rows: int = 100_000
+    df: DataFrame, dims: list[tuple[DataFrame, dict[str, str]]], shuffled: bool = False
 ) -> DataFrame:
     """Joins in the written order, each as a hash join.
 
-    A dimension of at most ``max_rows`` rows is broadcast (its size is checked first). A
-    larger one is shuffled and hashed per partition.
+    Spark broadcasts a dimension whose bytes fit its own threshold. ``shuffled`` asks for hash
+    tables per partition instead, for dimensions that are beyond it.
     """
-    hinted = [
-        (F.broadcast(d) if is_small(d, max_rows) else d.hint("shuffle_hash"), on) for d, on in dims
-    ]
-    return join_chain(df, hinted)
+    return join_chain(df, [(d.hint("shuffle_hash") if shuffled else d, on) for d, on in dims])
 
 
 def join_site(df: DataFrame, catalog: SiteCatalog, site: str, name: str, on: str) -> DataFrame:

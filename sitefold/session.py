@@ -1,4 +1,4 @@
-"""Session-level helpers: shared scratch space, materialisation and size checks."""
+"""Session-level helpers: shared scratch space and materialisation."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Row bound under which a keyed side may be broadcast.
-BROADCAST_ROWS = 200_000
-
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
@@ -23,7 +18,7 @@ def scratch_dir(spark: SparkSession) -> str:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.partition("[")[0] == "local":  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="sitefold-"))
     return context.getCheckpointDir()
@@ -43,13 +38,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; stops reading once it has more."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint after a size check; otherwise Spark picks a shuffled join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -57,7 +57,8 @@ def absent_rows(target: DataFrame, rows: DataFrame, keys: list[str], first_by: s
     first = (
         rows.filter(complete)
         .groupBy(*keys)
-        .agg(F.min_by(F.struct(*rows.columns), F.col(first_by)).alias("_row"))
+        # A NULL order value comes last, but still makes a row.
+        .agg(F.min_by(F.struct(*rows.columns), F.struct(F.col(first_by).isNull(), F.col(first_by))).alias("_row"))
         .select("_row.*")
     )
     return first.join(target.select(*keys), keys, "left_anti").select(*rows.columns).unionByName(

@@ -1,20 +1,24 @@
 """Sites, their tables, and all-or-nothing publishing of several tables.
 
 A site is a name. Its tables are either registered DataFrames (a view over existing files)
-or tables published below the catalog's root. A published table is a set of Parquet folders,
-one per hash bucket of its key; a commit log of small JSON files says which folders are
-current. One publish writes its data first and then adds ONE log file, so readers see all of
-its tables or none. Readers that already resolved their folders keep reading them, because
-published folders are never changed. There is one writing driver at a time per root.
+or tables published below the catalog's root. A published table is a set of Parquet folders
+for the hash buckets of its key; a commit log of small JSON files says which folders are
+current. A bucket may have several folders: one that was written whole, and what was appended
+to it since. One publish writes its data first and then adds ONE log file, so readers see all
+of its tables or none. Published folders are never changed, so a reader keeps what it resolved.
+
+A snapshot resolves all tables by one look at the log; what reads several tables takes one. A
+publish may name the version it was made from; it fails when a table that it writes or relied
+on has moved since. There is one writing driver at a time per root.
 """
 
 from __future__ import annotations
 
 import json
-import re
+import math
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -24,17 +28,67 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOG_SCHEMA = (
-    "version bigint, site string, name string, buckets int, bucket int, path string, "
+    "version bigint, site string, name string, buckets int, bucket int, path string, added boolean, "
     "columns string, key string, tag string"
 )
 
+#: Rows a bucket is meant to hold; how many buckets a whole table gets follows from its rows.
+BUCKET_ROWS = 2_000_000
+
+Place = tuple[str, str]
+
+
+class StaleBase(RuntimeError):
+    """A table that a publish writes or relied on has moved since it was read."""
+
+
+class _Table(NamedTuple):
+    """A published table: when it last moved, its layout, and the folders of each bucket."""
+
+    version: int
+    buckets: int
+    columns: str
+    key: str
+    paths: dict[int, list[str]]
+
 
 class _Head(NamedTuple):
     version: int
-    entries: dict[tuple[str, str], dict[int, T.Row]]
+    tables: dict[Place, _Table]
     tagged: bool
 
 
+class Snapshot:
+    """All tables of a catalog at one version; reads like the catalog and never moves."""
+
+    def __init__(self, catalog: SiteCatalog, head: _Head):
+        self.catalog, self.spark, self.master = catalog, catalog.spark, catalog.master
+        self.version = head.version
+        self._tables = head.tables
+        self._frames: dict[Place, DataFrame] = {}
+
+    def snapshot(self) -> Snapshot:
+        return self
+
+    def has(self, site: str, name: str) -> bool:
+        return (site, name) in self.catalog._registered or (site, name) in self._tables
+
+    def table(self, site: str, name: str) -> DataFrame:
+        known = self.catalog._known(site, name)
+        if known is not None:
+            return known
+        if (site, name) not in self._tables:
+            raise KeyError(f"no table {name!r} at site {site!r}")
+        if (site, name) not in self._frames:
+            self._frames[site, name] = self.catalog._read(self._tables[site, name])
+        return self._frames[site, name]
+
+    def synonym(self, name: str, view: str | None = None) -> DataFrame:
+        df = self.table(self.master, name)
+        df.createOrReplaceTempView(view or name)
+        return df
+
+
 class SiteCatalog:
     """Tables of named sites. ``master`` is the site whose copy synonyms point at."""
 
@@ -52,20 +106,23 @@ class SiteCatalog:
         """Make ``df`` the table ``name`` of ``site``; a function is called on first use."""
         self._registered[site, name] = df
 
+    def _known(self, site: str, name: str) -> DataFrame | None:
+        known = self._registered.get((site, name))
+        if known is not None and not isinstance(known, DataFrame):
+            known = self._registered[site, name] = known()
+        return known
+
+    def snapshot(self) -> Snapshot:
+        """All tables as they are now, by one look at the log."""
+        return Snapshot(self, self._head())
+
     def table(self, site: str, name: str) -> DataFrame:
         """The table ``name`` of ``site``; the same call for local and remote sites."""
-        known = self._registered.get((site, name))
-        if known is not None:
-            if not isinstance(known, DataFrame):
-                known = self._registered[site, name] = known()
-            return known
-        entries = self._head([(site, name)]).entries.get((site, name))
-        if not entries:
-            raise KeyError(f"no table {name!r} at site {site!r}")
-        return self._read(entries)
+        known = self._known(site, name)
+        return known if known is not None else Snapshot(self, self._head([(site, name)])).table(site, name)
 
     def has(self, site: str, name: str) -> bool:
-        return (site, name) in self._registered or (site, name) in self._head([(site, name)]).entries
+        return (site, name) in self._registered or (site, name) in self._head([(site, name)]).tables
 
     def synonym(self, name: str, view: str | None = None) -> DataFrame:
         """The master site's copy, also registered as a temporary view."""
@@ -76,22 +133,28 @@ class SiteCatalog:
     # --- publishing --------------------------------------------------------------------
 
     def publish(
-        self, tables: dict[tuple[str, str], tuple[DataFrame, str]], buckets: int = 16,
-        tag: str | None = None,
+        self, tables: dict[Place, tuple[DataFrame, str]], buckets: int | None = None, tag: str | None = None,
+        base: int | None = None,
     ) -> int:
-        """Publish whole tables together: ``{(site, name): (df, key)}``. Returns the version."""
+        """Publish whole tables together: ``{(site, name): (df, key)}``. Returns the version.
+
+        Without ``buckets`` their number follows from the rows of each table (``BUCKET_ROWS``), so it
+        grows with the data; that costs a count. ``base``: see :meth:`publish_changes`.
+        """
         if self.root is None:
             raise ValueError("a catalog without a root cannot publish")
         with self._writing:
-            version = self._head().version + 1
+            head = self._head(list(tables))
+            self._check_base(head, tables, base)
+            version = head.version + 1
 
             def write(entry) -> list[tuple]:
                 (site, name), (df, key) = entry
-                written = self._write(site, name, df, key, buckets, version)
+                n = buckets or max(1, math.ceil(df.count() / BUCKET_ROWS))
+                written = self._write(site, name, df, key, n, version)
                 columns = df.schema.json()
                 return [
-                    (version, site, name, buckets, b, written.get(b), columns, key, tag)
-                    for b in range(buckets)
+                    (version, site, name, n, b, written.get(b), False, columns, key, tag) for b in range(n)
                 ]
 
             self._commit(self._side_by_side(write, tables.items()))
@@ -99,49 +162,69 @@ class SiteCatalog:
 
     def publish_changes(
         self,
-        tables: dict[tuple[str, str], tuple[DataFrame, Callable[[DataFrame, DataFrame], DataFrame]]],
+        tables: dict[Place, tuple[DataFrame, Callable[[DataFrame, DataFrame], DataFrame]]] | None = None,
+        appends: dict[Place, DataFrame] | None = None,
         tag: str | None = None,
+        base: int | None = None,
+        relied_on: Iterable[Place] = (),
     ) -> int:
-        """Rewrite only the buckets that a set of changes touches, for several tables together.
+        """Rewrite only the buckets that changes touch, and append rows, for several tables together.
 
-        ``{(site, name): (changes, apply)}``: ``apply(current, changes)`` gets the rows of the
-        touched buckets. ``changes`` must carry the key column of the table. Nothing happens
-        when the log has a commit with this ``tag`` already, so a batch can be retried.
+        ``tables``: ``{(site, name): (changes, apply)}``, where ``apply(current, changes)`` gets the rows
+        of the touched buckets and ``changes`` carries the key column. ``appends``: new rows, which add
+        folders and rewrite nothing. Nothing happens when the log has a commit with this ``tag`` already,
+        so a batch can be retried. ``base`` is the version all this was made from: when a table it
+        writes, or one in ``relied_on``, has moved since, :class:`StaleBase` is raised and nothing written.
         """
+        tables, appends, relied_on = tables or {}, appends or {}, list(relied_on)
         with self._writing:
-            head = self._head(list(tables), tag)
+            head = self._head([*tables, *appends, *relied_on], tag)
             if head.tagged:
                 return head.version
-            version = head.version + 1
-
-            def rewrite(entry) -> list[tuple]:
-                place, (changes, apply) = entry
-                if place not in head.entries:
+            self._check_base(head, [*tables, *appends, *relied_on], base)
+            for place in (*tables, *appends):
+                if place not in head.tables:
                     raise KeyError(f"no published table {place}")
-                return self._rewrite(*place, head.entries[place], changes, apply, version, tag)
+            version = head.version + 1
 
-            rows = self._side_by_side(rewrite, tables.items())
+            def put(entry) -> list[tuple]:
+                place, change = entry
+                table = head.tables[place]
+                if isinstance(change, DataFrame):
+                    written = self._write(*place, change.select(*_names(table)), table.key, table.buckets, version)
+                    return [
+                        (version, *place, table.buckets, b, path, True, table.columns, table.key, tag)
+                        for b, path in written.items()
+                    ]
+                return self._rewrite(place, table, *change, version, tag)
+
+            rows = self._side_by_side(put, [*tables.items(), *appends.items()])
             if rows or tag:
-                self._commit(rows or [(version, *[None] * 7, tag)])
+                self._commit(rows or [(version, *[None] * 8, tag)])
         return version
 
+    @staticmethod
+    def _check_base(head: _Head, places: Iterable[Place], base: int | None) -> None:
+        moved = [p for p in places if base is not None and p in head.tables and head.tables[p].version > base]
+        if moved:
+            raise StaleBase(f"{sorted(set(moved))} moved after version {base}")
+
     @staticmethod
     def _side_by_side(write: Callable[[tuple], list[tuple]], tables) -> list[tuple]:
         """Write several tables at the same time, so small ones do not wait for large ones."""
         with ThreadPoolExecutor(max_workers=8) as pool:
             return [row for rows in pool.map(write, list(tables)) for row in rows]
 
-    def _rewrite(self, site, name, entries, changes, apply, version, tag) -> list[tuple]:
+    def _rewrite(self, place: Place, table: _Table, changes, apply, version, tag) -> list[tuple]:
         """New folders for the buckets that ``changes`` touches, as log rows."""
-        head = next(iter(entries.values()))
-        n, key = head.buckets, head.key
+        n, key = table.buckets, table.key
         # At most one row per bucket reaches the driver.
         hit = [r.b for r in changes.select(bucket_of(key, n).alias("b")).distinct().collect()]
         if not hit:
             return []
-        current = self._read({b: entries[b] for b in hit})
-        written = self._write(site, name, apply(current, changes), key, n, version)
-        return [(version, site, name, n, b, written.get(b), head.columns, key, tag) for b in hit]
+        current = self._read(table._replace(paths={b: table.paths.get(b, []) for b in hit}))
+        written = self._write(*place, apply(current, changes), key, n, version)
+        return [(version, *place, n, b, written.get(b), False, table.columns, key, tag) for b in hit]
 
     def committed(self, tag: str) -> bool:
         """True when a publish with this tag is in the log."""
@@ -159,45 +242,55 @@ class SiteCatalog:
                 return self.spark.createDataFrame([], _LOG_SCHEMA)
             raise
 
-    def _head(self, places: list[tuple[str, str]] = (), tag: str | None = None) -> _Head:
-        """What the log says, in one job: newest version, buckets of ``places``, tag known.
+    def _head(self, places: list[Place] | None = None, tag: str | None = None) -> _Head:
+        """What the log says, in one job: newest version, folders of ``places`` (or all), tag known.
 
-        Of every bucket the newest row counts; a publish of the whole table renews them all.
+        Of every bucket the newest whole folder counts, and what was added since; a publish of the
+        whole table renews all of its buckets.
         """
         if self.root is None:
             return _Head(0, {}, False)
         log = self._log()
-        wanted = F.lit(False)
-        for site, name in places:
+        wanted = F.col("name").isNotNull() if places is None else F.lit(False)
+        for site, name in places or ():
             wanted = wanted | ((F.col("site") == site) & (F.col("name") == name))
+        whole = F.when(~F.col("added"), F.col("version"))
         newest = (
             log.filter(wanted)
             .groupBy("site", "name", "bucket")
-            .agg(F.max_by(F.struct("version", "buckets", "path", "columns", "key"), "version").alias("e"))
-            .select("site", "name", "bucket", "e.*", F.lit(False).alias("tagged"))
+            .agg(
+                F.max_by(F.struct("version", "buckets", "path", "columns", "key"), whole).alias("e"),
+                F.collect_list(F.when(F.col("added"), F.struct("version", "path"))).alias("added"),
+            )
+            .select("site", "name", "bucket", "e.*", "added", F.lit(False).alias("tagged"))
         )
-        whole = log.agg(
+        top = log.agg(
             F.coalesce(F.max("version"), F.lit(0)).alias("version"),
             F.coalesce(F.max(F.col("tag") == F.lit(tag)), F.lit(False)).alias("tagged"),
         )
-        rows = newest.unionByName(whole, allowMissingColumns=True).collect()
-        tables: dict[tuple[str, str], list[T.Row]] = {}
-        top = None
-        for row in rows:
+        found: dict[Place, list[T.Row]] = {}
+        for row in newest.unionByName(top, allowMissingColumns=True).collect():
             if row.name is None:
-                top = row
+                last = row
             else:
-                tables.setdefault((row.site, row.name), []).append(row)
-        entries = {}
-        for place, found in tables.items():
+                found.setdefault((row.site, row.name), []).append(row)
+        tables = {}
+        for place, rows in found.items():
             # The bucket count may have changed with a later publish; older rows are stale then.
-            width = max(found, key=lambda r: r.version).buckets
-            entries[place] = {r.bucket: r for r in found if r.buckets == width}
-        return _Head(top.version, entries, top.tagged)
-
-    def _read(self, entries: dict[int, T.Row]) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(next(iter(entries.values())).columns))
-        paths = [e.path for e in entries.values() if e.path]
+            latest = max(rows, key=lambda r: r.version)
+            paths, moved = {}, latest.version
+            for row in rows:
+                if row.buckets != latest.buckets:
+                    continue
+                since = [a for a in row.added if a.version > row.version]
+                moved = max([moved, *(a.version for a in since)])
+                paths[row.bucket] = [p for p in (row.path, *(a.path for a in since)) if p]
+            tables[place] = _Table(moved, latest.buckets, latest.columns, latest.key, paths)
+        return _Head(last.version, tables, last.tagged)
+
+    def _read(self, table: _Table) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(table.columns))
+        paths = [p for folders in table.paths.values() for p in folders]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -214,10 +307,18 @@ class SiteCatalog:
             .write.partitionBy("_bucket")
             .parquet(path)
         )
-        # The file list names the buckets that have rows; no job is needed to find them.
-        files = self.spark.read.schema(df.schema).parquet(path).inputFiles()
-        found = {int(m.group(1)) for f in files if (m := re.search(r"/_bucket=(\d+)/", f))}
-        return {b: f"{path}/_bucket={b}" for b in found}
+        # One row per bucket that has rows; only the folders' names and the files' footers are read.
+        found = self.spark.read.parquet(path).select("_bucket").distinct().collect() if self._has_rows(path) else []
+        return {r._bucket: f"{path}/_bucket={r._bucket}" for r in found}
+
+    def _has_rows(self, path: str) -> bool:
+        """Whether a partitioned write made any partition: without one there is nothing to infer from."""
+        try:
+            return "_bucket" in self.spark.read.parquet(path).columns
+        except AnalysisException as problem:
+            if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return False
+            raise
 
     def _commit(self, rows: list[tuple]) -> None:
         self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("append").json(
@@ -227,3 +328,7 @@ class SiteCatalog:
 
 def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _names(table: _Table) -> list[str]:
+    return [f["name"] for f in json.loads(table.columns)["fields"]]

@@ -34,13 +34,22 @@ def batch(rng, size, keys):
 
 
 @pytest.mark.parametrize("seed", range(6))
-@pytest.mark.parametrize("small", [True, False])
-def test_apply_equals_replay(spark, seed, small):
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_apply_equals_replay(spark, seed, broadcast):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        replayed(spark, seed)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def replayed(spark, seed):
     rng = random.Random(seed)
     target = [(k, "t", k) for k in rng.sample(range(30), 15)]
     changes = batch(rng, rng.choice([3, 40, 120]), 40)
     got = ch.apply_changes(
-        spark.createDataFrame(target, TARGET), spark.createDataFrame(changes, CHANGE).repartition(4), "k", small=small
+        spark.createDataFrame(target, TARGET), spark.createDataFrame(changes, CHANGE).repartition(4), "k"
     )
     assert rows(got) == replay(target, changes)
 

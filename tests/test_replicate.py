@@ -53,7 +53,7 @@ def test_many_micro_batches_equal_replay(spark, root, tmp_path):
 
 def test_late_changes_and_repeats_are_ignored(spark):
     base = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], TARGET)
-    state = base.withColumn("_seq", F.lit(None).cast("long")).withColumn("_deleted", F.lit(False))
+    state = rs.initial_state(base)
 
     def step(state, *changes):
         return rs.merge_late(state, spark.createDataFrame(list(changes), CHANGE), "k")
@@ -70,6 +70,39 @@ def test_late_changes_and_repeats_are_ignored(spark):
     assert visible(step(again, (12, "I", 2, "again", 1))) == [(1, "new"), (2, "again")]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_any_cut_and_order_equals_replay(spark, seed):
+    rng = random.Random(seed)
+    target = [(k, "t", k) for k in range(12)]
+    changes = batch(rng, 60, 20)
+    state = rs.initial_state(spark.createDataFrame(target, TARGET))
+    for at in range(0, 60, 20):
+        state = rs.merge_late(state, spark.createDataFrame(changes[at : at + 20], CHANGE), "k")
+    assert rows(state.filter("NOT _deleted").select("k", "v", "n")) == replay(target, changes)
+
+
+def test_late_insert_is_born_with_the_update(spark):
+    state = rs.initial_state(spark.createDataFrame([], TARGET))
+    for change in ((10, "U", 1, "new", 1), (5, "I", 1, "old", 2)):
+        state = rs.merge_late(state, spark.createDataFrame([change], CHANGE), "k")
+    assert rows(state.filter("NOT _deleted").select("k", "v", "n")) == [(1, "new", 1)]
+
+
+def test_marks_of_absent_keys_can_be_forgotten(spark):
+    state = rs.initial_state(spark.createDataFrame([(1, "a", 1)], TARGET))
+    log = spark.createDataFrame([(10, "D", 1, None, None), (11, "U", 2, "x", 1), (50, "I", 3, "y", 1)], CHANGE)
+    assert rows(rs.merge_late(state, log, "k").select("k")) == [(1,), (2,), (3,)]
+    assert rows(rs.merge_late(state, log, "k", forget_before=11).select("k")) == [(2,), (3,)]
+
+
+def test_hot_key_is_collapsed_before_the_shuffle(spark):
+    log = spark.range(1000).selectExpr("id seq", "'U' op", "id % 2 * (id % 7) k", "'v' v", "1 n")
+    merged = rs.merge_late(rs.initial_state(spark.createDataFrame([(1, "a", 1)], TARGET)), log, "k")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    side = plan[: plan.index("Range")]
+    assert "partial_max_by" in side[side.rindex("Exchange") :]
+
+
 def test_retried_batch_is_applied_once(spark, root, tmp_path):
     folder = str(tmp_path / "log")
     catalog = SiteCatalog(spark, root)

@@ -8,7 +8,7 @@ from world import frame, publish, rows
 from sitefold.plans.views import global_catalog
 from sitefold.sources import loading as ld
 from sitefold.sources.schema import RELATIONS, with_defaults
-from sitefold.sources.sites import SiteCatalog
+from sitefold.sources.sites import SiteCatalog, StaleBase
 
 
 def test_csv_load_is_typed(spark, tmp_path):
@@ -100,19 +100,76 @@ def test_publish_is_all_or_nothing(spark, root):
 def test_publish_changes_rewrites_touched_buckets_only(spark, root):
     catalog = SiteCatalog(spark, root)
     catalog.publish({("EU", "t"): (numbers(spark, 100), "id")}, buckets=8)
-    old = {b: e.path for b, e in catalog._head([("EU", "t")]).entries["EU", "t"].items()}
+    old = catalog._head([("EU", "t")]).tables["EU", "t"].paths
     changes = spark.createDataFrame([(7, "new"), (200, "added")], "id long, v string")
     catalog.publish_changes(
         {("EU", "t"): (changes, lambda cur, ch: cur.join(ch.select("id"), "id", "left_anti").unionByName(ch))},
         tag="batch 1",
     )
-    new = {b: e.path for b, e in catalog._head([("EU", "t")]).entries["EU", "t"].items()}
+    new = catalog._head([("EU", "t")]).tables["EU", "t"].paths
     assert 1 <= sum(old[b] != new[b] for b in old) <= 2
     got = {r.id: r.v for r in catalog.table("EU", "t").collect()}
     assert len(got) == 101 and got[7] == "new" and got[200] == "added" and got[8] == "a"
     assert catalog.committed("batch 1") and not catalog.committed("batch 2")
 
 
+def test_appends_add_folders_and_rewrite_nothing(spark, root):
+    catalog = SiteCatalog(spark, root)
+    catalog.publish({("EU", "t"): (numbers(spark, 1000), "id")}, buckets=4)
+    old = catalog._head([("EU", "t")]).tables["EU", "t"].paths
+    catalog.publish_changes(appends={("EU", "t"): spark.createDataFrame([("x", 2000), ("y", 2001)], "v string, id long")})
+    new = catalog._head([("EU", "t")]).tables["EU", "t"].paths
+    assert all(new[b][:1] == old[b] for b in old) and 1 <= sum(len(p) - 1 for p in new.values()) <= 2
+    written = [p for b in new for p in new[b][1:]]
+    assert sorted(r.id for r in spark.read.parquet(*written).collect()) == [2000, 2001]
+    assert catalog.table("EU", "t").count() == 1002
+    # A rewrite takes in what was appended.
+    gone = spark.createDataFrame([(2000,), (5,)], "id long")
+    catalog.publish_changes({("EU", "t"): (gone, lambda cur, ch: cur.join(ch, "id", "left_anti"))})
+    assert catalog.table("EU", "t").count() == 1000
+    catalog.publish_changes(appends={("EU", "t"): numbers(spark, 0)})
+    assert catalog.table("EU", "t").count() == 1000
+
+
+def test_snapshot_is_one_version_of_all_tables(spark, root):
+    catalog = SiteCatalog(spark, root)
+    catalog.publish({("AM", "t"): (numbers(spark, 5), "id"), ("AM", "u"): (numbers(spark, 3), "id")}, buckets=2)
+    reads = []
+    log = catalog._log
+    catalog._log = lambda: reads.append(1) or log()
+    snapshot = catalog.snapshot()
+    first = snapshot.table("AM", "t")
+    catalog.publish({("AM", "t"): (numbers(spark, 7), "id"), ("AM", "u"): (numbers(spark, 9), "id")}, buckets=2)
+    del reads[1:]
+    assert (first.count(), snapshot.table("AM", "u").count(), snapshot.has("AM", "u")) == (5, 3, True)
+    assert len(reads) == 1 and snapshot.snapshot() is snapshot
+    assert catalog.table("AM", "u").count() == 9
+
+
+def test_publish_from_an_old_version_fails(spark, root):
+    catalog = SiteCatalog(spark, root)
+    catalog.publish({("AM", n): (numbers(spark, 5), "id") for n in "tuw"}, buckets=2)
+    base = catalog.snapshot().version
+    row = spark.createDataFrame([(9, "x")], "id long, v string")
+    catalog.publish_changes(appends={("AM", "t"): row}, base=base)
+    with pytest.raises(StaleBase):
+        catalog.publish_changes(appends={("AM", "t"): row}, base=base)
+    with pytest.raises(StaleBase):
+        catalog.publish_changes(appends={("AM", "u"): row}, base=base, relied_on=[("AM", "t")])
+    with pytest.raises(StaleBase):
+        catalog.publish({("AM", "t"): (numbers(spark, 1), "id")}, base=base)
+    catalog.publish_changes(appends={("AM", "u"): row}, base=base, relied_on=[("AM", "w")])
+    assert [catalog.table("AM", n).count() for n in "tuw"] == [6, 6, 5]
+
+
+def test_bucket_count_follows_the_rows(spark, root, monkeypatch):
+    monkeypatch.setattr("sitefold.sources.sites.BUCKET_ROWS", 30)
+    catalog = SiteCatalog(spark, root)
+    catalog.publish({("AM", "t"): (numbers(spark, 100), "id"), ("AM", "u"): (numbers(spark, 0), "id")})
+    tables = catalog._head().tables
+    assert (tables["AM", "t"].buckets, tables["AM", "u"].buckets) == (4, 1)
+
+
 def test_empty_and_missing_tables(spark, root):
     catalog = SiteCatalog(spark, root)
     assert not catalog.has("AM", "t")
