@@ -63,6 +63,17 @@ sql("verify_fragmentation", """SELECT * FROM (VALUES ('complete', CAST(0 AS BIGI
 sql("verify_incomplete", """SELECT 'complete' AS "check", count(*) violations, count(*) = 0 ok
     FROM rezervare WHERE regiune_vanzare = 'OTHER'
     UNION ALL SELECT 'disjoint', 0, true UNION ALL SELECT 'rebuild', 0, true""")
+sql("verify_overlap", """SELECT "check", violations, violations = 0 ok FROM (
+    SELECT 'complete' "check", count(*) violations FROM rezervare WHERE regiune_vanzare = 'EU'
+      AND id_rezervare % 7 = 0 AND total_de_plata <> 0 AND status <> 'ANULATA'
+    UNION ALL SELECT 'disjoint', count(*) FROM rezervare WHERE status = 'ANULATA'
+    UNION ALL SELECT 'rebuild', count(*) FILTER (regiune_vanzare = 'EU' AND id_rezervare % 7 = 0 AND total_de_plata <> 0)
+      + count(*) FILTER (status = 'ANULATA'
+        AND NOT (regiune_vanzare = 'EU' AND id_rezervare % 7 = 0 AND total_de_plata <> 0)) FROM rezervare)""")
+sql("verify_vertical_broken", """SELECT "check", violations, violations = 0 ok FROM (
+    SELECT 'complete' "check", count(*) FILTER (id_user % 10 = 3) violations FROM utilizator
+    UNION ALL SELECT 'disjoint', 0
+    UNION ALL SELECT 'rebuild', count(*) FILTER (id_user % 10 = 3) FROM utilizator)""")
 ORACLE["verify_vertical"] = ORACLE["verify_fragmentation"]
 
 # --- surrogate keys --------------------------------------------------------------------
@@ -94,6 +105,8 @@ sql("view_union_all", f"SELECT {BOOKING_COLUMNS}, regiune_vanzare site FROM v_re
 sql("view_vertical_join", """SELECT id_user, nume, prenume, email, parola, telefon,
     data_inregistrare, rol FROM utilizator""")
 
+sql("global_names_pruned", """SELECT 'AM' site, status, count(*) bookings FROM v_rezervare
+    WHERE regiune_vanzare = 'AM' GROUP BY status""")
 sql("global_names", """SELECT regiune_vanzare, nume_tara, count(*) tickets, count(DISTINCT id_user) users
     FROM bilet JOIN v_rezervare USING (id_rezervare) JOIN zbor USING (id_zbor)
     JOIN aeroport ON id_aeroport_plecare = id_aeroport JOIN oras USING (id_oras) JOIN tara USING (id_tara)
@@ -215,7 +228,8 @@ def _state(name: str, until: str = "true") -> tuple[str, str]:
 
 
 _MIDDLE = "(SELECT max(event_id) // 2 FROM events)"
-for _name in ("apply_changes", "apply_changes_bulk", "replica_after_changes", "refresh_incremental"):
+for _name in ("apply_changes", "apply_changes_bulk", "replica_after_changes", "replica_out_of_order",
+              "refresh_incremental"):
     sql(_name, "SELECT user_id, value, note FROM after_all", *_state("after_all"))
 sql("insert_conflicts", """SELECT DISTINCT user_id FROM (
     SELECT user_id, op, lag(op) OVER (PARTITION BY user_id ORDER BY seq) prev FROM chg WHERE op <> 'U')
@@ -290,6 +304,39 @@ sql("book_batch", """SELECT (SELECT max(id_bilet) FROM bilet WHERE id_rezervare
     pret_final total_de_plata, 'CONFIRMATA' status, pret_final suma_achitata,
     TIMESTAMP '2001-08-01 00:00:00' data_plata, 'CARD' metoda_plata
     FROM (SELECT *, row_number() OVER (ORDER BY request_id) rn FROM ranked WHERE verdict IS NULL)""", *_REVIEW)
+ORACLE["book_published"] = ORACLE["book_batch"]
+sql("book_twice", """SELECT (SELECT max(id_bilet) FROM bilet WHERE id_rezervare % 2 = 0) + 2 * rn id_bilet,
+    (SELECT max(id_rezervare) FROM booking WHERE id_rezervare % 2 = 0) + 2 * rn id_rezervare,
+    (SELECT max(id_rezervare) FROM booking WHERE id_rezervare % 2 = 0) + 2 * rn id_plata,
+    id_user, id_zbor, numar_rand, litera_scaun
+    FROM (SELECT *, row_number() OVER (ORDER BY request_id % 3, request_id) rn FROM
+      (SELECT *, row_number() OVER (PARTITION BY id_zbor, numar_rand, litera_scaun
+        ORDER BY request_id % 3, request_id) place FROM judged WHERE reason IS NULL AND request_id % 3 < 2)
+      WHERE place = 1)""", *_REVIEW)
+sql("snapshot_read", """SELECT version, count(DISTINCT b.id_rezervare) bookings, CAST(count(*) AS BIGINT) tickets
+    FROM bilet b JOIN booking k ON k.id_rezervare = b.id_rezervare, (VALUES ('before'), ('after')) v(version)
+    WHERE b.id_rezervare % 2 = 0 AND (version = 'before' OR b.id_rezervare % 4 <> 0) GROUP BY version""")
+sql("admit_insert", """SELECT seq, rule, error FROM broken UNION ALL
+    SELECT seq, CASE WHEN place > 1 THEN 'unique_id_zbor_numar_rand_litera_scaun_batch' END, NULL FROM placed""",
+    """fresh AS (SELECT o_orderkey seq, o_orderkey id_rezervare, o_custkey id_zbor, o_custkey + 30 id_pasager,
+      o_orderkey % 30 - 1 numar_rand, substr('ABCDEFGX', CAST(o_orderkey % 8 + 1 AS INTEGER), 1) litera_scaun,
+      CAST(o_totalprice - 3000 AS DECIMAL(10,2)) pret_final FROM orders)""",
+    """broken AS (SELECT seq, 'ticket_row' rule, CAST(NULL AS INTEGER) error FROM fresh WHERE NOT (numar_rand > 0 AND numar_rand <= 100)
+      UNION ALL SELECT seq, 'ticket_letter', NULL FROM fresh WHERE litera_scaun NOT IN ('A','B','C','D','E','F','G','H','J','K')
+      UNION ALL SELECT seq, 'ticket_price', NULL FROM fresh WHERE NOT pret_final > 0
+      UNION ALL SELECT seq, 'fk_id_rezervare', NULL FROM fresh
+        WHERE id_rezervare NOT IN (SELECT id_rezervare FROM booking WHERE id_rezervare % 2 = 0)
+      UNION ALL SELECT seq, 'fk_id_zbor', NULL FROM fresh WHERE id_zbor NOT IN (SELECT id_zbor FROM zbor)
+      UNION ALL SELECT seq, 'fk_id_pasager', -20002 FROM fresh WHERE id_pasager NOT IN (SELECT id_pasager FROM pasager)
+      UNION ALL SELECT seq, CASE own WHEN 1 THEN 'unique_id_zbor_numar_rand_litera_scaun' ELSE 'unique_seat_sites' END,
+        CASE own WHEN 0 THEN -20004 END FROM fresh f JOIN (SELECT DISTINCT id_zbor, numar_rand, litera_scaun,
+          CASE WHEN id_rezervare % 2 = 0 THEN 1 ELSE 0 END own FROM bilet) b
+        ON f.id_zbor = b.id_zbor AND f.numar_rand = b.numar_rand AND f.litera_scaun = b.litera_scaun)""",
+    """placed AS (SELECT seq, row_number() OVER (PARTITION BY id_zbor, numar_rand, litera_scaun ORDER BY seq) place
+      FROM fresh WHERE seq NOT IN (SELECT seq FROM broken))""")
+sql("admit_update", """SELECT id_rezervare seq, CASE WHEN u.id_user IS NULL THEN 'fk_id_user' END rule,
+    CAST(CASE WHEN u.id_user IS NULL THEN -20001 END AS INTEGER) error
+    FROM booking b LEFT JOIN utilizator u ON u.id_user = b.id_user + 20 WHERE id_rezervare % 2 = 0""")
 sql("delete_by_key", """SELECT id_bilet, id_rezervare, id_zbor FROM bilet WHERE id_rezervare NOT IN
     (SELECT id_rezervare FROM rezervare WHERE status = 'ANULATA')""")
 

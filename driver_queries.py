@@ -16,6 +16,7 @@ from sitefold.operators import fragment as fr
 from sitefold.operators import integrity as ic
 from sitefold.operators import keys as ks
 from sitefold.operators import relational as rl
+from sitefold.operators import admission as ad
 from sitefold.plans import booking as bk
 from sitefold.plans import reports as rp
 from sitefold.plans import views as vw
@@ -172,6 +173,29 @@ def verify_fragmentation(t: Tables) -> DataFrame:
     return fr.verify_fragmentation(bookings, fr.fragment_horizontal(bookings, _regions()), "id_rezervare")
 
 
+@query
+def verify_overlap(t: Tables) -> DataFrame:
+    # Fragments that share rows, and one whose rows were altered.
+    bookings = t.rezervare()
+    regions = {**_regions(), "CANCELLED": F.col("status") == "ANULATA"}
+    parts = fr.fragment_horizontal(bookings, regions)
+    parts["EU"] = parts["EU"].withColumn(
+        "total_de_plata", F.when(F.col("id_rezervare") % 7 == 0, F.lit(0)).otherwise(F.col("total_de_plata")).cast("decimal(10,2)")
+    )
+    return fr.verify_fragmentation(bookings, parts, "id_rezervare")
+
+
+@query
+def verify_vertical_broken(t: Tables) -> DataFrame:
+    # Users are missing from one fragment, and one column is in both.
+    parts = fr.fragment_vertical(
+        t.utilizator(), "id_user",
+        {"sec": ["email", "parola", "rol"], "data": ["nume", "prenume", "telefon", "data_inregistrare"]},
+    )
+    parts["sec"] = parts["sec"].filter("id_user % 10 <> 3")
+    return fr.verify_fragmentation(t.utilizator(), parts, "id_user", "vertical")
+
+
 @query
 def verify_incomplete(t: Tables) -> DataFrame:
     # Two regions only: the third one's bookings are missing from the fragments.
@@ -282,6 +306,16 @@ def global_names(t: Tables) -> DataFrame:
     )
 
 
+@query
+def global_names_pruned(t: Tables) -> DataFrame:
+    # One region is asked for, so one fragment is read.
+    vw.global_catalog(t.catalog(), prune=True, site_column="site")
+    return t.spark.sql(
+        """SELECT r.site, r.status, count(*) AS bookings FROM v_rezervare r
+        WHERE r.regiune_vanzare = 'AM' GROUP BY r.site, r.status"""
+    )
+
+
 # --- projections, filters, expressions -------------------------------------------------
 
 
@@ -573,6 +607,21 @@ def replica_after_changes(t: Tables) -> DataFrame:
     return rs.read_replica(catalog, "EU", "accounts")
 
 
+@query
+def replica_out_of_order(t: Tables) -> DataFrame:
+    # The later half of the log arrives first, in a batch of its own.
+    catalog = vw.SiteCatalog(t.spark, fresh_path(t.spark, "replica"))
+    rs.start_replica(catalog, "EU", "accounts", t.accounts(), "user_id", buckets=8)
+    folder, stream = fresh_path(t.spark, "log"), fresh_path(t.spark, "stream")
+    middle = _middle(t)
+    for late in (False, True):
+        part = t.account_changes().filter((F.col("seq") <= middle) == late)
+        part.write.parquet(f"{folder}/half={int(late)}")
+        changes = rs.read_changes(t.spark, folder, t.account_changes().schema, recursiveFileLookup="true")
+        rs.replicate_stream(changes, catalog, "EU", "accounts", "user_id", stream).awaitTermination()
+    return rs.read_replica(catalog, "EU", "accounts")
+
+
 @query
 def capture_changes(t: Tables) -> DataFrame:
     return ch.capture_changes(
@@ -729,6 +778,98 @@ def book_refused(t: Tables) -> DataFrame:
     return bk.review(t.catalog(), _requests(t)).filter(F.col("reason").isNotNull()).select("request_id", "reason")
 
 
+def _published(t: Tables, names: dict[tuple[str, str], str]) -> vw.SiteCatalog:
+    """The roles with some tables published: ``{(site, name): key}``."""
+    catalog, source = t.catalog(fresh_path(t.spark, "sites")), t.catalog()
+    catalog.publish({(s, n): (source.table(s, n), key) for (s, n), key in names.items()})
+    for place in names:
+        catalog.unregister(*place)
+    return catalog
+
+
+_SALES_EU = {("EU", "rezervare_eu"): "id_rezervare", ("EU", "plata_eu"): "id_plata", ("EU", "bilet_eu"): "id_bilet"}
+
+
+def _new_tickets(before: vw.SiteCatalog, after: vw.SiteCatalog) -> DataFrame:
+    old = before.table("EU", "bilet_eu").select("id_bilet")
+    tickets = after.table("EU", "bilet_eu").join(old, "id_bilet", "left_anti")
+    bookings = after.table("EU", "rezervare_eu")
+    payments = after.table("EU", "plata_eu").drop("status")
+    return tickets.join(bookings, "id_rezervare").join(payments, "id_rezervare")
+
+
+@query
+def book_published(t: Tables) -> DataFrame:
+    # The batch's rows as they stand in the published tables.
+    catalog = _published(t, _SALES_EU)
+    before = catalog.snapshot()
+    bk.book_and_publish(catalog, _requests(t), "EU", AS_OF, tag="batch")
+    return _new_tickets(before, catalog.snapshot())
+
+
+@query
+def book_twice(t: Tables) -> DataFrame:
+    # Two batches are checked against the same version and want some of the same seats.
+    catalog = _published(t, _SALES_EU)
+    before = catalog.snapshot()
+    first, second = (_requests(t).filter(F.col("request_id") % 3 == k) for k in (0, 1))
+    one, two = bk.book(catalog, first, "EU", AS_OF), bk.book(catalog, second, "EU", AS_OF)
+    bk.publish_booked(catalog, "EU", one)
+    bk.book_and_publish(catalog, second, "EU", AS_OF, booked=two)
+    return _new_tickets(before, catalog.snapshot()).select(
+        "id_bilet", "id_rezervare", "id_plata", "id_user", "id_zbor", "numar_rand", "litera_scaun"
+    )
+
+
+@query
+def snapshot_read(t: Tables) -> DataFrame:
+    # Bookings are read before a publish and tickets after it: a snapshot shows one version of both.
+    catalog = _published(t, {k: v for k, v in _SALES_EU.items() if k[1] != "plata_eu"})
+    snapshot = catalog.snapshot()
+    bookings = snapshot.table("EU", "rezervare_eu")
+    gone = bookings.filter("id_rezervare % 4 = 0").select("id_rezervare")
+    lost = snapshot.table("EU", "bilet_eu").join(gone, "id_rezervare", "left_semi").select("id_bilet")
+    drop = lambda key: lambda current, keys: current.join(keys, key, "left_anti")
+    catalog.publish_changes({
+        ("EU", "rezervare_eu"): (gone, drop("id_rezervare")), ("EU", "bilet_eu"): (lost, drop("id_bilet")),
+    })
+    now = catalog.snapshot()
+    counted = {
+        name: s.table("EU", "bilet_eu").groupBy("id_rezervare").count().join(b, "id_rezervare")
+        .agg(F.count(F.lit(1)).alias("bookings"), F.sum("count").alias("tickets"))
+        for name, s, b in (("before", snapshot, bookings), ("after", now, now.table("EU", "rezervare_eu")))
+    }
+    return by_site(counted, "version")
+
+
+@query
+def admit_insert(t: Tables) -> DataFrame:
+    # New tickets for EU, many of which some rule refuses; accepted ones have no rule.
+    new = t.raw("orders").selectExpr(
+        "o_orderkey AS seq", "100000000 + o_orderkey * 2 AS id_bilet", "o_orderkey AS id_rezervare",
+        "o_custkey AS id_zbor", "o_custkey + 30 AS id_pasager", "o_orderkey % 30 - 1 AS numar_rand",
+        "substring('ABCDEFGX', CAST(o_orderkey % 8 + 1 AS INT), 1) AS litera_scaun",
+        "IF(o_orderstatus = 'P', 'BUSINESS', 'ECONOMY') AS clasa",
+        "CAST(o_totalprice - 3000 AS DECIMAL(10,2)) AS pret_final",
+    )
+    return _verdicts(ad.admit(t.catalog(), "EU", "bilet", new))
+
+
+@query
+def admit_update(t: Tables) -> DataFrame:
+    # Bookings of EU are given to other users, some of whom the central site does not know.
+    moved = t.catalog().table("EU", "rezervare_eu").withColumns(
+        {"id_user": F.col("id_user") + 20, "seq": F.col("id_rezervare")}
+    )
+    return _verdicts(ad.admit(t.catalog(), "EU", "rezervare", moved, changed=["id_user"]))
+
+
+def _verdicts(admitted: ad.Admitted) -> DataFrame:
+    none = F.lit(None)
+    accepted = admitted.accepted.select("seq", none.cast("string").alias("rule"), none.cast("int").alias("error"))
+    return accepted.unionByName(admitted.refused.select("seq", "rule", "error"))
+
+
 @query
 def delete_by_key(t: Tables) -> DataFrame:
     cancelled = t.rezervare().filter(F.col("status") == "ANULATA")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sitefold.functions import check_fails
 from sitefold.sources.schema import RELATIONS, Relation
-from sitefold.sources.sites import SiteCatalog
+from sitefold.sources.sites import SiteCatalog, one_version
 
 # Error numbers of the cross-site rules.
 ERROR_UNKNOWN_USER = -20001
@@ -237,6 +237,7 @@ def rule_report(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     )
 
 
+@one_version
 def site_rules(catalog: SiteCatalog, site: str) -> tuple[dict[str, DataFrame], list[Rule]]:
     """Tables of a site and every rule that applies to them, local and cross-site."""
     tables: dict[str, DataFrame] = {}

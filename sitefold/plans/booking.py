@@ -21,7 +21,7 @@ from sitefold.functions import (
 from sitefold.operators.keys import SITE_SEQUENCE, dense_row_number, next_keys
 from sitefold.session import materialize
 from sitefold.sources.schema import TRAVEL_CLASS
-from sitefold.sources.sites import SiteCatalog
+from sitefold.sources.sites import SiteCatalog, Snapshot, StaleBase
 
 SEAT = ["id_zbor", "numar_rand", "litera_scaun"]
 
@@ -34,6 +34,8 @@ class Booked:
     payments: DataFrame
     tickets: DataFrame
     refused: DataFrame
+    #: Version of the catalog that the requests were checked against.
+    base: int | None = None
 
 
 def with_status(flights: DataFrame, cancelled: str, as_of) -> DataFrame:
@@ -90,6 +92,7 @@ def review(catalog: SiteCatalog, requests: DataFrame, factor="1.5") -> DataFrame
     sites and against the other requests: of the acceptable requests for one seat the lowest
     ``request_id`` wins. A refused request does not hold its seat.
     """
+    catalog = catalog.snapshot()
     master = catalog.master
     layouts = F.broadcast(seat_models(catalog.spark))
     flights = (
@@ -99,9 +102,14 @@ def review(catalog: SiteCatalog, requests: DataFrame, factor="1.5") -> DataFrame
         .join(layouts, "model", "left")
         .select("id_zbor", "pret_standard", "cols", "max_row")
     )
+    # Only tickets for seats that the batch asks for; Spark broadcasts those seats when they are few.
+    asked = requests.select(*SEAT).distinct()
     sold = reduce(
         DataFrame.unionByName,
-        [catalog.table(s, f"bilet_{s.lower()}").select(*SEAT) for s in catalog_sites(catalog)],
+        [
+            catalog.table(s, f"bilet_{s.lower()}").select(*SEAT).join(asked, SEAT, "left_semi")
+            for s in catalog_sites(catalog)
+        ],
     ).distinct()
     checked = requests.join(flights, "id_zbor", "left")
     checked = _known(checked, catalog.table(master, "utilizator_sec"), "id_user", "_user")
@@ -136,7 +144,8 @@ def review(catalog: SiteCatalog, requests: DataFrame, factor="1.5") -> DataFrame
     )
 
 
-def catalog_sites(catalog: SiteCatalog) -> list[str]:
+def catalog_sites(catalog: SiteCatalog | Snapshot) -> list[str]:
+    catalog = catalog.snapshot()
     return [s for s in SITE_SEQUENCE if catalog.has(s, f"bilet_{s.lower()}")]
 
 
@@ -145,8 +154,10 @@ def book(catalog: SiteCatalog, requests: DataFrame, site: str, as_of, factor="1.
 
     ``requests``: request_id, id_user, id_zbor, id_pasager, numar_rand, litera_scaun, clasa.
     Every accepted request gives a booking, a payment and a ticket with keys of the site's
-    sequence, in ``request_id`` order. Publish the three with :func:`publish_booked`.
+    sequence, in ``request_id`` order. Everything is read at one version of the catalog. Publish the
+    three with :func:`publish_booked`, which refuses if that version is out of date by then.
     """
+    catalog = catalog.snapshot()
     accepted = F.col("reason").isNull()
     # Accepted and refused requests are numbered apart in one pass, which also fixes both.
     reviewed = dense_row_number(
@@ -183,25 +194,49 @@ def book(catalog: SiteCatalog, requests: DataFrame, site: str, as_of, factor="1.
             "clasa", "pret_final",
         ),
         refused=reviewed.filter(~accepted).drop("_ok", "_rn"),
+        base=catalog.version,
     )
 
 
 def publish_booked(catalog: SiteCatalog, site: str, booked: Booked, tag: str | None = None) -> int:
-    """Add the rows of a booked batch to the site's three tables in one commit."""
-    def add(current: DataFrame, new: DataFrame) -> DataFrame:
-        return current.unionByName(new)
+    """Append the rows of a booked batch to the site's three tables in one commit.
 
+    Raises :class:`StaleBase` when tickets of any site, or the tables that give out keys, have moved
+    since the batch was checked: its seats may be sold and its keys taken.
+    """
     tail = site.lower()
     return catalog.publish_changes(
-        {
-            (site, f"rezervare_{tail}"): (booked.bookings, add),
-            (site, f"plata_{tail}"): (booked.payments, add),
-            (site, f"bilet_{tail}"): (booked.tickets, add),
+        appends={
+            (site, f"rezervare_{tail}"): booked.bookings,
+            (site, f"plata_{tail}"): booked.payments,
+            (site, f"bilet_{tail}"): booked.tickets,
         },
         tag=tag,
+        base=booked.base,
+        relied_on=[(s, f"bilet_{s.lower()}") for s in catalog_sites(catalog)],
     )
 
 
+def book_and_publish(
+    catalog: SiteCatalog, requests: DataFrame, site: str, as_of, tag: str | None = None, attempts: int = 5,
+    booked: Booked | None = None,
+) -> Booked:
+    """Book a batch and publish it; checked anew when another batch got in between.
+
+    ``booked`` may hold a check that was made before. Returns what was published.
+    """
+    for left in range(attempts - 1, -1, -1):
+        booked = booked or book(catalog, requests, site, as_of)
+        try:
+            publish_booked(catalog, site, booked, tag)
+            return booked
+        except StaleBase:
+            if not left:
+                raise
+            booked = None
+    raise ValueError("no attempts")
+
+
 def publish_cancelled(catalog: SiteCatalog, ids: DataFrame, tag: str | None = None) -> int:
     """Cancel bookings by id in the published tables of all sites, in one commit.
 

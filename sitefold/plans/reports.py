@@ -25,7 +25,7 @@ from sitefold.operators.relational import (
     top_k_join,
 )
 from sitefold.plans.views import view_horizontal, view_vertical
-from sitefold.sources.sites import SiteCatalog
+from sitefold.sources.sites import SiteCatalog, one_version
 
 # --- the route report ------------------------------------------------------------------
 
@@ -104,6 +104,7 @@ def _route_columns(df: DataFrame, nationality: str) -> DataFrame:
     )
 
 
+@one_version
 def report_routes(catalog: SiteCatalog, as_of, k: int = 10, months: int = 6) -> DataFrame:
     """Top ``k`` flights by revenue of accepted payments of the last ``months`` months.
 
@@ -124,6 +125,7 @@ def report_routes(catalog: SiteCatalog, as_of, k: int = 10, months: int = 6) ->
     return top_k(routes, [("venit_total", "desc"), "id_zbor"], k)
 
 
+@one_version
 def report_routes_ranked(catalog: SiteCatalog, as_of, k: int = 10, months: int = 6) -> DataFrame:
     """The same report with nationalities ranked: tied nationalities give one row each.
 
@@ -153,6 +155,7 @@ def report_routes_ranked(catalog: SiteCatalog, as_of, k: int = 10, months: int =
     return top_k(routes, [("venit_total", "desc"), "id_zbor", "nationalitate_predominanta"], k)
 
 
+@one_version
 def nationality_ranks(catalog: SiteCatalog) -> DataFrame:
     """Nationalities of each flight's passengers with count and rank (ties share a rank)."""
     passengers = catalog.table(catalog.master, "pasager").select("id_pasager", "nationalitate")
@@ -160,6 +163,7 @@ def nationality_ranks(catalog: SiteCatalog) -> DataFrame:
     return rank_counts(tickets.join(passengers, "id_pasager"), "id_zbor", "nationalitate")
 
 
+@one_version
 def route_dimensions_hashed(catalog: SiteCatalog, per_flight: DataFrame) -> DataFrame:
     """Flight and aircraft joined to aggregated rows by hash joins, in the written order."""
     return join_hashed(
@@ -191,17 +195,20 @@ def _scheduled(catalog: SiteCatalog, site: str) -> DataFrame:
     return catalog.table(site, "zbor").filter(F.col("status") == "PROGRAMAT")
 
 
+@one_version
 def list_departures(catalog: SiteCatalog, site: str = "AM") -> DataFrame:
     """Airports that a scheduled flight leaves from, as (id, "City (IATA)")."""
     return _ends(catalog, site, _scheduled(catalog, site), "id_aeroport_plecare")
 
 
+@one_version
 def list_arrivals(catalog: SiteCatalog, departure: int, site: str = "AM") -> DataFrame:
     """Airports a scheduled flight reaches from one departure."""
     flights = _scheduled(catalog, site).filter(F.col("id_aeroport_plecare") == departure)
     return _ends(catalog, site, flights, "id_aeroport_sosire")
 
 
+@one_version
 def list_flights(catalog: SiteCatalog, departure: int, arrival: int, site: str = "AM") -> DataFrame:
     """Scheduled flights of a route with a time label, price and aircraft model."""
     flights = _scheduled(catalog, site).filter(
@@ -228,6 +235,7 @@ def latest(table: DataFrame, key: str, k: int) -> DataFrame:
     return top_k(table, [(key, "desc")], k)
 
 
+@one_version
 def booking_history(catalog: SiteCatalog, site: str, k: int = 15) -> DataFrame:
     """Latest bookings of a site with the client's name."""
     bookings = catalog.table(site, f"rezervare_{site.lower()}")
@@ -239,6 +247,7 @@ def booking_history(catalog: SiteCatalog, site: str, k: int = 15) -> DataFrame:
     )
 
 
+@one_version
 def global_tickets(catalog: SiteCatalog, k: int = 100) -> DataFrame:
     """Latest tickets of all sites with region and status of their booking."""
     bookings = view_horizontal(catalog, "rezervare").select(
@@ -251,14 +260,17 @@ def global_tickets(catalog: SiteCatalog, k: int = 100) -> DataFrame:
     )
 
 
+@one_version
 def global_users(catalog: SiteCatalog, k: int = 50) -> DataFrame:
     return top_k(view_vertical(catalog), ["id_user"], k)
 
 
+@one_version
 def latest_flights(catalog: SiteCatalog, k: int = 50) -> DataFrame:
     return top_k(catalog.synonym("zbor"), [("data_plecare", "desc"), "id_zbor"], k)
 
 
+@one_version
 def active_bookings(catalog: SiteCatalog, k: int = 10) -> DataFrame:
     """Latest bookings, of any site, that are not cancelled."""
     bookings = view_horizontal(catalog, "rezervare").filter(F.col("status") != "ANULATA")
@@ -267,6 +279,7 @@ def active_bookings(catalog: SiteCatalog, k: int = 10) -> DataFrame:
     )
 
 
+@one_version
 def site_status(catalog: SiteCatalog, site: str, bookings: list[int] | None = None) -> DataFrame:
     """Booking and payment status at one site; empty when the site does not own the booking."""
     tail = site.lower()
@@ -277,6 +290,7 @@ def site_status(catalog: SiteCatalog, site: str, bookings: list[int] | None = No
     return own.select("id_rezervare", F.col("status").alias("status_rez")).join(payments, "id_rezervare")
 
 
+@one_version
 def lookup(catalog: SiteCatalog, site: str, name: str, key: str, value) -> DataFrame:
     """The row of a site's table with a given key."""
     return catalog.table(site, name).filter(F.col(key) == F.lit(value))

@@ -73,9 +73,18 @@ def view_vertical(catalog: SiteCatalog) -> DataFrame:
     )
 
 
-def global_catalog(catalog: SiteCatalog) -> dict[str, DataFrame]:
-    """Register every global relation as a temporary view and return them by view name."""
-    views = {f"v_{name}": view_horizontal(catalog, name) for name in ("rezervare", "plata", "bilet")}
+def global_catalog(
+    catalog: SiteCatalog, prune: bool = False, site_column: str | None = None
+) -> dict[str, DataFrame]:
+    """Register every global relation as a temporary view and return them by view name.
+
+    All views show one version of the catalog. ``prune`` and ``site_column`` are those of
+    :func:`view_horizontal`: with ``prune``, SQL that asks for one region or key reads one fragment.
+    """
+    catalog = catalog.snapshot()
+    views = {
+        f"v_{name}": view_horizontal(catalog, name, site_column, prune) for name in ("rezervare", "plata", "bilet")
+    }
     views["v_utilizator"] = view_vertical(catalog)
     for view, df in views.items():
         df.createOrReplaceTempView(view)

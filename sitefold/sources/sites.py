@@ -14,6 +14,7 @@ on has moved since. There is one writing driver at a time per root.
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 import threading
@@ -89,6 +90,17 @@ class Snapshot:
         return df
 
 
+def one_version(job: Callable) -> Callable:
+    """A job whose first argument is a catalog, run on a snapshot: all its tables are of one version,
+    found by one look at the log."""
+
+    @functools.wraps(job)
+    def run(catalog: SiteCatalog | Snapshot, *args, **options):
+        return job(catalog.snapshot(), *args, **options)
+
+    return run
+
+
 class SiteCatalog:
     """Tables of named sites. ``master`` is the site whose copy synonyms point at."""
 
@@ -106,6 +118,10 @@ class SiteCatalog:
         """Make ``df`` the table ``name`` of ``site``; a function is called on first use."""
         self._registered[site, name] = df
 
+    def unregister(self, site: str, name: str) -> None:
+        """Forget a registered table; a published one of that name is read from then on."""
+        self._registered.pop((site, name), None)
+
     def _known(self, site: str, name: str) -> DataFrame | None:
         known = self._registered.get((site, name))
         if known is not None and not isinstance(known, DataFrame):
