@@ -12,14 +12,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries of a task's word-hash cache before it starts anew; bounds a worker's memory.
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17
 
 MIX_1 = np.uint64(0x9E3779B97F4A7C15)
 MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
 
 
+#: Rows of an Arrow batch. Texts are long: Spark's default of 10,000 rows is tens of megabytes, held
+#: by the JVM and by Python at once.
+BATCH_ROWS = 1_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once in each application, as ``--py-files`` would."""
+    """Send the package to the executors once in each application, as ``--py-files`` would, and bound
+    Arrow batches to ``BATCH_ROWS`` unless the session asks for less."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_sitefold_shipped", False):
         return

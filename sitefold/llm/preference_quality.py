@@ -95,7 +95,8 @@ class Ranker:
 
 
 def _features(texts: pa.Array) -> pa.Array:
-    return pa.array([features(t.as_py()) for t in texts], pa.list_(pa.float32()))
+    """Packed float32 vectors."""
+    return pa.array([features(t.as_py()).tobytes() for t in texts], pa.binary())
 
 
 def fit(
@@ -131,12 +132,12 @@ def quantile_threshold(strengths: np.ndarray, mass: np.ndarray, share: float) ->
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = TRAIN_ROWS) -> Ranker:
     """Learn a ranker from labelled documents. With one label or none, all documents are good."""
-    sample = labelled_sample(docs, labels, rows, F.arrow_udf(_features, "array<float>")(F.col("text")), label_col)
+    sample = labelled_sample(docs, labels, rows, F.arrow_udf(_features, "binary")(F.col("text")), label_col)
     target = np.array([label for _, label, _ in sample], np.int64)
     if len(set(target.tolist())) < 2:
         return Ranker(np.zeros(SIZE), np.zeros(SIZE), -1.0, 1.0)
     shares = {r[0]: r[1] for r in labels.where(F.col(label_col).isin(0, 1)).groupBy(label_col).count().collect()}
-    x = np.array([f for _, _, f in sample], np.float64)
+    x = np.array([np.frombuffer(f, np.float32) for _, _, f in sample], np.float64)
     weights, centre = fit(x, target)
     strengths = (x - centre) @ weights
     mass = np.where(target == 1, shares[1] / (target == 1).sum(), shares[0] / (target == 0).sum())

@@ -98,7 +98,7 @@ class Model:
 
 
 def _sparse_features(texts: pa.Array) -> pa.Array:
-    """Relative frequency of each slot within its block."""
+    """Relative frequency of each slot within its block, as packed int32 and float32."""
     cache, out = WordHash(), []
     for text in texts:
         raw = utf8(text.as_py())
@@ -107,12 +107,15 @@ def _sparse_features(texts: pa.Array) -> pa.Array:
             found, counts = np.unique(part, return_counts=True)
             slots.append(found)
             shares.append(counts / max(1, len(part)))
-        out.append({"slots": np.concatenate(slots).astype(np.int32), "shares": np.concatenate(shares)})
-    return pa.array(out, pa.struct([("slots", pa.list_(pa.int32())), ("shares", pa.list_(pa.float32()))]))
+        out.append({
+            "slots": np.concatenate(slots).astype(np.int32).tobytes(),
+            "shares": np.concatenate(shares).astype(np.float32).tobytes(),
+        })
+    return pa.array(out, pa.struct([("slots", pa.binary()), ("shares", pa.binary())]))
 
 
 def sparse_features(text: Column) -> Column:
-    return F.arrow_udf(_sparse_features, "struct<slots:array<int>,shares:array<float>>")(text)
+    return F.arrow_udf(_sparse_features, "struct<slots:binary,shares:binary>")(text)
 
 
 # --- training ----------------------------------------------------------------------------------
@@ -195,9 +198,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
         parts[k % 3 == 0].append((label, feature))
 
     def matrix(part):
-        indptr = np.cumsum([0] + [len(f.slots) for _, f in part])
-        slots = np.concatenate([np.asarray(f.slots, np.int64) for _, f in part])
-        shares = np.concatenate([np.asarray(f.shares, np.float64) for _, f in part])
+        indptr = np.cumsum([0] + [len(f.slots) // 4 for _, f in part])
+        slots = np.concatenate([np.frombuffer(f.slots, np.int32) for _, f in part])
+        shares = np.concatenate([np.frombuffer(f.shares, np.float32) for _, f in part])
         return indptr, slots, shares, np.array([label for label, _ in part], np.float64)
 
     size = WORD_SLOTS + CHAR_SLOTS
