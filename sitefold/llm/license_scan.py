@@ -256,13 +256,13 @@ def train(docs: DataFrame, text_col: str = "text", rows: int = BACKGROUND_ROWS)
     """Fit with a background of paragraphs from ``rows`` documents, chosen by hash of their text: a
     bounded sample of whatever the corpus holds, licences left out by their own words."""
     first_line = F.substring_index(F.col(text_col), "\n", 1)
-    sample = (
-        docs.select(first_line.alias("line"), F.xxhash64(text_col).alias("h"))
-        .where((F.length("line") > 0) & ~F.lower("line").rlike("licen[sc]e|copyright|rights reserved|spdx"))
-        .orderBy("h", "line")
-        .limit(rows)
-        .select(F.substring("line", 1, 4000).alias("line"))
+    lines = docs.select(first_line.alias("line"), F.xxhash64(text_col).alias("h")).where(
+        (F.length("line") > 0) & ~F.lower("line").rlike("licen[sc]e|copyright|rights reserved|spdx")
     )
+    # Hashes alone are ranked first, so tasks send no texts that are not chosen; equal texts count once.
+    cut = lines.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    chosen = lines.where(F.col("h") <= F.lit(cut if cut is not None else 0))
+    sample = chosen.groupBy("h").agg(F.min(F.substring("line", 1, 4000)).alias("line")).orderBy("h")
     return fit([r.line for r in sample.collect()])
 
 
