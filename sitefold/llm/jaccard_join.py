@@ -7,10 +7,11 @@ lists with many entries cheap:
 
 * Lists are cut into blocks by set size and position. Blocks that can't hold a linked pair, by the
   sizes and positions at their ends, are skipped against each other as a whole.
-* A set that is linked to a similar one, its head, gets its answers from the head's. What it shares
-  with any other set is at most what their heads share, plus the grams each has beyond its head. So
-  heads are compared, and members only where these bounds leave a link open. Sets that are known to
-  be in one component are not compared.
+* Similar sets gather around a head, the most central of them, and get their answers from the head's.
+  What a set shares with one outside is at most what the heads share, plus the grams each has beyond
+  its head; what two sets of one head share is at most the smaller of their shares in the head, plus
+  the grams that both have beyond it. So heads are compared, and members only where these bounds
+  leave a link open. Sets that are known to be in one component are not compared.
 
 Identities are 64-bit hashes of grams and of sets.
 """
@@ -35,7 +36,9 @@ EARLY = 9 << 59  # 9/32 of all grams: more than the fifth that a prefix takes, s
 #: Counts are told apart up to this; more frequent grams are alike, and come last among the early.
 COUNT_CAP = 64
 #: Grams that a task gathers before it passes them on; within them a gram is counted up to the cap.
-GATHER = 1 << 20
+GATHER = 1 << 18
+#: Similarity (percent) from which a set may get its answers from a head's.
+FAMILY = 50
 #: Slots of the filter that spares texts outside the join a shuffle: a table of fixed size.
 FILTER_WORDS = 1 << 18
 
@@ -132,7 +135,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """The index: (gram, sid, n, pos) for the grams of each set's prefix that another set has too.
+    """The index: (gram, sid, n, lone, pos) for the grams of each set's prefix that another set has too.
 
     Prefixes are taken in the order (early grams by count, then the others by hash). Grams that only
     one set has come first; they are not stored, but they use up the prefix, so a set with enough of
@@ -161,7 +164,7 @@ def _prefixes(texts: DataFrame, classes: DataFrame) -> DataFrame:
     )
     room = _spare_column(F.col("n")) + 1 - F.col("lone")
     return with_rank.where(~F.col("is_early") | (F.col("at") <= room)).select(
-        "gram", "sid", "n",
+        "gram", "sid", "n", "lone",
         F.when(F.col("is_early"), F.col("lone") + F.col("at") - 1).otherwise(F.col("early")).cast("long").alias("pos"),
     )
 
@@ -174,25 +177,31 @@ def _sizes_fit(small: Column, large: Column) -> Column:
 
 
 def _overlaps(left: pa.Array, right: pa.Array) -> pa.Array:
-    cache, last, last_set, out = WordHash(), None, None, []
+    """Overlap and sizes of two sets, and the grams that the left one has beyond the right one."""
+    cache, last, last_set, out, beyond = WordHash(), None, None, [], []
     for a, b in zip(left, right, strict=True):
         b = b.as_py()
         if b != last or last_set is None:
             last, last_set = b, gram_set(b, cache)
         grams = gram_set(a.as_py(), cache)
-        out.append((len(np.intersect1d(grams, last_set, assume_unique=True)), len(grams), len(last_set)))
+        found = np.isin(grams, last_set, assume_unique=True)
+        both = int(found.sum())
+        out.append((both, len(grams), len(last_set)))
+        family = 100 * both >= FAMILY * (len(grams) + len(last_set) - both)
+        beyond.append(grams[~found].view(np.int64) if family else None)
     columns = [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((), (), ()))]
-    return pa.StructArray.from_arrays(columns, ["both", "na", "nb"])
+    return pa.StructArray.from_arrays([*columns, pa.array(beyond, pa.list_(pa.int64()))], ["both", "na", "nb", "beyond"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets with their exact overlap ``both`` and sizes."""
-    overlap = F.arrow_udf(_overlaps, "struct<both:long,na:long,nb:long>")
+    """Pairs (a, b) of sets with their exact overlap ``both``, their sizes, and the grams that ``a`` has
+    beyond ``b`` where the two are a family."""
+    overlap = F.arrow_udf(_overlaps, "struct<both:long,na:long,nb:long,beyond:array<long>>")
     return (
         pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", overlap("text_a", "text_b").alias("o"))
-        .select("a", "b", "o.both", "o.na", "o.nb")
+        .select("a", "b", "o.both", "o.na", "o.nb", "o.beyond")
     )
 
 
@@ -236,69 +245,174 @@ def components(links: DataFrame) -> DataFrame:
     neighbours is split by the joins, as its smallest neighbour is found by aggregation first.
     """
 
-    def stars(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
+    def larger(edges: DataFrame) -> DataFrame:
+        """Each node's larger neighbours move to its smallest one."""
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        joined = both.join(smallest, "a")
-        if large:
-            moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            moved = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-                smallest.select("a", F.col("m").alias("b"))
-            )
-        return materialize(moved.where("a != b").distinct(), "components")
+        return both.join(smallest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+    def smaller(edges: DataFrame) -> DataFrame:
+        """Each node and its smaller neighbours move to the smallest of them."""
+        smallest = edges.groupBy("a").agg(F.min("b").alias("m"))
+        moved = edges.join(smallest, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        return moved.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct()
+
+    def measure(edges: DataFrame) -> tuple:
+        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     edges = materialize(
         links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "components",
     )
-    mark = None
-    while True:
-        edges = stars(stars(edges, True), False)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark or now[0] == 0:
-            break
-        mark = now
+    was, now = None, measure(edges)
+    while now != was and now[0]:
+        edges = materialize(smaller(larger(edges).where("a != b")), "components")
+        was, now = now, measure(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
+def joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further (written) links: ``groups`` are stars already, so few rounds are left."""
+    if links.isEmpty():
+        return groups
+    return components(links.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
 # --- the join ----------------------------------------------------------------------------------
 
 
-def _heads(index: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b, both, na, nb) of sets to a head each: the first set of the lists that a set is in,
-    the one it shares most lists with."""
-    firsts = index.groupBy("gram").agg(F.min(F.struct(F.col("sid").alias("head"), F.col("n").alias("m"))).alias("f"))
-    near = (
+def _near(index: DataFrame) -> DataFrame:
+    """A pair (a, b) for each set: b is the most central set (fewest lone grams, then largest) of the
+    lists that a is in, the one a shares most lists with."""
+    central = F.struct("lone", (-F.col("n")).alias("minus"), F.col("sid").alias("head"))
+    firsts = index.groupBy("gram").agg(F.min(central).alias("f")).select(
+        "gram", "f.head", (-F.col("f.minus")).alias("m")
+    )
+    return (
         index.join(firsts, "gram")
-        .select("sid", "n", "f.head", "f.m")
         .where((F.col("sid") != F.col("head")) & _sizes_fit(F.col("n"), F.col("m")) & _sizes_fit(F.col("m"), F.col("n")))
         .groupBy("sid", "head")
         .agg(F.count(F.lit(1)).alias("lists"))
         .groupBy("sid")
         .agg(F.max_by("head", F.struct("lists", "head")).alias("head"))
+        .select(F.col("sid").alias("a"), F.col("head").alias("b"))
+    )
+
+
+def _is_family() -> Column:
+    return F.col("beyond").isNotNull()
+
+
+def _gather(index: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sets around heads: (compared pairs, members). ``members`` has sid, head, n, share (grams that
+    the head has too) and beyond (the grams it has not) for each set whose head is another."""
+    near = materialize(_verified(_near(index), texts), "gram-near")
+    families = components(near.where(_is_family()).select("a", "b"))
+    sets = index.select("sid", "n", "lone").distinct()
+    central = F.struct("lone", (-F.col("n")).alias("minus"), F.col("sid").alias("head"))
+    roots = families.join(sets.withColumnRenamed("sid", "node"), "node").withColumnRenamed("node", "sid")
+    heads = roots.groupBy("component").agg(F.min(central)["head"].alias("head"))
+    wanted = (
+        families.join(heads, "component").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    )
+    again = materialize(_verified(wanted.join(near.select("a", "b"), ["a", "b"], "left_anti"), texts), "gram-again")
+    members = (
+        wanted.join(near.unionByName(again), ["a", "b"])
+        .where(_is_family())
+        .select(F.col("a").alias("sid"), F.col("b").alias("head"), F.col("na").alias("n"),
+                F.col("both").alias("share"), "beyond")
+    )
+    return near.unionByName(again).select("a", "b", "both", "na", "nb"), materialize(members, "gram-members")
+
+
+def _open_in_families(members: DataFrame, groups: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(components with the links found on the way, pairs left open) of members of one head that are in
+    different components.
+
+    With c grams in common beyond the head, two members share at most the smaller of their shares plus
+    c. Without any, the smaller share must do, which only leaves sets much smaller than the head.
+    """
+    placed = members.join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn(
+        "component", F.coalesce("component", "sid")
+    )
+    placed = placed.join(
+        groups.select(F.col("node").alias("head"), F.col("component").alias("of_head")), "head", "left"
+    ).withColumn("outside", F.col("component") != F.coalesce("of_head", "head")).drop("of_head")
+    columns = ("sid", "n", "share", "component")
+    row = lambda rows, s: rows.select("head", *(F.col(c).alias(f"{c}_{s}") for c in columns), *(c for c in rows.columns if c in ("gram", "size")))
+    least, total = F.least("share_a", "share_b"), F.col("n_a") + F.col("n_b")
+    apart = F.col("component_a") != F.col("component_b")
+    pair = (F.greatest("sid_a", "sid_b").alias("a"), F.least("sid_a", "sid_b").alias("b"))
+
+    # No gram in common beyond the head: sizes up to (100 + PERCENT) / PERCENT * share - n will do.
+    size = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(1.05)))
+    room = F.floor((100 + PERCENT) * F.col("share") / PERCENT) - F.col("n")
+    low = F.ceil(PERCENT * F.col("n") / 100)
+    # The one with the smaller share looks for the other; one of them is outside the head's component.
+    largest = placed.where("outside").groupBy("head").agg(F.max("share").alias("largest"))
+    reach = (
+        placed.join(largest, "head")
+        .where((room >= low) & (F.col("outside") | (F.col("share") <= F.col("largest"))))
+        .withColumn("size", F.explode(F.sequence(size(low), size(room))))
+    )
+    sized = placed.withColumn("size", size(F.col("n")))
+    small = (
+        row(reach, "a").join(row(sized, "b"), ["head", "size"])
+        .where(apart & (F.col("share_a") <= F.col("share_b")) & (least >= _need(total)))
+        .select(*pair)
     )
-    return _verified(near.select(F.col("sid").alias("a"), F.col("head").alias("b")), texts).where(_is_link())
+
+    # Grams in common beyond the head. Sets that share most of them with one other are compared first.
+    beyond = placed.select("head", "sid", "n", "share", "component", F.explode("beyond").alias("gram"))
+    lists = beyond.groupBy("head", "gram").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min("sid").alias("first")
+    ).where("x != y")
+    mixed = materialize(beyond.join(lists.select("head", "gram", "first"), ["head", "gram"]), "gram-beyond")
+    star = (
+        mixed.where("sid != first").groupBy("sid", "first").agg(F.count(F.lit(1)).alias("lists"))
+        .groupBy("sid").agg(F.max_by("first", F.struct("lists", "first")).alias("first"))
+        .select(F.col("sid").alias("a"), F.col("first").alias("b"))
+    )
+    tried = materialize(_verified(star, texts).drop("beyond"), "gram-stars")
+    linked = tried.where(_is_link()).select("a", "b")
+    groups = joined(groups, linked)
+    regrouped = groups.select(F.col("node").alias("sid"), F.col("component").alias("now"))
+    moved = mixed.drop("first").join(regrouped, "sid", "left").withColumn("component", F.coalesce("now", "component")).drop("now")
+    still = moved.groupBy("head", "gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+    moved = moved.join(still.select("head", "gram"), ["head", "gram"])
+    sharing = (
+        row(moved, "a").join(row(moved, "b"), ["head", "gram"])
+        .where((F.col("sid_a") < F.col("sid_b")) & apart)
+        .groupBy("sid_a", "sid_b")
+        .agg(F.count(F.lit(1)).alias("c"), F.first(least).alias("least"), F.first(total).alias("total"))
+        .where(F.col("least") + F.col("c") >= _need(F.col("total")))
+        .select(*pair)
+    )
+    return groups, small.unionByName(sharing).distinct()
 
 
 def _block_pairs(lists: DataFrame) -> DataFrame:
     """Blocks of one list that may hold a linked pair, by the sizes and positions at their ends."""
     blocks = lists.groupBy("gram", "block").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.min("pos").alias("pos"),
-        F.min("component").alias("c0"), F.max("component").alias("c1"),
+        F.min("c0").alias("c0"), F.max("c1").alias("c1"),
     )
     left, right = (
         blocks.select("gram", *(F.col(c).alias(f"{c}_{side}") for c in ("block", "low", "high", "pos", "c0", "c1")))
         for side in "ab"
     )
     return left.join(right, "gram").where(
-        (F.col("block_a") <= F.col("block_b")) & _may_link("a", "b")
-        & ((F.col("c0_a") != F.col("c1_a")) | (F.col("c0_b") != F.col("c1_b")) | (F.col("c0_a") != F.col("c0_b")))
+        (F.col("block_a") <= F.col("block_b")) & _may_link("a", "b") & _not_one("a", "b")
     ).select("gram", "block_a", "block_b")
 
 
+def _not_one(a: str, b: str) -> Column:
+    """Not all members of both are in one component (the smallest and largest are known)."""
+    return F.least(f"c0_{a}", f"c0_{b}") != F.greatest(f"c1_{a}", f"c1_{b}")
+
+
 def _may_link(a: str, b: str) -> Column:
     """Sizes in [low, high] fit, and the first shared gram can lie at ``pos`` or later in both."""
     low_a, high_a, low_b, high_b = (F.col(f"{c}_{s}") for s in (a, b) for c in ("low", "high"))
@@ -310,9 +424,10 @@ def _may_link(a: str, b: str) -> Column:
 
 
 def _head_pairs(lists: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of heads in different components that meet in a list and may link."""
+    """Distinct pairs (a, b) of heads that meet in a list, whose members may link and aren't known to
+    be in one component."""
     blocks = _block_pairs(lists)
-    columns = ("head", "component", "low", "high", "pos")
+    columns = ("head", "c0", "c1", "low", "high", "pos")
     left, right = (
         lists.select("gram", *(F.col(c).alias(f"{c}_{side}") for c in ("block", *columns))) for side in "ab"
     )
@@ -320,7 +435,7 @@ def _head_pairs(lists: DataFrame) -> DataFrame:
         blocks.join(left, ["gram", "block_a"])
         .join(right, ["gram", "block_b"])
         .where(
-            _may_link("a", "b") & (F.col("component_a") != F.col("component_b"))
+            _may_link("a", "b") & _not_one("a", "b") & (F.col("head_a") != F.col("head_b"))
             & ((F.col("block_a") != F.col("block_b")) | (F.col("head_a") < F.col("head_b")))
         )
     )
@@ -354,17 +469,12 @@ def link_components(docs: DataFrame) -> DataFrame:
     needed = classes.join(index.select("sid").distinct(), "sid", "left_semi").select("sid", "doc_id")
     texts = materialize(_texts_of(docs, needed), "gram-texts")
 
-    near = materialize(_heads(index, texts), "gram-heads")
-    groups = components(near)
-    leads = near.select(F.col("b").alias("sid")).distinct().withColumn("is_lead", F.lit(True))
-    member = (
-        near.select(F.col("a").alias("sid"), F.col("b").alias("to"), (F.col("na") - F.col("both")).alias("over"))
-        .join(leads, "sid", "left")
-        .where("is_lead IS NULL")  # a head keeps itself as its head
-        .select("sid", "to", "over")
-    )
+    tried, members = _gather(index, texts)
+    groups = components(tried.where(_is_link()).select("a", "b"))
+    groups, inside = _open_in_families(members, groups, texts)
+    groups = joined(groups, materialize(_verified(inside, texts).where(_is_link()).select("a", "b"), "gram-inside"))
     placed = materialize(
-        index.join(member, "sid", "left")
+        index.join(members.select("sid", F.col("head").alias("to"), (F.col("n") - F.col("share")).alias("over")), "sid", "left")
         .join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
         .select(
             "gram", "sid", "n", "pos", F.coalesce("to", "sid").alias("head"), F.coalesce("over", F.lit(0)).alias("over"),
@@ -372,31 +482,41 @@ def link_components(docs: DataFrame) -> DataFrame:
         ),
         "gram-placed",
     )
-    mixed = placed.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+    mixed = placed.groupBy("gram").agg(F.min("head").alias("x"), F.max("head").alias("y")).where("x != y")
     open_rows = placed.join(mixed.select("gram"), "gram")
     by_head = open_rows.groupBy("gram", "head").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("pos"), F.first("component").alias("component")
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("pos"),
+        F.min("component").alias("c0"), F.max("component").alias("c1"),
     )
     block = F.floor(F.log(F.col("high").cast("double")) / F.log(F.lit(100 / PERCENT))) * 8 + F.floor(
         8 * F.col("pos") / (_spare_column(F.col("high")) + 1)
     )
     by_head = materialize(by_head.withColumn("block", block.cast("long")), "gram-lists")
-    compared = materialize(_verified(_head_pairs(by_head), texts), "gram-compared")
-    links = near.select("a", "b").unionByName(compared.where(_is_link()).select("a", "b"))
-
-    # Members of heads that don't link: only where the bounds leave it open.
+    pairs = _head_pairs(by_head)
+    before = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    new = _verified(pairs.join(before, ["a", "b"], "left_anti"), texts).drop("beyond")
+    known = tried.unionByName(
+        tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "both", F.col("nb").alias("na"), F.col("na").alias("nb"))
+    ).join(pairs, ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
+    compared = materialize(new.unionByName(known), "gram-compared")
+
+    # Members of different heads: only where the bounds leave it open.
+    groups = joined(groups, compared.where(_is_link()).select("a", "b"))
     spans = placed.groupBy("head").agg(F.min("n").alias("least"), F.max("over").alias("over"))
     side = lambda s: spans.select(F.col("head").alias(s), F.col("least").alias(f"least_{s}"), F.col("over").alias(f"over_{s}"))
     undecided = (
-        compared.where(~_is_link())
-        .join(side("a"), "a")
+        compared.join(side("a"), "a")
         .join(side("b"), "b")
         .where(
             F.col("both") + F.col("over_a") + F.col("over_b") >= _need(F.col("least_a") + F.col("least_b"))
         )
         .select("a", "b", "both", "over_b", "least_b")
     )
-    rows = open_rows.select("gram", "head", "sid", "n", "pos", "over", "component")
+    rows = (
+        open_rows.drop("component")
+        .join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
+        .select("gram", "head", "sid", "n", "pos", "over", F.coalesce("component", "sid").alias("component"))
+    )
     row = lambda s: rows.select(F.col("head").alias(s), "gram", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "pos", "over", "component")))
     total = F.col("n_a") + F.col("n_b")
     open_pairs = (
@@ -415,7 +535,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     derived = materialize(_verified(open_pairs, texts).where(_is_link()).select("a", "b"), "gram-derived")
-    reached = components(links.unionByName(derived))
+    reached = joined(groups, derived)
 
     named = classes.join(reached.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", "doc_id", F.coalesce("component", "sid").alias("component")
