@@ -2,7 +2,8 @@
 
 Features are relative frequencies of word 1- and 2-grams and of character 3- and 4-grams, hashed
 into fixed tables. A logistic regression is fitted to a bounded sample of labelled rows, its scores
-are calibrated on rows that it has not seen, and texts are scored in Arrow batches.
+are calibrated on rows that it has not seen, weighted to the labels' real shares, and texts are scored
+in Arrow batches.
 """
 
 from __future__ import annotations
@@ -121,6 +122,23 @@ def sparse_features(text: Column) -> Column:
 # --- training ----------------------------------------------------------------------------------
 
 
+def usable_labels(labels: DataFrame, label_col: str = "quality") -> DataFrame:
+    """(doc_id, label), one row per id. Null ids and labels, and ids with two labels, are left out."""
+    return (
+        labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.min(label_col).alias("label"), F.max(label_col).alias("other"))
+        .where("label = other")
+        .select("doc_id", "label")
+    )
+
+
+def label_counts(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> dict[int, int]:
+    """Number of ids of each label among all usable labels of ``docs``."""
+    known = usable_labels(labels, label_col).join(docs.select("doc_id"), "doc_id", "left_semi")
+    return {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, rows: int, feature: Column, label_col: str = "quality"
 ) -> list[tuple[int, int, object]]:
@@ -130,12 +148,7 @@ def labelled_sample(
     are turned into features. Ids with two different labels and null labels are left out, and of
     documents that share an id one counts.
     """
-    clean = (
-        labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.min(label_col).alias("label"), F.max(label_col).alias("other"))
-        .where("label = other")
-    )
+    clean = usable_labels(labels, label_col)
     chosen = None
     for label in (0, 1):
         part = clean.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
@@ -171,8 +184,11 @@ def fit_logistic(
     return weights, float(intercept)
 
 
-def calibrate(margins: np.ndarray, labels: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """Platt's line (slope, offset) with smoothed targets, by Newton's method."""
+def calibrate(
+    margins: np.ndarray, labels: np.ndarray, rounds: int = 100, mass: np.ndarray | None = None
+) -> tuple[float, float]:
+    """Platt's line (slope, offset) with smoothed targets, by Newton's method. ``mass`` weights the rows."""
+    mass = np.ones(len(labels)) if mass is None else mass
     good, bad = labels.sum(), (1 - labels).sum()
     target = np.where(labels == 1, (good + 1) / (good + 2), 1 / (bad + 2))
     scale = margins.std() or 1.0
@@ -180,8 +196,8 @@ def calibrate(margins: np.ndarray, labels: np.ndarray, rounds: int = 100) -> tup
     line = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ line, -35, 35)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - target) + 1e-6 * line)
+        hessian = (x * (mass * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ (mass * (p - target)) + 1e-6 * line)
         line -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
@@ -189,7 +205,11 @@ def calibrate(margins: np.ndarray, labels: np.ndarray, rounds: int = 100) -> tup
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = TRAIN_ROWS) -> Model:
-    """Fit on two thirds of the sample, calibrate on the rest. With one label or none: keeps all."""
+    """Fit on two thirds of the sample, calibrate on the rest. With one label or none: keeps all.
+
+    The sample has as many rows of each label; for calibration they weigh as much as their label does
+    among all usable labels.
+    """
     sample = labelled_sample(docs, labels, rows, sparse_features(F.col("text")), label_col)
     if len({label for _, label, _ in sample}) < 2 or len(sample) < 6:
         return Model(np.zeros(WORD_SLOTS + CHAR_SLOTS), 0.0, 35.0)
@@ -208,7 +228,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
     weights, _ = fit_logistic(indptr, slots, shares, target, size)
     indptr, slots, shares, target = matrix(parts[True])
     row = np.repeat(np.arange(len(target)), np.diff(indptr))
-    slope, offset = calibrate(np.bincount(row, shares * weights[slots], len(target)), target)
+    counts = label_counts(docs, labels, label_col)
+    real = np.where(target == 1, counts[1], counts[0]) / (counts[0] + counts[1])
+    mass = real / np.where(target == 1, target.mean(), 1 - target.mean())
+    slope, offset = calibrate(np.bincount(row, shares * weights[slots], len(target)), target, mass=mass)
     return Model(weights, slope, offset)
 
 

@@ -101,6 +101,22 @@ def test_probabilities_are_calibrated():
     assert abs(slope - 3) < 0.4 and abs(offset + 1) < 0.3
 
 
+def test_training_keeps_the_real_share_of_labels(spark):
+    draw = random.Random(6)
+    docs, labels = [], []
+    for k in range(1200):
+        good = draw.random() < 0.85
+        share = 0.6 if good else 0.4  # labels overlap, so that texts in between are doubtful
+        words = ["".join(draw.choice("aeiou" if draw.random() < share else "bcdfg") for _ in range(4)) for _ in range(14)]
+        docs.append((k, " ".join(words), "s", "k"))
+        labels.append((k, int(good), 0, "en"))
+    real = np.mean([quality for _, quality, _, _ in labels])
+    docs, labels = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    model = Q.train(docs, labels, rows=300)
+    found = Q.assess(docs, model).agg(F.avg("probability")).first()[0]
+    assert abs(found - real) < 0.06
+
+
 def test_ranking_on_held_out_rows(spark):
     docs, labels = frames(spark)
     ranker = P.train(docs, P.split_labels(labels))
