@@ -210,26 +210,26 @@ def _is_link() -> Column:
 
 
 def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(sid, text) of the needed sets (sid, doc_id). A filter of fixed size drops most other texts
-    before the join; where it is full, it lets them pass and the join alone decides."""
+    """(sid, text) of the needed sets (sid, doc_id of a row that has it; null if only rows without an
+    id do). A filter of fixed size drops most other texts before the join; where it is full, it lets
+    them pass and the join alone decides."""
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
     bits = (
         needed.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))  # FILTER_WORDS rows at most
     )
+    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
     likely = (
         docs.withColumns({"word": F.shiftright(slot, 6), "bit": (slot % 64).cast("int")})
         .join(F.broadcast(bits), "word")
         .where(F.getbit("bits", "bit") == 1)
-        .select("doc_id", "text")
+        .select("doc_id", "text", described("text")["sid"].alias("sid"))
     )
-    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
-    # An id that is repeated with other texts has several sets.
+    # An id that is repeated with other texts has several sets, and so has the null id.
+    wanted = needed.select(F.col("sid").alias("wanted"), F.col("doc_id").alias("holder"))
     return (
-        likely.join(needed.withColumnRenamed("sid", "wanted"), "doc_id")
-        .withColumn("sid", described("text")["sid"])
-        .where("sid = wanted")
+        likely.join(wanted, (F.col("sid") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("holder")))
         .dropDuplicates(["sid"])
         .select("sid", "text")
     )
@@ -449,9 +449,14 @@ def link_components(docs: DataFrame) -> DataFrame:
 
     One row per row of ``docs``. component_id is the smallest doc_id that links reach. A null or empty
     text, or one without words, has no grams and links with nothing. Equal sets are one class and are
-    compared once. A row with a null id has the component of a row with the same set and an id, else null
-    and no links; rows that repeat an id count each with their own text. Without rows there is no result.
+    compared once. Rows with a null id are linked like others; component_id is null where links reach no
+    id. Rows that repeat an id count each with their own text. Without rows there is no result.
     """
+    return _linked(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _linked(docs: DataFrame) -> DataFrame:
+    """A row for each row of ``docs``: doc_id, n, sid, component (null without words) and component_id."""
     docs = docs.select("doc_id", "text")
     described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
     sets = materialize(
@@ -541,26 +546,46 @@ def link_components(docs: DataFrame) -> DataFrame:
         "sid", "doc_id", F.coalesce("component", "sid").alias("component")
     )
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_set = named.join(least, "component").select("sid", "component_id")
+    of_set = named.join(least, "component").select("sid", "component", "component_id")
     return sets.join(of_set, "sid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "n", "sid", "component",
         F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with one document of each component: the one with the smallest doc_id.
+    """Rows of ``docs`` with one row of each component: the one with the smallest doc_id.
 
-    Columns stay as they are. Documents without words all stay; so do rows with a null id, which
-    nothing can name. Rows that repeat an id and its text are one document.
+    Columns stay as they are. Rows are told apart by id and text: of rows that repeat the smallest id
+    the one with the smallest set hash stays, and a null id comes after all others. Documents without
+    words all stay, but rows that repeat an id and its text are one document.
     """
-    found = materialize(link_components(docs), "gram-components")
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    again = again.select(F.col("doc_id").alias("again"))
-    if again.isEmpty():
+    found = materialize(_linked(docs), "gram-components")
+    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = materialize(again, "gram-again")
+    # An id of one row: the id alone decides.
+    gone = found.where("doc_id != component_id").select("doc_id").unionByName(again).distinct()
+    kept = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    parts = []
+    if not again.isEmpty():
+        parts.append(docs.join(again, "doc_id", "left_semi").select(*docs.columns))
+    if not found.where("doc_id IS NULL").isEmpty():
+        parts.append(docs.where("doc_id IS NULL"))
+    if not parts:
         return kept
-    repeated = F.col("doc_id") == F.col("again")
-    once = kept.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, repeated, "left_anti").unionByName(once)
+    # Otherwise id and set decide.
+    stay = (
+        found.where(F.col("sid").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("component", "doc_id").agg(F.min("sid").alias("sid"))
+        .select(F.col("doc_id").alias("__doc_id"), F.col("sid").alias("__stay"))
+    )
+    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
+    for part in parts:
+        part = part.withColumn("__sid", described("text")["sid"])
+        same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__sid") == F.col("__stay"))
+        worded = part.where("__sid IS NOT NULL").dropDuplicates(["doc_id", "__sid"]).join(stay, same, "left_semi")
+        bare = part.where("__sid IS NULL")
+        once = bare.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+        for rows in (worded, once, bare.where("doc_id IS NULL")):
+            kept = kept.unionByName(rows.select(*docs.columns))
+    return kept

@@ -112,6 +112,30 @@ def test_keep_one_of_each_group(spark):
     assert got == want
 
 
+def near(name):
+    """A text and a near copy of it."""
+    words = [f"{name}{k}" for k in range(60)]
+    return " ".join(words), " ".join([*words[:-1], "other"])
+
+
+def test_keep_one_by_row_where_ids_repeat(spark):
+    (a, a2), (b, b2), (c, c2) = near("a"), near("b"), near("c")
+    rows = [(5, a), (7, a2), (5, b), (3, b2), (8, c), (8, c2), (8, c.upper()), (9, ""), (9, ""), (9, " ")]
+    kept = keep_one(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text[:1].lower()) for r in kept) == [(3, "b"), (5, "a"), (8, "c"), (9, ""), (9, " ")]
+
+
+def test_null_ids_are_compared(spark):
+    (a, a2), (b, b2), (c, _) = near("a"), near("b"), near("c")
+    rows = [(None, a), (None, a2), (None, a), (4, b), (None, b2), (None, c), (None, ""), (None, None)]
+    found = link_components(table(spark, rows)).collect()
+    assert sorted(str(r.component_id) for r in found) == ["4", "4"] + ["None"] * 6
+    kept = keep_one(table(spark, rows)).collect()
+    assert sorted((str(r.doc_id), (r.text or "")[:1]) for r in kept) == [
+        ("4", "b"), ("None", ""), ("None", ""), ("None", "a"), ("None", "c"),
+    ]
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(20)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
