@@ -2,7 +2,8 @@
 
 In a pair one document is preferred to another; the loss is the logistic loss of the difference of
 their scores, a linear function of the difference of their features. The threshold between good and
-bad is a quantile of the scores: the share of bad rows among the labelled ones.
+bad is a quantile of the scores of all labelled documents: the share of bad ones among them. Only the
+weights come from a sample.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitefold.llm.common import MIX_1, crc_part, mix, utf8
-from sitefold.llm.quality_rules import labelled_sample
+from sitefold.llm.quality_rules import labelled_sample, usable_labels
+from sitefold.session import materialize
 
 #: Labelled rows used for learning, half of each label, and preference pairs drawn from them.
 TRAIN_ROWS, PAIRS = 3_000, 40_000
 #: Score at which a document is predicted to be good; the quantile threshold is mapped to it.
 GOOD_AT = 0.7
+#: Bins of scores that are counted in each round of the search for the quantile.
+BINS = 1_024
 #: Hashed character 3-grams besides the counted features.
 GRAM_SLOTS = 256
 
@@ -130,20 +134,63 @@ def quantile_threshold(strengths: np.ndarray, mass: np.ndarray, share: float) ->
     return float((ranked[k] + ranked[k + 1]) / 2)
 
 
+def exact_cut(strengths: DataFrame, below: int) -> float:
+    """Midway between number ``below`` and the next of all values of column ``strength`` in order.
+
+    Values are counted in bins, and the bin that holds the wanted number is divided anew until it
+    holds one value; ``BINS`` rows at most reach the driver.
+    """
+    value = F.col("strength")
+    low, high = strengths.agg(F.min(value), F.max(value)).first()
+    passed = 0
+    while low < high:
+        place = F.floor((value - F.lit(low)) / F.lit(high - low) * BINS)
+        bins = (
+            strengths.where(value.between(low, high))
+            .groupBy(F.least(place, F.lit(BINS - 1)).alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+        )
+        for r in sorted(bins.collect(), key=lambda r: r.bin):
+            if passed + r.n >= below:
+                low, high = r.low, r.high
+                break
+            passed += r.n
+    upto, above = strengths.agg(F.count_if(value <= low), F.min(F.when(value > low, value))).first()
+    return low if upto > below or above is None else (low + above) / 2
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = TRAIN_ROWS) -> Ranker:
-    """Learn a ranker from labelled documents. With one label or none, all documents are good."""
+    """Learn a ranker from labelled documents. With one label or none, all documents are good.
+
+    The weights are fitted to a sample; threshold and scale are taken over all documents with a usable
+    label. Of documents that share an id the lowest score counts.
+    """
     sample = labelled_sample(docs, labels, rows, F.arrow_udf(_features, "binary")(F.col("text")), label_col)
     target = np.array([label for _, label, _ in sample], np.int64)
     if len(set(target.tolist())) < 2:
         return Ranker(np.zeros(SIZE), np.zeros(SIZE), -1.0, 1.0)
-    shares = {r[0]: r[1] for r in labels.where(F.col(label_col).isin(0, 1)).groupBy(label_col).count().collect()}
     x = np.array([np.frombuffer(f, np.float32) for _, _, f in sample], np.float64)
     weights, centre = fit(x, target)
-    strengths = (x - centre) @ weights
-    mass = np.where(target == 1, shares[1] / (target == 1).sum(), shares[0] / (target == 0).sum())
-    threshold = quantile_threshold(strengths, mass, shares[0] / (shares[0] + shares[1]))
-    scale = max(1e-6, float(np.abs(strengths - threshold).mean()) / 3)
-    return Ranker(weights, centre, threshold, scale)
+    # Scored before the join, so no texts are shuffled.
+    scored = docs.select("doc_id", _strength(F.col("text"), weights, centre).alias("strength"))
+    strengths = materialize(
+        scored.join(usable_labels(labels, label_col), "doc_id")
+        .groupBy("doc_id", "label").agg(F.min("strength").alias("strength")).select("label", "strength"),
+        "preference-strengths",
+    )
+    threshold = exact_cut(strengths, strengths.where("label = 0").count())
+    spread = strengths.agg(F.avg(F.abs(F.col("strength") - F.lit(threshold)))).first()[0]
+    return Ranker(weights, centre, threshold, max(1e-6, spread / 3))
+
+
+def _strength(text: Column, weights: np.ndarray, centre: np.ndarray) -> Column:
+    ranker = Ranker(weights, centre, 0.0, 1.0)
+
+    @F.arrow_udf("double")
+    def strength(texts: pa.Array) -> pa.Array:
+        return pa.array([float(ranker.strength(features(t.as_py()))) for t in texts], pa.float64())
+
+    return strength(text)
 
 
 def score(text: Column, ranker: Ranker) -> Column:

@@ -146,7 +146,7 @@ def labelled_sample(
 
     The ids are chosen by hash, so all labelled rows have the same chance; only the chosen texts
     are turned into features. Ids with two different labels and null labels are left out, and of
-    documents that share an id one counts.
+    documents that share an id the one with the smallest text counts.
     """
     clean = usable_labels(labels, label_col)
     chosen = None
@@ -156,10 +156,11 @@ def labelled_sample(
     found = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")  # ``rows`` rows at most
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))  # one row of an id, however many share it
         .select("doc_id", "label", feature.alias("feature"))
     )
-    unique = {r.doc_id: (r.doc_id, r.label, r.feature) for r in found.orderBy("doc_id").toLocalIterator()}
-    return [unique[k] for k in sorted(unique)]
+    return sorted(((r.doc_id, r.label, r.feature) for r in found.toLocalIterator()), key=lambda r: r[0])
 
 
 def fit_logistic(

@@ -133,6 +133,30 @@ def test_ranking_on_held_out_rows(spark):
     assert not any(zlib.crc32(str(i).encode()) % 4 == 2 for i in used)
 
 
+def test_threshold_covers_all_labelled_rows(spark):
+    docs, labels = frames(spark)
+    ranker = P.train(docs, labels, rows=20)  # few to fit to; the cut is over all
+    known = {i: label for i, label in corpus()[1] if i not in (0,)}
+    strengths = sorted(float(ranker.strength(P.features(t))) for i, t in corpus()[0] if i in known)
+    bad = sum(1 for label in known.values() if label == 0)
+    assert ranker.threshold == (strengths[bad - 1] + strengths[bad]) / 2
+
+
+def test_exact_cut(spark):
+    draw = random.Random(4)
+    values = [draw.gauss(0, 1) ** 5 for _ in range(500)] + [0.25] * 300 + [1e9, -1e9]
+    frame = spark.createDataFrame([(v,) for v in values], "strength double").repartition(3).cache()
+    values.sort()
+    for below in (1, 2, 250, 500, 801):
+        assert P.exact_cut(frame, below) == (values[below - 1] + values[below]) / 2
+
+
+def test_an_id_with_many_rows_gives_one_example(spark):
+    docs = spark.createDataFrame([(k % 2, f"{k:03} text", "s", "k") for k in range(60)], DOCS)
+    labels = spark.createDataFrame([(0, 0, 0, "en"), (1, 1, 0, "en")], LABELS)
+    assert Q.labelled_sample(docs, labels, 10, F.col("text")) == [(0, 0, "000 text"), (1, 1, "001 text")]
+
+
 def test_quantile_threshold_lies_between():
     strengths, mass = np.array([3.0, 1.0, 2.0, 10.0]), np.ones(4)
     assert P.quantile_threshold(strengths, mass, 0.25) == 1.5
