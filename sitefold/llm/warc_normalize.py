@@ -166,9 +166,11 @@ class _Inflated:
         return False
 
     def header(self) -> bytes | None:
-        """Up to and with the next blank line; None at the end."""
-        while (end := self.buffer.find(b"\r\n\r\n", self.at)) < 0:
-            if len(self.buffer) - self.at > PIECE:
+        """Up to and with the next blank line, however long (an address has no bound); None at the end."""
+        seen = 0
+        while (end := self.buffer.find(b"\r\n\r\n", self.at + seen)) < 0:
+            seen = max(0, len(self.buffer) - self.at - 3)
+            if seen > PIECE and not self.buffer.startswith(b"WARC/", self.at):
                 raise ValueError("a record header without an end")
             if not self._fill():
                 if self.buffer[self.at :].strip():
@@ -344,8 +346,20 @@ def archive_and_read(spark: SparkSession, pages: DataFrame, min_bytes: int = MIN
     """Write the pages as monolithic archives, normalise them, and read each record back by its offset.
 
     Null html is an empty payload, a null url leaves the address out, a null id stays null. Columns
-    other than page_id, url and html are not read. No rows give no archive and no record.
+    other than page_id, url and html are not read. No rows give no archive and no record. Fails when an
+    archive is damaged or a record is missing.
     """
     folder = fresh_path(spark, "warc")
     archives = write_archives(first_of_equal(pages, min_bytes), f"{folder}/raw")
-    return read_records(normalise(archives, f"{folder}/members"))
+    index = normalise(archives, f"{folder}/members")
+    check_whole(archives, index)
+    return read_records(index)
+
+
+def check_whole(archives: DataFrame, index: DataFrame) -> None:
+    """Raise if the index names a damaged archive or has another number of records than were written."""
+    written = archives.agg(F.sum("n_records")).first()[0] or 0
+    damage = F.when(F.col("error").isNotNull(), F.concat_ws(": ", "path", "error"))
+    found, failure = index.agg(F.count_if(F.col("error").isNull()), F.min(damage)).first()
+    if failure is not None or found != written:
+        raise RuntimeError(f"{found} of {written} records are in the index; first damage: {failure}")

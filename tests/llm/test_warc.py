@@ -5,6 +5,8 @@ import gzip
 import hashlib
 import io
 
+import pytest
+
 from sitefold.llm import warc_normalize as W
 
 PAGES = "page_id long, url string, html string, size string, sha1 string"
@@ -63,3 +65,18 @@ def test_damage_keeps_what_came_before():
         rows = list(W.normalise_file(io.BytesIO(data), W._Counting(io.BytesIO()), "x"))
         assert rows[-1]["error"] and all(r["error"] is None for r in rows[:-1])
     assert list(W.normalise_file(io.BytesIO(b""), W._Counting(io.BytesIO()), "x"))[0]["error"]
+
+
+def test_an_address_of_some_megabytes_loses_no_page(spark):
+    rows = [(1, "u", "a"), (2, "data:text/html," + "x" * 3_000_000, "b"), (3, "u", "c")]
+    pages = spark.createDataFrame([(*r, "s", "t") for r in rows], PAGES).coalesce(1)
+    assert sorted((tuple(r) for r in W.archive_and_read(spark, pages).collect()), key=repr) == want(rows)
+
+
+def test_damage_and_missing_records_are_told(spark):
+    archives = spark.createDataFrame([("a", 2), ("b", 1)], W.ARCHIVES)
+    row = lambda path, error=None: (path, 0, 1, "r", "response", None, None, 1, error)
+    W.check_whole(archives, spark.createDataFrame([row("a"), row("a"), row("b")], W.INDEX))
+    for rows in ([row("a"), row("b")], [row("a"), row("a"), row("b"), row("b", "cut short")]):
+        with pytest.raises(RuntimeError):
+            W.check_whole(archives, spark.createDataFrame(rows, W.INDEX))
