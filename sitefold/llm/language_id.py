@@ -25,8 +25,8 @@ from sitefold.session import materialize
 
 #: Hashed character 3-grams of the text model.
 SLOTS = 1 << 13
-#: More languages than this are refused: a row of counts per language is held by every task.
-MAX_LANGUAGES = 64
+#: Languages whose counts a task or the driver holds at once; more are passed over block after block.
+LANGUAGE_BLOCK = 64
 #: Characters of text evidence that count in full; beyond, more text adds nothing (3-grams depend on
 #: each other, so their product overstates).
 FULL_TEXT = 200
@@ -82,26 +82,42 @@ def address_parts(url: str | None) -> tuple[str | None, str | None, str | None,
 @dataclass(frozen=True)
 class TextModel:
     languages: list[str]
-    log_likelihood: np.ndarray  # languages x slots
+    log_likelihood: np.ndarray | None  # languages x slots; None when they are read in blocks
+    counts: DataFrame | None = None  # (lang, slot, n), written
+
+    def blocks(self) -> Iterator[TextModel]:
+        """Models of at most ``LANGUAGE_BLOCK`` languages each, in order."""
+        if self.counts is None:
+            yield self
+            return
+        for at in range(0, len(self.languages), LANGUAGE_BLOCK):
+            yield _dense(self.languages[at : at + LANGUAGE_BLOCK], self.counts)
 
     def evidence(self, text: str) -> np.ndarray:
         """Log-likelihood of each language, of at most ``FULL_TEXT`` 3-grams' worth."""
-        slots = gram_slots(text)
+        return self.of_slots(gram_slots(text))
+
+    def of_slots(self, slots: np.ndarray) -> np.ndarray:
         if not len(slots):
             return np.zeros(len(self.languages))
         mean = self.log_likelihood[:, slots].mean(axis=1)
         return mean * min(len(slots), FULL_TEXT)
 
 
+def _dense(languages: list[str], counts: DataFrame) -> TextModel:
+    """The model of a few languages from their written counts."""
+    place = {lang: k for k, lang in enumerate(languages)}
+    table = np.full((len(languages), SLOTS), 0.5)
+    for row in counts.where(F.col("lang").isin(languages)).toLocalIterator():
+        table[place[row.lang], row.slot] += row.n
+    return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)))
+
+
 def train_text(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> TextModel:
-    """3-gram counts per language over all documents with a language and a text."""
+    """3-gram counts per language over all documents with a language and a text, however many languages."""
+    most = LANGUAGE_BLOCK
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for lang, text in zip(*batch.columns, strict=True):
-                own = sums.setdefault(lang.as_py(), np.zeros(SLOTS, np.int64))
-                own += np.bincount(gram_slots(text.as_py()), minlength=SLOTS)
+    def passed_on(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, counts in sums.items():
             slots = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -109,21 +125,29 @@ def train_text(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
                 ["lang", "slot", "n"],
             )
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(*batch.columns, strict=True):
+                name = lang.as_py()
+                if name not in sums and len(sums) == most:
+                    yield from passed_on(sums)
+                    sums = {}
+                own = sums.setdefault(name, np.zeros(SLOTS, np.int64))
+                own += np.bincount(gram_slots(text.as_py()), minlength=SLOTS)
+        yield from passed_on(sums)
+
     usable = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
     counts = usable.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(
         F.sum("n").alias("n")
     )
-    rows = counts.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("counts")).limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    rows.sort(key=lambda r: r.lang)
-    table = np.full((len(rows), SLOTS), 0.5)
-    for k, row in enumerate(rows):
-        slots, n = zip(*row.counts, strict=True)
-        table[k, list(slots)] += n
-    return TextModel([r.lang for r in rows], np.log(table / table.sum(axis=1, keepdims=True)))
+    counts = materialize(counts, "language-counts")
+    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    if len(languages) > LANGUAGE_BLOCK:
+        return TextModel(languages, None, counts)
+    return _dense(languages, counts)
 
 
 # --- fusion ------------------------------------------------------------------------------------
@@ -158,11 +182,51 @@ def _observe(pages: DataFrame, model: TextModel) -> DataFrame:
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(observe, _PAGE)
+    read = pages.select(F.col("page_id").cast("long"), "url", "html")
+    if model.counts is None:
+        return read.mapInArrow(observe, _PAGE)
+    return _observe_in_blocks(read, model)
+
+
+def _observe_in_blocks(pages: DataFrame, model: TextModel) -> DataFrame:
+    """The same for more languages than a task holds: 3-grams are written once, then scored by block."""
+
+    @F.arrow_udf("struct<host:string,domain:string,suffix:string,code:string,declared:string,grams:binary>")
+    def parts(urls: pa.Array, htmls: pa.Array) -> pa.Array:
+        names = ("host", "domain", "suffix", "code", "declared")
+        rows = []
+        for url, html in zip(urls, htmls, strict=True):
+            source = html.as_py() or ""
+            known = dict(zip(names, (*address_parts(url.as_py()), declared_language(source)), strict=True))
+            rows.append({**known, "grams": gram_slots(visible_text(source)).astype(np.int16).tobytes()})
+        return pa.array(rows, pa.struct([*((n, pa.string()) for n in names), ("grams", pa.binary())]))
+
+    def evidence(block: TextModel) -> Column:
+        @F.arrow_udf("array<double>")
+        def scored(grams: pa.Array) -> pa.Array:
+            found = [block.of_slots(np.frombuffer(g.as_py(), np.int16)).tolist() for g in grams]
+            return pa.array(found, pa.list_(pa.float64()))
+
+        return scored(F.col("grams"))
+
+    seen = pages.select("page_id", parts("url", "html").alias("p")).select("page_id", "p.*")
+    seen = materialize(seen.withColumn("evidence", F.array().cast("array<double>")), "language-grams")
+    for block in model.blocks():
+        seen = materialize(seen.withColumn("evidence", F.concat("evidence", evidence(block))), "language-block")
+    powers = F.transform("evidence", lambda e: F.exp(e - F.array_max("evidence")))
+    whole = lambda p: F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
+    return (
+        seen.drop("grams").withColumn("powers", powers).withColumn("whole", whole(F.col("powers")))
+        .withColumn("own", F.transform("powers", lambda p: p / F.col("whole"))).drop("powers", "whole")
+    )
 
 
 def _sums(observed: DataFrame, keys: list[str], size: int, out: str) -> DataFrame:
     """Sum of the text posteriors of each key: an array over the languages."""
+    if size > LANGUAGE_BLOCK:  # rows instead of columns
+        summed = observed.select(*keys, F.posexplode("own")).groupBy(*keys, "pos").agg(F.sum("col").alias("s"))
+        ranked = summed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("ranked"))
+        return ranked.select(*keys, F.col("ranked.s").alias(out))
     return observed.groupBy(*keys).agg(
         F.array(*[F.sum(F.element_at("own", k + 1)) for k in range(size)]).alias(out)
     )
@@ -225,8 +289,8 @@ def identify(pages: DataFrame, model: TextModel) -> DataFrame:
             F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("probability"),
         )
     observed = materialize(_observe(pages, model), "language-pages")
-    sums = observed.agg(*[F.sum(F.element_at("own", k + 1)) for k in range(size)]).first()
-    total = [s or 0.0 for s in sums]
+    sums = _sums(observed.withColumn("all", F.lit(0)), ["all"], size, "sums").first()
+    total = list(sums.sums) if sums else [0.0] * size
     judged = observed
     for column in ("declared", "suffix", "code"):
         judged = _log_table(judged, column, size, total)

@@ -79,6 +79,18 @@ def test_fusion_against_plain_computation(spark):
     assert got == plain(rows, trained)
 
 
+def test_many_languages(spark):
+    draw = random.Random(2)
+    rows = [(k, text(draw, "en", 5) + f" only{chr(97 + k % 26)}{chr(97 + k // 26)}", f"l{k:03}", "x") for k in range(150)]
+    trained = L.train_text(spark.createDataFrame(rows, "doc_id long, text string, lang string, slot string").repartition(2))
+    assert len(trained.languages) == 150
+    some = [(k, f"http://h{k % 3}.example/", f"<p>{rows[k * 9][1]}</p>", "x", "y") for k in range(12)]
+    found = L.identify(spark.createDataFrame(some, PAGES), trained)
+    whole = L._dense(trained.languages, trained.counts)
+    got = sorted(((r.page_id, r.lang, round(r.probability, 6)) for r in found.collect()), key=repr)
+    assert got == plain(some, whole)
+
+
 def test_evidence_outweighs_a_wrong_declaration(spark):
     trained = model(spark)
     draw = random.Random(9)
