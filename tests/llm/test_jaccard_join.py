@@ -69,7 +69,7 @@ def corpus(seed):
     return [(i, " ".join(t) if k % 3 else "\n".join(t).upper()) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
 
 
-@pytest.mark.parametrize("seed", [2, 4])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_against_all_pairs(spark, seed):
     rows = corpus(seed)
     assert run(spark, rows) == brute(rows)
