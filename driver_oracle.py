@@ -170,8 +170,8 @@ LAYOUT_LETTERS = "CASE WHEN model = 'ATR 72-600' THEN 'ACDF' ELSE 'ABCDEF' END"
 SEAT_OK = f"(strpos({LAYOUT_LETTERS}, litera_scaun) > 0 AND numar_rand BETWEEN 1 AND {LAYOUT_ROWS})"
 sql("seat_valid", f"""SELECT id_bilet, id_zbor, numar_rand, litera_scaun, {SEAT_OK} seat_ok
     FROM bilet JOIN zbor USING (id_zbor) JOIN avion USING (id_avion)""")
-sql("row_label", """SELECT id_plata, 'Plata #' || id_plata || ' (Rez: #' || id_rezervare || ') - Suma: '
-    || suma_achitata || ' - Status: ' || status AS "label" FROM plata""")
+sql("row_label", """SELECT id_plata, suma_achitata || ' lei for booking ' || id_rezervare || ' (' || status
+    || '), payment ' || id_plata AS "label" FROM plata""")
 sql("distinct_departures", "SELECT DISTINCT id_aeroport_plecare, status FROM zbor")
 
 # --- joins, aggregates, ranking --------------------------------------------------------
@@ -309,9 +309,9 @@ sql("book_twice", """SELECT (SELECT max(id_bilet) FROM bilet WHERE id_rezervare
     (SELECT max(id_rezervare) FROM booking WHERE id_rezervare % 2 = 0) + 2 * rn id_rezervare,
     (SELECT max(id_rezervare) FROM booking WHERE id_rezervare % 2 = 0) + 2 * rn id_plata,
     id_user, id_zbor, numar_rand, litera_scaun
-    FROM (SELECT *, row_number() OVER (ORDER BY request_id % 3, request_id) rn FROM
+    FROM (SELECT *, row_number() OVER (ORDER BY request_id % 2, request_id) rn FROM
       (SELECT *, row_number() OVER (PARTITION BY id_zbor, numar_rand, litera_scaun
-        ORDER BY request_id % 3, request_id) place FROM judged WHERE reason IS NULL AND request_id % 3 < 2)
+        ORDER BY request_id % 2, request_id) place FROM judged WHERE reason IS NULL)
       WHERE place = 1)""", *_REVIEW)
 sql("snapshot_read", """SELECT version, count(DISTINCT b.id_rezervare) bookings, CAST(count(*) AS BIGINT) tickets
     FROM bilet b JOIN booking k ON k.id_rezervare = b.id_rezervare, (VALUES ('before'), ('after')) v(version)

@@ -453,7 +453,7 @@ def seat_valid(t: Tables) -> DataFrame:
 
 @query
 def row_label(t: Tables) -> DataFrame:
-    label = fn.row_label("Plata #{} (Rez: #{}) - Suma: {} - Status: {}", "id_plata", "id_rezervare", "suma_achitata", "status")
+    label = fn.row_label("{} lei for booking {} ({}), payment {}", "suma_achitata", "id_rezervare", "status", "id_plata")
     return t.plata().select("id_plata", label.alias("label"))
 
 
@@ -812,7 +812,7 @@ def book_twice(t: Tables) -> DataFrame:
     # Two batches are checked against the same version and want some of the same seats.
     catalog = _published(t, _SALES_EU)
     before = catalog.snapshot()
-    first, second = (_requests(t).filter(F.col("request_id") % 3 == k) for k in (0, 1))
+    first, second = (_requests(t).filter(F.col("request_id") % 2 == k) for k in (0, 1))
     one, two = bk.book(catalog, first, "EU", AS_OF), bk.book(catalog, second, "EU", AS_OF)
     bk.publish_booked(catalog, "EU", one)
     bk.book_and_publish(catalog, second, "EU", AS_OF, booked=two)
