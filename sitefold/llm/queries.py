@@ -11,6 +11,7 @@ from sitefold.llm import (
     decontaminate,
     jaccard_join,
     language_id,
+    lexical_search,
     license_scan,
     preference_quality,
     quality_rules,
@@ -94,6 +95,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "pages"), model)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -113,6 +119,7 @@ _ALL = {
     "op8_warc_normalize": op8_warc_normalize,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: _shipped(q) for n, q in _ALL.items()}
@@ -211,3 +218,23 @@ rows AS (SELECT p.doc_id, p.source, n_tokens, epoch, p.block, slot, source_offse
   FROM placed p JOIN dealt e ON p.source IS NOT DISTINCT FROM e.source AND p.block = e.block)
 SELECT doc_id, source, n_tokens, epoch, block, slot, CAST(source_offset AS BIGINT) source_offset FROM rows
 WHERE block_tokens <= room OR (room > 0 AND before < room)"""
+
+ORACLE["op13_lexical_search"] = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w FROM documents),
+total AS (SELECT count(*) n_docs, CAST(sum(len(w)) AS BIGINT) n_terms FROM docs WHERE len(w) > 0),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t
+  FROM benchmark),
+postings AS (
+  SELECT doc_id, n, t, count(*) tf FROM (SELECT doc_id, len(w) n, unnest(w) t FROM docs)
+  WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, n, t),
+weighed AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) w
+  FROM postings, total GROUP BY t),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) score
+  FROM postings JOIN weighed USING (t) JOIN asked USING (t), total GROUP BY item_id, doc_id)
+SELECT item_id, CAST("rank" AS INTEGER) "rank", doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) "rank" FROM scored WHERE score > 0)
+WHERE "rank" <= 10"""
