@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sitefold.llm import (
     chat_tree,
     decontaminate,
+    imatch,
     jaccard_join,
     language_id,
     lexical_search,
@@ -95,6 +96,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "pages"), model)
 
 
+def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return imatch.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -119,6 +125,7 @@ _ALL = {
     "op8_warc_normalize": op8_warc_normalize,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op12_imatch": op12_imatch,
     "op13_lexical_search": op13_lexical_search,
 }
 
