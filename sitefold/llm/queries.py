@@ -16,6 +16,7 @@ from sitefold.llm import (
     license_scan,
     preference_quality,
     quality_rules,
+    structure_repair,
     temperature_mix,
     token_counts,
     warc_normalize,
@@ -96,6 +97,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "pages"), model)
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule and repaired."""
+    return structure_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return imatch.compare_edits(table(spark, sf_dir, "documents"))
@@ -125,6 +131,7 @@ _ALL = {
     "op8_warc_normalize": op8_warc_normalize,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_structure_repair": op11_structure_repair,
     "op12_imatch": op12_imatch,
     "op13_lexical_search": op13_lexical_search,
 }
