@@ -36,11 +36,11 @@ PRIOR_PAGES, TABLE_PAGES = 5.0, 1.0
 SURE = 0.5
 UNDETERMINED = "und"
 
-_DROPPED = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
-_META = re.compile(
-    r"(?is)<meta\b[^>]*http-equiv\s*=\s*[\"']?content-language[\"']?[^>]*content\s*=\s*[\"']?\s*([a-z]{2,3})\b"
-)
+_SILENT = re.compile(r"(?i)<(script|style)\b")
+_SILENT_END = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style")}
+_LANG = re.compile(r"(?i)\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+_META_LANGUAGE = re.compile(r"(?i)http-equiv\s*=\s*[\"']?content-language[\"']?")
+_CONTENT = re.compile(r"(?i)content\s*=\s*[\"']?\s*([a-z]{2,3})\b")
 _ADDRESS = re.compile(r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::\d*)?(?:/([a-z]{2})(?=[/?#-]|$))?")
 
 
@@ -48,8 +48,26 @@ _ADDRESS = re.compile(r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?
 
 
 def visible_text(html: str) -> str:
-    """Text without scripts, styles, comments and tags; an unclosed tag is dropped to its end."""
-    return html_entities.unescape(_DROPPED.sub(" ", html))
+    """Text without scripts, styles, comments and tags. An unclosed script, style or comment lasts to the
+    end; a "<" without any ">" after it is text. One pass: what is searched for from a place is either
+    found, and the pass goes on behind it, or is nowhere."""
+    pieces, at = [], 0
+    while (opened := html.find("<", at)) >= 0:
+        pieces.append(html[at:opened])
+        if html.startswith("<!--", opened):
+            closed = html.find("-->", opened + 4)
+            at = closed + 3 if closed >= 0 else len(html)
+        elif silent := _SILENT.match(html, opened):
+            closer = _SILENT_END[silent[1].lower()].search(html, silent.end())
+            at = closer.end() if closer else len(html)
+        else:
+            closed = html.find(">", opened + 1)
+            if closed < 0:
+                at = opened
+                break
+            at = closed + 1
+    pieces.append(html[at:])
+    return html_entities.unescape(" ".join(pieces))
 
 
 def gram_slots(text: str) -> np.ndarray:
@@ -61,9 +79,26 @@ def gram_slots(text: str) -> np.ndarray:
     return (mix(grams * MIX_1) >> np.uint64(40)).astype(np.int64) % SLOTS
 
 
+def _tags(html: str, name: re.Pattern) -> Iterator[str]:
+    """The tags of a name, one after another; a tag ends at the next ">"."""
+    at = 0
+    while opened := name.search(html, at):
+        at = html.find(">", opened.end()) + 1
+        if not at:
+            return
+        yield html[opened.end() : at]
+
+
 def declared_language(html: str) -> str | None:
-    found = _DECLARED.search(html) or _META.search(html)
-    return found[1].lower() if found else None
+    """Language that the html tag or a content-language meta tag declares."""
+    for tag in _tags(html, re.compile(r"(?i)<html\b")):
+        if found := _LANG.search(tag):
+            return found[1].lower()
+    for tag in _tags(html, re.compile(r"(?i)<meta\b")):
+        if said := _META_LANGUAGE.search(tag):
+            for found in reversed(list(_CONTENT.finditer(tag, said.end()))):
+                return found[1].lower()
+    return None
 
 
 def address_parts(url: str | None) -> tuple[str | None, str | None, str | None, str | None]:

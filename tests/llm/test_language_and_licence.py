@@ -1,5 +1,6 @@
 """Language fusion against a plain computation; licence scan on known and unknown paragraphs."""
 
+import time
 import math
 import random
 from collections import defaultdict
@@ -175,3 +176,21 @@ def test_counts_by_language_are_sums(spark):
     for k, lang in enumerate(trained.languages):
         counts = [0.5 + table[lang, s] for s in range(L.SLOTS)]
         assert abs(trained.log_likelihood[k][int(L.gram_slots("aaaa")[0])] - math.log(counts[int(L.gram_slots("aaaa")[0])] / sum(counts))) < 1e-9
+
+
+@pytest.mark.parametrize("piece", ["<meta http-equiv=content-language ", "<!-- ", "<script ", "<html lang ", "< ", "</script  ", "<style>x</"])
+def test_pages_of_unclosed_markup_are_read_in_one_pass(piece):
+    page = "<p>before</p>" + piece * (5_000_000 // len(piece))
+    began = time.perf_counter()
+    assert L.visible_text(page).split()[0] == "before"
+    assert L.declared_language(page) is None
+    assert time.perf_counter() - began < 2
+
+
+def test_visible_text_and_declared_language():
+    page = "<html><META content='xx' http-equiv=\"Content-Language\" content='fr-CA'>a<!-- b > --><b>c</b><style>d</style  >e &lt; 1 < 2"
+    assert L.visible_text(page).split() == ["a", "c", "e", "<", "1", "<", "2"]
+    assert L.declared_language(page) == "fr"
+    assert L.declared_language("<html class=x><html data='>' lang=de>") is None
+    assert L.declared_language("<HTML class=x LANG = 'De-at'>") == "de"
+    assert L.visible_text("a<script>b") .split() == ["a"]
