@@ -108,7 +108,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
         F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
     )
     groups = keyed.select("key", "doc_id", F.length("text").alias("n_chars")).groupBy("key").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars")
+        F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies")
     ).withColumn("sort", -F.col("doc_id").cast("decimal(20,0)"))
     numbered = materialize(dense_row_number(groups, ["sort", "key"]), "imatch-order")
     last = numbered.count()
@@ -116,13 +116,16 @@ def _with_next(docs: DataFrame) -> DataFrame:
         F.col("key").alias("next_key"), F.when(F.col("rn") == 1, last).otherwise(F.col("rn") - 1).alias("rn")
     )
     pairs = materialize(
-        numbered.join(after, "rn").select("key", "next_key", F.floor(F.col("n_chars") / 3).cast("int").alias("need")),
+        numbered.join(after, "rn").select(
+            "key", "doc_id", "copies", "next_key", F.floor(F.col("n_chars") / 3).cast("int").alias("need")
+        ),
         "imatch-pairs",
     )
-    rows = keyed.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    starts = rows.join(pairs.select(F.col("key").alias("before"), F.col("next_key").alias("key"), "need"), "key").select(
-        F.col("before").alias("key"), F.col("key").alias("next_key"), F.col("doc_id").alias("next_doc_id"),
-        F.col("copies").alias("next_copies"), F.expr("substring(text, 1, need)").alias("following"),
+    # Both sides take the same columns of the documents, so that texts are shuffled once for both.
+    rows = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    starts = rows.join(pairs.withColumnsRenamed({"key": "before", "next_key": "key"}), "key").select(
+        F.col("before").alias("key"), "doc_id", "copies", F.col("key").alias("next_key"),
+        F.expr("substring(text, 1, need)").alias("following"),
     )
     return rows.join(starts, "key")
 
