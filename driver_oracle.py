@@ -74,6 +74,34 @@ sql("verify_vertical_broken", """SELECT "check", violations, violations = 0 ok F
     SELECT 'complete' "check", count(*) FILTER (id_user % 10 = 3) violations FROM utilizator
     UNION ALL SELECT 'disjoint', 0
     UNION ALL SELECT 'rebuild', count(*) FILTER (id_user % 10 = 3) FROM utilizator)""")
+ORACLE["verify_minterms"] = ORACLE["verify_fragmentation"]
+sql("minterm_fragments", """SELECT fragment, count(*) bookings,
+    CAST(sum(CASE WHEN regiune_vanzare = 'AM' THEN 1 ELSE 0 END) AS BIGINT) read_desk_am,
+    CAST(sum(CASE WHEN regiune_vanzare = 'EU' THEN 1 ELSE 0 END) AS BIGINT) read_desk_eu,
+    CAST(sum(CASE WHEN total_de_plata >= 200000 AND regiune_vanzare <> 'OTHER' THEN 1 ELSE 0 END) AS BIGINT) read_audit
+    FROM (SELECT *, CASE WHEN regiune_vanzare = 'AM' THEN '' ELSE 'NOT ' END || 'am AND '
+      || CASE WHEN regiune_vanzare = 'EU' THEN '' ELSE 'NOT ' END || 'eu AND '
+      || CASE WHEN total_de_plata >= 200000 THEN '' ELSE 'NOT ' END || 'large' fragment FROM rezervare)
+    GROUP BY fragment""")
+# All orders of the columns and all splits of the strongest one.
+ORACLE["affinity_split"] = """WITH RECURSIVE reads(call, a) AS (VALUES ('view', 'nume'), ('view', 'prenume'), ('click', 'nume'),
+    ('click', 'prenume'), ('click', 'telefon'), ('signup', 'email'), ('signup', 'parola'), ('signup', 'rol'),
+    ('error', 'email'), ('error', 'rol'), ('purchase', 'nume'), ('purchase', 'email'), ('purchase', 'telefon')),
+  usage AS (SELECT call, a, n FROM reads JOIN (SELECT event_type call, count(*) n FROM events GROUP BY 1) USING (call)),
+  names AS (SELECT DISTINCT a FROM usage),
+  together AS (SELECT x.a, y.a b, sum(x.n) n FROM usage x JOIN usage y ON x.call = y.call GROUP BY 1, 2),
+  bonds AS (SELECT x.b a, y.b, sum(x.n * y.n) bond FROM together x JOIN together y ON x.a = y.a GROUP BY 1, 2),
+  orders(o, strength) AS (SELECT [a], CAST(0 AS HUGEINT) FROM names UNION ALL
+    SELECT list_append(o, names.a), strength + coalesce((SELECT bond FROM bonds WHERE bonds.a = o[-1] AND b = names.a), 0)
+    FROM orders JOIN names ON NOT list_contains(o, names.a)),
+  best AS (SELECT o FROM orders WHERE len(o) = (SELECT count(*) FROM names) ORDER BY strength DESC, o LIMIT 1),
+  splits AS (SELECT o, i, j, list_slice(o, i + 1, j) part FROM best, unnest(range(1, len(o))) p(i), unnest(range(2, len(o) + 1)) q(j) WHERE j > i),
+  calls AS (SELECT list(a) columns, any_value(n) n FROM usage GROUP BY call),
+  judged AS (SELECT o, i, j, part, sum(CASE WHEN list_has_all(part, columns) THEN n ELSE 0 END) t,
+    sum(CASE WHEN NOT list_has_any(part, columns) THEN n ELSE 0 END) b, sum(n) every FROM splits, calls GROUP BY ALL),
+  chosen AS (SELECT o, part FROM judged ORDER BY t * b - (every - t - b) * (every - t - b) DESC, j - i, i LIMIT 1)
+  SELECT CAST(k AS INTEGER) "position", o[k] "attribute", CASE WHEN list_contains(part, o[k]) THEN 2 ELSE 1 END fragment
+  FROM chosen, unnest(range(1, len(o) + 1)) u(k)"""
 ORACLE["verify_vertical"] = ORACLE["verify_fragmentation"]
 
 # --- surrogate keys --------------------------------------------------------------------

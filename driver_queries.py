@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 import sitefold.functions as fn
 from driver_roles import AS_OF, Tables
 from sitefold.operators import changes as ch
+from sitefold.operators import design as ds
 from sitefold.operators import fragment as fr
 from sitefold.operators import integrity as ic
 from sitefold.operators import keys as ks
@@ -167,6 +168,45 @@ def fragment_vertical(t: Tables) -> DataFrame:
     return by_site({"sec": sec, "data": data}, "fragment")
 
 
+@query
+def minterm_fragments(t: Tables) -> DataFrame:
+    # Two of the five predicates tell the applications nothing that the others don't.
+    bookings = t.rezervare()
+    predicates = {
+        "cancelled": F.col("status") == "ANULATA", "even": F.col("id_user") % 2 == 0, "am": F.col("regiune_vanzare") == "AM",
+        "eu": F.col("regiune_vanzare") == "EU", "large": F.col("total_de_plata") >= 200000,
+    }
+    applications = {
+        "desk_am": F.col("regiune_vanzare") == "AM", "desk_eu": F.col("regiune_vanzare") == "EU",
+        "audit": F.expr("total_de_plata >= 200000 AND regiune_vanzare <> 'OTHER'"),
+    }
+    design = ds.minterm_design(bookings, predicates, applications)
+    read = [F.sum(F.coalesce(a, F.lit(False)).cast("long")).alias(f"read_{n}") for n, a in applications.items()]
+    return ds.minterm_fragments(bookings, design).groupBy("fragment").agg(F.count(F.lit(1)).alias("bookings"), *read)
+
+
+@query
+def verify_minterms(t: Tables) -> DataFrame:
+    bookings = t.rezervare()
+    predicates = {"am": F.col("regiune_vanzare") == "AM", "large": F.col("total_de_plata") >= 200000}
+    design = ds.minterm_design(bookings, predicates, predicates)
+    return fr.verify_fragmentation(bookings, fr.fragment_horizontal(bookings, design.fragments()), "id_rezervare")
+
+
+#: Columns of a user that each kind of application call reads.
+_CALLS = {
+    "view": ["nume", "prenume"], "click": ["nume", "prenume", "telefon"], "signup": ["email", "parola", "rol"],
+    "error": ["email", "rol"], "purchase": ["nume", "email", "telefon"],
+}
+
+
+@query
+def affinity_split(t: Tables) -> DataFrame:
+    reads = F.create_map(*[x for k, v in _CALLS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    calls = t.raw("events").groupBy(F.col("event_type").alias("application")).agg(F.count(F.lit(1)).alias("times"))
+    return ds.affinity_split(calls.select("application", "times", F.explode(reads[F.col("application")]).alias("attribute")))
+
+
 @query
 def verify_fragmentation(t: Tables) -> DataFrame:
     bookings = t.rezervare()
