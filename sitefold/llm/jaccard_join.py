@@ -8,10 +8,11 @@ lists with many entries cheap:
 * Lists are cut into blocks by set size and position. Blocks that can't hold a linked pair, by the
   sizes and positions at their ends, are skipped against each other as a whole.
 * Similar sets gather around a head, the most central of them, and get their answers from the head's.
-  What a set shares with one outside is at most what the heads share, plus the grams each has beyond
-  its head; what two sets of one head share is at most the smaller of their shares in the head, plus
-  the grams that both have beyond it. So heads are compared, and members only where these bounds
-  leave a link open. Sets that are known to be in one component are not compared.
+  What two sets of one head share is what the head has, less what each lacks, plus what they agree in of
+  their differences to the head; so it is computed from these differences alone. What a set shares with
+  one outside is at most what the heads share, plus the grams each has beyond its head; so heads are
+  compared, and members of different heads only where this leaves a link open. Sets that are known to be in
+  one component are not compared.
 
 Identities are 64-bit hashes of grams and of sets.
 """
@@ -39,6 +40,8 @@ COUNT_CAP = 64
 GATHER = 1 << 18
 #: Similarity (percent) from which a set may get its answers from a head's.
 FAMILY = 50
+#: Partners with which a member of a family is compared before all pairs that are left.
+PARTNERS = 16
 #: Slots of the filter that spares texts outside the join a shuffle: a table of fixed size.
 FILTER_WORDS = 1 << 18
 
@@ -177,31 +180,30 @@ def _sizes_fit(small: Column, large: Column) -> Column:
 
 
 def _overlaps(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Overlap and sizes of two sets, and the grams that the left one has beyond the right one."""
-    cache, last, last_set, out, beyond = WordHash(), None, None, [], []
+    """Overlap and sizes of two sets and, where they are a family, the grams that only one of them has."""
+    cache, last, last_set, out, apart = WordHash(), None, None, [], []
     for a, b in zip(left, right, strict=True):
         b = b.as_py()
         if b != last or last_set is None:
             last, last_set = b, gram_set(b, cache)
         grams = gram_set(a.as_py(), cache)
-        found = np.isin(grams, last_set, assume_unique=True)
-        both = int(found.sum())
+        both = len(np.intersect1d(grams, last_set, assume_unique=True))
         out.append((both, len(grams), len(last_set)))
         family = 100 * both >= FAMILY * (len(grams) + len(last_set) - both)
-        beyond.append(grams[~found].view(np.int64) if family else None)
+        apart.append(np.setxor1d(grams, last_set, assume_unique=True).view(np.int64) if family else None)
     columns = [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((), (), ()))]
-    return pa.StructArray.from_arrays([*columns, pa.array(beyond, pa.list_(pa.int64()))], ["both", "na", "nb", "beyond"])
+    return pa.StructArray.from_arrays([*columns, pa.array(apart, pa.list_(pa.int64()))], ["both", "na", "nb", "apart"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets with their exact overlap ``both``, their sizes, and the grams that ``a`` has
-    beyond ``b`` where the two are a family."""
-    overlap = F.arrow_udf(_overlaps, "struct<both:long,na:long,nb:long,beyond:array<long>>")
+    """Pairs (a, b) of sets with their exact overlap ``both``, their sizes, and the grams ``apart`` that
+    only one of them has, where the two are a family."""
+    overlap = F.arrow_udf(_overlaps, "struct<both:long,na:long,nb:long,apart:array<long>>")
     return (
         pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", overlap("text_a", "text_b").alias("o"))
-        .select("a", "b", "o.both", "o.na", "o.nb", "o.beyond")
+        .select("a", "b", "o.both", "o.na", "o.nb", "o.apart")
     )
 
 
@@ -302,12 +304,12 @@ def _near(index: DataFrame) -> DataFrame:
 
 
 def _is_family() -> Column:
-    return F.col("beyond").isNotNull()
+    return F.col("apart").isNotNull()
 
 
 def _gather(index: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sets around heads: (compared pairs, members). ``members`` has sid, head, n, share (grams that
-    the head has too) and beyond (the grams it has not) for each set whose head is another."""
+    """Sets around heads: (compared pairs, members). ``members`` has sid, head, n, n_head, share (grams that
+    both have) and apart (grams that only one of them has) for each set whose head is another."""
     near = materialize(_verified(_near(index), texts), "gram-near")
     families = components(near.where(_is_family()).select("a", "b"))
     sets = index.select("sid", "n", "lone").distinct()
@@ -321,76 +323,106 @@ def _gather(index: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = (
         wanted.join(near.unionByName(again), ["a", "b"])
         .where(_is_family())
-        .select(F.col("a").alias("sid"), F.col("b").alias("head"), F.col("na").alias("n"),
-                F.col("both").alias("share"), "beyond")
+        .select(F.col("a").alias("sid"), F.col("b").alias("head"), F.col("na").alias("n"), F.col("nb").alias("n_head"),
+                F.col("both").alias("share"), "apart")
     )
     return near.unionByName(again).select("a", "b", "both", "na", "nb"), materialize(members, "gram-members")
 
 
-def _open_in_families(members: DataFrame, groups: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(components with the links found on the way, pairs left open) of members of one head that are in
-    different components.
+def _with_families(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Components after all links between members of one head, from what tells each member from the head.
 
-    With c grams in common beyond the head, two members share at most the smaller of their shares plus
-    c. Without any, the smaller share must do, which only leaves sets much smaller than the head.
+    Let a and b lack L_a and L_b grams of the head h, have B_a and B_b grams beyond it, and agree in o of
+    these differences (both lack the gram, or both have it). Then |a and b| = |h| - L_a - L_b + o. With
+    cost = 100 * L + P * B for P = PERCENT, they link when
+
+        (100 + P) * o >= cost_a + cost_b - (100 - P) * |h|
+
+    and the head itself is a member of cost 0. So members are joined by their differences, which are few
+    where sets are alike, and not by their grams. Where the right side is not positive, both link to
+    the head. Elsewhere they agree in as many differences as the right side asks for: one of them is among the
+    rarest of either, in the order of how many members of the head have it. How many of the rarest depends
+    on the other's cost, so each member offers them once for each band of costs that its family has.
     """
-    placed = members.join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn(
-        "component", F.coalesce("component", "sid")
-    )
-    placed = placed.join(
-        groups.select(F.col("node").alias("head"), F.col("component").alias("of_head")), "head", "left"
-    ).withColumn("outside", F.col("component") != F.coalesce("of_head", "head")).drop("of_head")
-    columns = ("sid", "n", "share", "component")
-    row = lambda rows, s: rows.select("head", *(F.col(c).alias(f"{c}_{s}") for c in columns), *(c for c in rows.columns if c in ("gram", "size")))
-    least, total = F.least("share_a", "share_b"), F.col("n_a") + F.col("n_b")
-    apart = F.col("component_a") != F.col("component_b")
-    pair = (F.greatest("sid_a", "sid_b").alias("a"), F.least("sid_a", "sid_b").alias("b"))
-
-    # No gram in common beyond the head: sizes up to (100 + PERCENT) / PERCENT * share - n will do.
-    size = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(1.05)))
-    room = F.floor((100 + PERCENT) * F.col("share") / PERCENT) - F.col("n")
-    low = F.ceil(PERCENT * F.col("n") / 100)
-    # The one with the smaller share looks for the other; one of them is outside the head's component.
-    largest = placed.where("outside").groupBy("head").agg(F.max("share").alias("largest"))
-    reach = (
-        placed.join(largest, "head")
-        .where((room >= low) & (F.col("outside") | (F.col("share") <= F.col("largest"))))
-        .withColumn("size", F.explode(F.sequence(size(low), size(room))))
-    )
-    sized = placed.withColumn("size", size(F.col("n")))
-    small = (
-        row(reach, "a").join(row(sized, "b"), ["head", "size"])
-        .where(apart & (F.col("share_a") <= F.col("share_b")) & (least >= _need(total)))
-        .select(*pair)
-    )
-
-    # Grams in common beyond the head. Sets that share most of them with one other are compared first.
-    beyond = placed.select("head", "sid", "n", "share", "component", F.explode("beyond").alias("gram"))
-    lists = beyond.groupBy("head", "gram").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.min("sid").alias("first")
-    ).where("x != y")
-    mixed = materialize(beyond.join(lists.select("head", "gram", "first"), ["head", "gram"]), "gram-beyond")
-    star = (
-        mixed.where("sid != first").groupBy("sid", "first").agg(F.count(F.lit(1)).alias("lists"))
-        .groupBy("sid").agg(F.max_by("first", F.struct("lists", "first")).alias("first"))
-        .select(F.col("sid").alias("a"), F.col("first").alias("b"))
-    )
-    tried = materialize(_verified(star, texts).drop("beyond"), "gram-stars")
-    linked = tried.where(_is_link()).select("a", "b")
-    groups = joined(groups, linked)
-    regrouped = groups.select(F.col("node").alias("sid"), F.col("component").alias("now"))
-    moved = mixed.drop("first").join(regrouped, "sid", "left").withColumn("component", F.coalesce("now", "component")).drop("now")
-    still = moved.groupBy("head", "gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-    moved = moved.join(still.select("head", "gram"), ["head", "gram"])
-    sharing = (
-        row(moved, "a").join(row(moved, "b"), ["head", "gram"])
-        .where((F.col("sid_a") < F.col("sid_b")) & apart)
-        .groupBy("sid_a", "sid_b")
-        .agg(F.count(F.lit(1)).alias("c"), F.first(least).alias("least"), F.first(total).alias("total"))
-        .where(F.col("least") + F.col("c") >= _need(F.col("total")))
-        .select(*pair)
-    )
-    return groups, small.unionByName(sharing).distinct()
+    lacks, beyond = F.col("n_head") - F.col("share"), F.col("n") - F.col("share")
+    placed = (
+        members.join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
+        .select(
+            "sid", "head", F.coalesce("component", "sid").alias("component"), "apart", ((100 - PERCENT) * F.col("n_head")).alias("free"),
+            (100 * lacks + PERCENT * beyond).alias("cost"),
+        )
+        .withColumn("width", F.greatest(F.lit(100 + PERCENT), F.floor(F.col("free") / 8)))
+        .withColumn("band", F.floor(F.col("cost") / F.col("width")))
+    )
+    families = placed.groupBy("head").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.collect_set("band").alias("bands"),
+    ).where("x != y").select("head", "bands")
+    mixed = materialize(placed.join(families, "head"), "gram-families")
+
+    # Differences in the order of how many members have them; only those that several have can be shared.
+    each = mixed.select("head", "sid", F.explode("apart").alias("gram"))
+    shared = each.groupBy("head", "gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    of_set = Window.partitionBy("sid")
+    ranked = (
+        each.join(shared, ["head", "gram"])
+        # Differences of one member only come first, so this many are left from this one on.
+        .withColumn("left", F.count(F.lit(1)).over(of_set) + 1 - F.row_number().over(of_set.orderBy("times", "gram")))
+        .select("sid", "gram", "left")
+    )
+    asked = F.greatest(F.lit(1), F.ceil((F.col("cost") + F.col("other") * F.col("width") - F.col("free")) / (100 + PERCENT)))
+    offered = materialize(
+        ranked.join(mixed.drop("apart"), "sid")
+        .withColumn("other", F.explode("bands"))
+        .where(F.col("left") >= asked)
+        .select("head", "gram", "sid", "component", "cost", "free", "band", "other", "left"),
+        "gram-offers",
+    )
+    told = lambda s: mixed.select(
+        F.col("sid").alias(s), F.col("apart").alias(f"apart_{s}"), F.col("cost").alias(f"cost_{s}"), F.col("free").alias(f"free_{s}")
+    )
+    agree = F.size(F.array_intersect("apart_a", "apart_b"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return (
+            pairs.join(told("a"), "a").join(told("b"), "b")
+            .where((100 + PERCENT) * agree >= F.col("cost_a") + F.col("cost_b") - F.col("free_a"))
+            .select("a", "b")
+        )
+
+    # First a few partners for each set, a random one of each of some lists: where many sets of a family
+    # link, this leaves few components.
+    listed = offered.withColumns({"low": F.least("band", "other"), "high": F.greatest("band", "other")})
+    key = ["head", "gram", "low", "high"]
+    drawn = listed.groupBy(*key).agg(F.min_by(F.struct("sid", "component"), F.xxhash64("gram", "sid")).alias("p"))
+    by_chance = Window.partitionBy("sid").orderBy(F.xxhash64("sid", "partner"))
+    few = (
+        listed.join(drawn, key).where(F.col("component") != F.col("p.component"))
+        .select("sid", F.col("p.sid").alias("partner")).distinct()
+        .withColumn("k", F.row_number().over(by_chance)).where(F.col("k") <= PARTNERS)
+        .select(F.col("sid").alias("a"), F.col("partner").alias("b"))
+    )
+    groups = joined(groups, materialize(linked(few), "gram-partners"))
+
+    # Then all pairs that are still in different components.
+    moved = materialize(
+        listed.drop("component").join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
+        .withColumn("component", F.coalesce("component", "sid")),
+        "gram-moved",
+    )
+    lists = moved.groupBy(*key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select(*key)
+    side = lambda s: moved.select(*key, "free", "band", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "component", "cost", "left")))
+    pairs = (
+        side("a").where("band = low").drop("band").join(lists, key)
+        .join(side("b").where("(low = high) OR (band = high)").drop("free", "band"), key)
+        .where(
+            (F.col("component_a") != F.col("component_b"))
+            & ((F.col("low") != F.col("high")) | (F.col("sid_a") < F.col("sid_b")))
+            & ((100 + PERCENT) * F.least("left_a", "left_b") >= F.col("cost_a") + F.col("cost_b") - F.col("free"))
+        )
+        .select(F.greatest("sid_a", "sid_b").alias("a"), F.least("sid_a", "sid_b").alias("b"))
+        .distinct()
+    )
+    return joined(groups, materialize(linked(pairs), "gram-inside"))
 
 
 def _block_pairs(lists: DataFrame) -> DataFrame:
@@ -476,8 +508,7 @@ def _linked(docs: DataFrame) -> DataFrame:
 
     tried, members = _gather(index, texts)
     groups = components(tried.where(_is_link()).select("a", "b"))
-    groups, inside = _open_in_families(members, groups, texts)
-    groups = joined(groups, materialize(_verified(inside, texts).where(_is_link()).select("a", "b"), "gram-inside"))
+    groups = _with_families(members, groups)
     placed = materialize(
         index.join(members.select("sid", F.col("head").alias("to"), (F.col("n") - F.col("share")).alias("over")), "sid", "left")
         .join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
@@ -499,7 +530,7 @@ def _linked(docs: DataFrame) -> DataFrame:
     by_head = materialize(by_head.withColumn("block", block.cast("long")), "gram-lists")
     pairs = _head_pairs(by_head)
     before = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    new = _verified(pairs.join(before, ["a", "b"], "left_anti"), texts).drop("beyond")
+    new = _verified(pairs.join(before, ["a", "b"], "left_anti"), texts).drop("apart")
     known = tried.unionByName(
         tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "both", F.col("nb").alias("na"), F.col("na").alias("nb"))
     ).join(pairs, ["a", "b"], "left_semi").dropDuplicates(["a", "b"])

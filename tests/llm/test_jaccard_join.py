@@ -140,3 +140,24 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(20)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{k: 0 for k in range(21)}, **{k: 100 for k in range(100, 130)}}
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_family_of_many_components(spark, seed):
+    """Variants of a text that is not there: their head links with few of them, and pairs link here and there."""
+    draw = random.Random(seed)
+    base = [f"b{k}" for k in range(110)]
+    passage = [f"p{k}" for k in range(25)]
+    variants = []
+    for k in range(70):
+        text = list(draw.choice(variants)) if variants and draw.random() < 0.4 else list(base)
+        for _ in range(draw.choice((1, 2, 3, 4, 5))):
+            text[draw.randrange(len(text))] = f"e{draw.randrange(40)}"
+        if draw.random() < 0.3:
+            at = draw.randrange(len(text))
+            text[at:at] = passage
+        variants.append(text[: draw.choice((None, None, -15))])
+    rows = [(k, " ".join(t)) for k, t in enumerate(variants)]
+    want = brute(rows)
+    assert len({c for _, _, c in want}) > 15
+    assert run(spark, rows) == want
