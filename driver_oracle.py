@@ -509,6 +509,20 @@ def _report(site: str) -> str:
 
 sql("rule_report", _report("EU"))
 sql("rule_report_master", _report("AM"))
+_BATCHES = {b: f"seq <= (SELECT max(event_id) * {b} // 3 FROM events)" for b in (1, 2, 3)}
+_KEPT = {
+    ("value_positive", "accounts", "check"): "SELECT count(*) FROM state{0} WHERE NOT (value > 0)",
+    ("unique_user_id", "accounts", "unique"):
+        "SELECT count(*) FROM (SELECT 1 FROM state{0} GROUP BY user_id HAVING count(*) > 1)",
+    ("unique_value_note", "accounts", "unique"):
+        "SELECT count(*) FROM (SELECT 1 FROM state{0} GROUP BY value, note HAVING count(*) > 1)",
+    ("fk_id_user", "bookings", "fk"):
+        "SELECT count(*) FROM rezervare WHERE id_user NOT IN (SELECT user_id FROM state{0})",
+}
+sql("violations_after_changes", " UNION ALL ".join(
+    f"""SELECT {b} batch, '{table}' AS "name", '{rule}' AS "rule", '{kind}' kind, ({count.format(b)}) violations"""
+    for b in _BATCHES for (rule, table, kind), count in _KEPT.items()
+), *[cte for b, until in _BATCHES.items() for cte in _state(f"state{b}", until)])
 sql("refresh_validated", """SELECT 'fk_owner' AS "rule", 'rezervare' AS "name", CAST(id_rezervare AS VARCHAR) AS "key",
     CAST(id_user AS VARCHAR) detail FROM rezervare WHERE id_user NOT IN (SELECT user_id FROM after_all)""",
     *_state("after_all"))

@@ -21,7 +21,7 @@ from sitefold.operators import admission as ad
 from sitefold.plans import booking as bk
 from sitefold.plans import reports as rp
 from sitefold.plans import views as vw
-from sitefold.session import fresh_path
+from sitefold.session import fresh_path, materialize
 from sitefold.sources import loading as ld
 from sitefold.sources.schema import RELATIONS, with_defaults
 from sitefold.streaming import replicate as rs
@@ -1020,6 +1020,32 @@ def rule_report_master(t: Tables) -> DataFrame:
     return ic.rule_report(tables, rules)
 
 
+@query
+def violations_after_changes(t: Tables) -> DataFrame:
+    """Rules on accounts and their bookings, kept up to date through three batches of changes."""
+    accounts, bookings = t.accounts(), t.rezervare().select("id_rezervare", "id_user")
+    held = ic.Keys("accounts", accounts, ("user_id",))
+    rules = [
+        ic.Rule("value_positive", "accounts", "check", lambda: F.col("value") > 0),
+        ic.Rule("unique_user_id", "accounts", "unique", own=held),
+        ic.Rule("unique_value_note", "accounts", "unique", own=ic.Keys("accounts", accounts, ("value", "note"))),
+        ic.Rule("fk_id_user", "bookings", "fk", own=ic.Keys("bookings", bookings, ("id_user",)), other=(held,)),
+    ]
+    kept = ic.keep_counts({"accounts": accounts, "bookings": bookings}, rules)
+    last = t.raw("events").agg(F.max("event_id")).first()[0]
+    reports = []
+    for batch in (1, 2, 3):
+        seq = F.col("seq")
+        changes = t.account_changes().where((seq > last * (batch - 1) // 3) & (seq <= last * batch // 3))
+        touched = changes.select("user_id").distinct()
+        before = accounts.join(touched, "user_id", "left_semi")
+        after = materialize(ch.apply_changes(before, changes, "user_id"), "after")
+        kept = ic.move_counts(kept, "accounts", before, after)
+        accounts = materialize(accounts.join(touched, "user_id", "left_anti").unionByName(after), "accounts")
+        reports.append(kept.report().withColumn("batch", F.lit(batch)))
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query
 def refresh_validated(t: Tables) -> DataFrame:
     children = t.rezervare().select("id_rezervare", F.col("id_user").alias("owner"))

@@ -7,13 +7,15 @@ the rule holds. A loader may refuse the batch or set the rows aside.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructType, TimestampType
 
 from sitefold.functions import check_fails
+from sitefold.session import materialize
 from sitefold.sources.schema import RELATIONS, Relation
 from sitefold.sources.sites import SiteCatalog, one_version
 
@@ -163,18 +165,34 @@ def check_unique_sites(
 # --- registry and report ---------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Keys:
+    """Key columns of a table. ``source`` names the table: equal names are one table and one scan."""
+
+    source: str
+    df: DataFrame = field(compare=False, repr=False)
+    columns: tuple[str, ...]
+
+    @property
+    def place(self) -> tuple[str, tuple[str, ...]]:
+        return self.source, self.columns
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A registered rule. ``find`` returns its violations; row rules carry the predicate.
+    """A registered rule: a row rule with its predicate, or a key rule with the keys it compares.
 
-    Row rules, not-null rules and fragment predicates of one table are counted together.
+    A key rule without ``other`` asks that values of ``own`` are unique. With ``other``, a row of ``own``
+    breaks it when its value is missing there (``present`` false) or held there (``present`` true).
     """
 
     name: str
     table: str
     kind: str
     predicate: Callable[[], Column] | None = None
-    find: Callable[[], DataFrame] | None = None
+    own: Keys | None = None
+    other: tuple[Keys, ...] = ()
+    present: bool = False
 
 
 def row_rules(relation: Relation, table: str, skip: tuple[str, ...] = ()) -> list[Rule]:
@@ -191,47 +209,194 @@ def row_rules(relation: Relation, table: str, skip: tuple[str, ...] = ()) -> lis
     return checks + required
 
 
-def count_row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Violations of all row rules of one table in a single aggregation, one row per rule."""
-    counted = df.agg(*[F.count_if(check_fails(r.predicate())).alias(f"_{i}") for i, r in enumerate(rules)])
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(r.table).alias("name"),
-                    F.lit(r.name).alias("rule"),
-                    F.lit(r.kind).alias("kind"),
-                    F.col(f"_{i}").alias("violations"),
-                )
-                for i, r in enumerate(rules)
-            ]
+def _key_value(schema: StructType, columns: tuple[str, ...]) -> tuple[str, str]:
+    """Key values of any table in one form, as SQL: a whole number, or text in which each part follows its
+    length. Timestamps count their microseconds: as text two instants of a changed clock would look alike."""
+    kinds = [schema[c].dataType for c in columns]
+    if len(kinds) == 1 and isinstance(kinds[0], IntegralType):
+        return f"CAST(`{columns[0]}` AS BIGINT)", "CAST(NULL AS STRING)"
+
+    def part(c: str, kind) -> str:
+        value = f"CAST(unix_micros(`{c}`) AS STRING)" if isinstance(kind, TimestampType) else f"CAST(`{c}` AS STRING)"
+        return f"coalesce(concat(length({value}), ':', {value}), '-')"
+
+    return "CAST(NULL AS BIGINT)", f"concat({', '.join(map(part, columns, kinds))})"
+
+
+class SharedRules:
+    """All rules of some tables, decided by one aggregation over one scan of each table.
+
+    Key rules meet in *domains*: the values of a key where they are held, once for all rules about them
+    (that they are unique, and each foreign key that points to them). A row gives one entry for each
+    domain that it takes part in and one for each row rule that it breaks: (domain, key, role, count),
+    role 0 where the value is held and a number of its own for each rule that asks for it. Entries are
+    added up per key before and after the only shuffle, so a value that very many rows hold is one row
+    of each task.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame], rules: list[Rule]):
+        self.rules = rules
+        self._domains: dict[object, int] = {}
+        self._asking: dict[int, int] = {}  # roles of a domain beside the holders
+        self._measures: list[tuple[int, str]] = []  # of each rule: its domain and its measure there
+        self._sources: dict[str, DataFrame] = {}
+        self._schemas: dict[str, StructType] = {}
+        self._entries: dict[str, list[tuple[int, int, Keys | None, Column]]] = {}
+        for name, df in tables.items():
+            self._source(self._source_of(name), df)
+        for rule in rules:
+            self._measures.append(self._row_rule(rule) if rule.own is None else self._key_rule(rule))
+        self.roles = 1 + max(self._asking.values(), default=0)
+
+    def _source_of(self, table: str) -> str:
+        return next((r.own.source for r in self.rules if r.table == table and r.own), table)
+
+    def _source(self, source: str, df: DataFrame) -> None:
+        if source not in self._sources:
+            self._sources[source], self._schemas[source] = df, df.schema
+
+    def _entry(self, source: str, domain: int, role: int, keys: Keys | None, wanted: Column) -> None:
+        self._entries.setdefault(source, []).append((domain, role, keys, wanted))
+
+    def _row_rule(self, rule: Rule) -> tuple[int, str]:
+        domain = self._domains.setdefault((rule.table, rule.name), len(self._domains))
+        self._entry(self._source_of(rule.table), domain, 0, None, check_fails(rule.predicate()))
+        return domain, "held"
+
+    def _held(self, places: tuple[Keys, ...]) -> int:
+        """The domain of values held at ``places``."""
+        known = tuple(sorted(k.place for k in places))
+        if known not in self._domains:
+            self._domains[known] = len(self._domains)
+            self._asking[self._domains[known]] = 0
+            for keys in places:
+                self._source(keys.source, keys.df)
+                self._entry(keys.source, self._domains[known], 0, keys, _any_key(list(keys.columns)))
+        return self._domains[known]
+
+    def _key_rule(self, rule: Rule) -> tuple[int, str]:
+        if not rule.other:
+            return self._held((rule.own,)), "repeated"
+        domain = self._held(rule.other)
+        self._source(rule.own.source, rule.own.df)
+        for keys in rule.other:
+            self._comparable(rule.own, keys)
+        self._asking[domain] = role = self._asking[domain] + 1
+        self._entry(rule.own.source, domain, role, rule.own, _complete(list(rule.own.columns)))
+        return domain, f"{'clash' if rule.present else 'orphan'}_{role}"
+
+    def _comparable(self, a: Keys, b: Keys) -> None:
+        for x, y in zip(a.columns, b.columns, strict=True):
+            one, two = self._schemas[a.source][x].dataType, self._schemas[b.source][y].dataType
+            if one != two and not (isinstance(one, IntegralType) and isinstance(two, IntegralType)):
+                raise ValueError(f"{a.source}.{x} and {b.source}.{y} differ in type: {one} and {two}")
+
+    def entries(self, source: str, df: DataFrame, sign: int = 1) -> DataFrame:
+        """What rows of a table add to (``sign`` 1) or take from (-1) the counts, added up by task and key."""
+
+        def entry(domain: int, role: int, keys: Keys | None, wanted: Column) -> Column:
+            number, text = "CAST(NULL AS BIGINT)", "CAST(NULL AS STRING)"
+            if keys:
+                number, text = _key_value(self._schemas[source], keys.columns)
+            given = f"named_struct('domain', {domain}, 'role', {role}, 'number', {number}, 'text', {text})"
+            return F.when(wanted, F.expr(given))
+
+        rows = df.select(F.explode(F.array(*[entry(*e) for e in self._entries[source]])).alias("e"))
+        return rows.where("e IS NOT NULL").selectExpr("e.*", f"CAST({sign} AS BIGINT) AS n")
+
+    def add_up(self, entries: DataFrame) -> DataFrame:
+        """(domain, number, text, n_0 …): rows of each role by key."""
+        of_role = [f"sum(CASE WHEN role = {i} THEN n ELSE 0 END) AS n_{i}" for i in range(self.roles)]
+        return entries.groupBy("domain", "number", "text").agg(*map(F.expr, of_role))
+
+    def key_counts(self) -> DataFrame:
+        """Counts of all tables; each is read once."""
+        parts = [self.entries(s, df) for s, df in self._sources.items() if s in self._entries]
+        return self.add_up(reduce(DataFrame.unionByName, parts))
+
+    def measures(self, key_counts: DataFrame) -> DataFrame:
+        """(domain, measure, violations) of counted keys."""
+        found = {"held": "n_0", "repeated": "CAST(n_0 > 1 AS BIGINT)"}
+        for i in range(1, self.roles):
+            found[f"orphan_{i}"] = f"CASE WHEN n_0 = 0 THEN n_{i} ELSE 0 END"
+            found[f"clash_{i}"] = f"CASE WHEN n_0 > 0 THEN n_{i} ELSE 0 END"
+        sums = key_counts.groupBy("domain").agg(*[F.expr(f"sum({v}) AS {k}") for k, v in found.items()])
+        return sums.unpivot("domain", list(found), "measure", "violations")
+
+    def listing(self, measures: DataFrame) -> DataFrame:
+        """(name, rule, kind, violations), a row for each rule, also where nothing was counted."""
+        rows = [
+            (r.table, r.name, r.kind, domain, measure)
+            for r, (domain, measure) in zip(self.rules, self._measures, strict=True)
+        ]
+        schema = "name string, rule string, kind string, domain int, measure string"
+        rules = measures.sparkSession.createDataFrame(rows, schema)
+        # Both sides have a row or a few for each rule.
+        return rules.join(F.broadcast(measures), ["domain", "measure"], "left").select(
+            "name", "rule", "kind", F.coalesce("violations", F.lit(0).cast("long")).alias("violations")
         )
+
+
+@dataclass(frozen=True)
+class KeptCounts:
+    """State of maintained rules: count rows in key ranges of a hash, and the totals of each measure."""
+
+    rules: SharedRules
+    counts: DataFrame  # domain, number, text, n_0 …, spread; several rows of a key add up
+    totals: DataFrame  # domain, measure, violations; several rows of a measure add up
+    folders: int
+
+    def report(self) -> DataFrame:
+        """(name, rule, kind, violations) from the totals alone; no table and no count is read."""
+        summed = self.totals.groupBy("domain", "measure").agg(F.sum("violations").alias("violations"))
+        return self.rules.listing(summed)
+
+
+def _spread(counts: DataFrame, folders: int) -> DataFrame:
+    return counts.withColumn("spread", F.pmod(F.xxhash64("domain", "number", "text"), F.lit(folders)).cast("int"))
+
+
+def keep_counts(tables: dict[str, DataFrame], rules: list[Rule], folders: int = 64) -> KeptCounts:
+    """Count all keys once and write them; from here on batches move the counts.
+
+    Counts are spread over ``folders`` by a hash of their key: choose as many as give files of usual size.
+    """
+    shared = SharedRules(tables, rules)
+    counts = materialize(_spread(shared.key_counts(), folders), "key_counts", partition_by="spread")
+    return KeptCounts(shared, counts, materialize(shared.measures(counts), "totals"), folders)
+
+
+def move_counts(kept: KeptCounts, source: str, before: DataFrame, after: DataFrame) -> KeptCounts:
+    """The state after rows ``before`` of table ``source`` have become rows ``after``.
+
+    Pass the rows that a batch touches, as they were and as they are: an inserted row is only in
+    ``after``, a deleted one only in ``before``. What a batch changes is counted like a table, taken from
+    and added to the counts of its keys; the violations of just these keys are measured before and
+    after. The counts are joined on their folder too, so Spark reads only folders that the batch hits.
+    """
+    shared = kept.rules
+    moved = shared.entries(source, before, -1).unionByName(shared.entries(source, after))
+    sums = [f"n_{i}" for i in range(shared.roles)]
+    some = " OR ".join(f"{n} <> 0" for n in sums)
+    delta = materialize(_spread(shared.add_up(moved).where(some), kept.folders), "moved", partition_by="spread")
+    key = ["spread", "domain", "number", "text"]
+    meets = [kept.counts[c].eqNullSafe(delta[c]) if c in ("number", "text") else kept.counts[c] == delta[c] for c in key]
+    old = kept.counts.join(delta, reduce(lambda a, b: a & b, meets), "left_semi")
+    added = lambda *parts: reduce(DataFrame.unionByName, parts).groupBy(*key).agg(
+        *[F.sum(n).alias(n) for n in sums]
     )
-    return counted.select(rows.alias("r")).select("r.*")
+    gone = shared.measures(added(old)).withColumn("violations", -F.col("violations"))
+    came = shared.measures(added(old, delta))
+    shift = materialize(gone.unionByName(came), "shift")
+    return KeptCounts(shared, kept.counts.unionByName(delta), kept.totals.unionByName(shift), kept.folders)
 
 
 def rule_report(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """All rules with the number of rows (or key values) that break them, and their status."""
-    parts = []
-    for table, df in tables.items():
-        own = [r for r in rules if r.table == table and r.predicate is not None]
-        if own:
-            parts.append(count_row_rules(df, own))
-    for r in rules:
-        if r.find is not None:
-            parts.append(
-                r.find()
-                .agg(F.count(F.lit(1)).alias("violations"))
-                .select(
-                    F.lit(r.table).alias("name"),
-                    F.lit(r.name).alias("rule"),
-                    F.lit(r.kind).alias("kind"),
-                    "violations",
-                )
-            )
+    shared = SharedRules(tables, rules)
     status = F.when(F.col("violations") == 0, "OK").otherwise("VIOLATED")
     return (
-        reduce(DataFrame.unionByName, parts)
+        shared.listing(shared.measures(shared.key_counts()))
         .withColumn("status", status)
         .orderBy("name", "kind", "rule")
     )
@@ -254,20 +419,18 @@ def site_rules(catalog: SiteCatalog, site: str) -> tuple[dict[str, DataFrame], l
         )
         return df
 
+    def at(place: str, table: str, keys: tuple[str, ...]) -> Keys:
+        return Keys(f"{place}.{table}", catalog.table(place, table), keys)
+
     def unique(table: str, keys: tuple[str, ...]) -> None:
-        df = tables[table]
-        rules.append(
-            Rule(f"unique_{'_'.join(keys)}", table, "unique",
-                 find=lambda: check_unique(df, table, list(keys)))
-        )
+        rules.append(Rule(f"unique_{'_'.join(keys)}", table, "unique", own=at(site, table, keys)))
 
-    def foreign(table: str, key: str, fk: str, parent_site: str, parent: str, pk: str) -> None:
+    def foreign(table: str, fk: str, parent_site: str, parent: str, pk: str) -> None:
         if not catalog.has(parent_site, parent):
             return
-        df, kind = tables[table], "fk" if parent_site == site else "fk_site"
+        kind = "fk" if parent_site == site else "fk_site"
         rules.append(
-            Rule(f"{kind}_{fk}", table, kind,
-                 find=lambda: check_fk(df, table, key, fk, catalog.table(parent_site, parent), pk))
+            Rule(f"{kind}_{fk}", table, kind, own=at(site, table, (fk,)), other=(at(parent_site, parent, (pk,)),))
         )
 
     for name in ("tara", "oras", "aeroport", "avion", "zbor", "pasager"):
@@ -276,7 +439,7 @@ def site_rules(catalog: SiteCatalog, site: str) -> tuple[dict[str, DataFrame], l
             for keys in relation.unique:
                 unique(name, keys)
             for fk, parent, pk in relation.foreign:
-                foreign(name, relation.key, fk, site, parent, pk)
+                foreign(name, fk, site, parent, pk)
     users = RELATIONS["utilizator"]
     if add("utilizator_sec", users) is not None:
         unique("utilizator_sec", ("id_user",))
@@ -285,7 +448,7 @@ def site_rules(catalog: SiteCatalog, site: str) -> tuple[dict[str, DataFrame], l
         add("utilizator_data", users, skip=("user_email", "user_role"))
         unique("utilizator_data", ("id_user",))
         if site == catalog.master:
-            foreign("utilizator_data", "id_user", "id_user", site, "utilizator_sec", "id_user")
+            foreign("utilizator_data", "id_user", site, "utilizator_sec", "id_user")
     for name in ("rezervare", "plata", "bilet"):
         relation, table = RELATIONS[name], f"{name}{suffix}"
         if add(table, relation, skip=("booking_region",)) is None:
@@ -294,24 +457,22 @@ def site_rules(catalog: SiteCatalog, site: str) -> tuple[dict[str, DataFrame], l
         for fk, parent, pk in relation.foreign:
             split = parent in ("rezervare", "plata", "bilet")
             home = site if split or catalog.has(site, parent) else catalog.master
-            foreign(table, relation.key, fk, home, f"{parent}{suffix}" if split else parent, pk)
+            foreign(table, fk, home, f"{parent}{suffix}" if split else parent, pk)
         if name == "rezervare":
             rules.append(
                 Rule("fragment_region", table, "fragment",
                      lambda: F.col("regiune_vanzare") == site)
             )
         if name == "bilet":
-            seat = ["id_zbor", "numar_rand", "litera_scaun"]
-            others = {
-                s: catalog.table(s, f"bilet_{s.lower()}")
+            seat = ("id_zbor", "numar_rand", "litera_scaun")
+            others = tuple(
+                at(s, f"bilet_{s.lower()}", seat)
                 for s in ("AM", "EU")
                 if s != site and catalog.has(s, f"bilet_{s.lower()}")
-            }
-            df = tables[table]
+            )
             if others:
                 rules.append(
-                    Rule("unique_seat_sites", table, "unique_site",
-                         find=lambda: check_unique_sites(
-                             df, site, others, table, "id_bilet", seat))
+                    Rule("unique_seat_sites", table, "unique_site", own=at(site, table, seat), other=others,
+                         present=True)
                 )
     return tables, rules

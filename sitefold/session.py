@@ -29,12 +29,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/sitefold/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
     Cuts the lineage: values that depend on how rows were placed (partition ids, range
-    bounds) stay fixed even when executors are lost later. Parquet keeps column pruning.
+    bounds) stay fixed even when executors are lost later. Parquet keeps column pruning. With
+    ``partition_by``, the last column, each of its values has a folder with one file.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    if partition_by is None:
+        df.write.parquet(path)
+    else:
+        df.repartition(partition_by).write.partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -138,3 +138,88 @@ def test_report_lists_all_rules_in_order(spark):
     central, rules = ic.site_rules(sites, "AM")
     assert {"pasager", "utilizator_sec"} <= set(central)
     assert any(r.table == "utilizator_data" and r.kind == "fk" for r in rules)
+
+
+def test_report_reads_each_table_once(spark, tmp_path):
+    spark.range(6).selectExpr("id", "id % 3 AS parent", "CAST(id AS STRING) AS a", "CAST(NULL AS STRING) AS b").write.parquet(
+        f"{tmp_path}/child"
+    )
+    spark.range(1, 3).selectExpr("CAST(id AS INT) AS pk").write.parquet(f"{tmp_path}/parent")
+    child, parent = spark.read.parquet(f"{tmp_path}/child"), spark.read.parquet(f"{tmp_path}/parent")
+    held = ic.Keys("parent", parent, ("pk",))
+    rules = [
+        ic.Rule("positive", "child", "check", lambda: F.col("id") > 0),
+        ic.Rule("unique_id", "child", "unique", own=ic.Keys("child", child, ("id",))),
+        ic.Rule("unique_parent", "child", "unique", own=ic.Keys("child", child, ("parent",))),
+        ic.Rule("unique_a_b", "child", "unique", own=ic.Keys("child", child, ("a", "b"))),
+        ic.Rule("unique_b", "child", "unique", own=ic.Keys("child", child, ("b",))),
+        ic.Rule("fk_parent", "child", "fk", own=ic.Keys("child", child, ("parent",)), other=(held,)),
+        ic.Rule("absent", "child", "unique_site", own=ic.Keys("child", child, ("parent",)), other=(held,), present=True),
+        ic.Rule("unique_pk", "parent", "unique", own=held),
+    ]
+    report = ic.rule_report({"child": child, "parent": parent}, rules)
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    assert {r.rule: r.violations for r in report.collect()} == {
+        "positive": 1, "unique_id": 0, "unique_parent": 3, "unique_a_b": 0, "unique_b": 0, "fk_parent": 2,
+        "absent": 4, "unique_pk": 0,
+    }
+    with pytest.raises(ValueError, match="differ in type"):
+        ic.SharedRules({"child": child}, [
+            ic.Rule("fk_a", "child", "fk", own=ic.Keys("child", child, ("a",)), other=(held,))
+        ])
+
+
+def test_report_of_empty_tables(spark):
+    empty = spark.createDataFrame([], "id long, parent long")
+    own = ic.Keys("t", empty, ("parent",))
+    rules = [ic.Rule("fk_parent", "t", "fk", own=own, other=(ic.Keys("t", empty, ("id",)),)),
+             ic.Rule("required", "t", "not_null", lambda: F.col("id").isNotNull())]
+    assert [(r.rule, r.violations, r.status) for r in ic.rule_report({"t": empty}, rules).collect()] == [
+        ("fk_parent", 0, "OK"), ("required", 0, "OK")
+    ]
+
+
+def test_kept_counts_follow_batches(spark):
+    def table(rows):
+        return spark.createDataFrame(rows, "id long, parent long")
+
+    parents = spark.createDataFrame([(1,), (2,)], "pk long")
+    start = table([(1, 1), (2, 9), (3, None), (None, 1)])
+
+    def rules(child):
+        held, own = ic.Keys("parents", parents, ("pk",)), ic.Keys("child", child, ("parent",))
+        return [
+            ic.Rule("required", "child", "not_null", lambda: F.col("id").isNotNull()),
+            ic.Rule("unique_id", "child", "unique", own=ic.Keys("child", child, ("id",))),
+            ic.Rule("fk", "child", "fk", own=own, other=(held,)),
+            ic.Rule("taken", "child", "unique_site", own=own, other=(held,), present=True),
+        ]
+
+    def full(child):
+        return sorted(r[:4] for r in ic.rule_report({"child": child}, rules(child)).collect())
+
+    kept = ic.keep_counts({"child": start}, rules(start), folders=8)
+    assert sorted(kept.report().collect()) == full(start)
+    batches = [  # moved to another parent and inserted; the null key mended, a repeated key; nothing; all gone
+        ([(2, 9)], [(2, 2), (4, 9), (4, 9)]),
+        ([(None, 1)], [(1, 1)]),
+        ([], []),
+        ([(1, 1), (1, 1), (2, 2), (3, None), (4, 9), (4, 9)], []),
+    ]
+    rows = [tuple(r) for r in start.collect()]
+    for before, after in batches:
+        kept = ic.move_counts(kept, "child", table(before), table(after))
+        for row in before:
+            rows.remove(row)
+        rows += after
+        assert sorted(kept.report().collect()) == full(table(rows))
+
+
+def test_kept_counts_read_only_folders_of_the_batch(spark):
+    child = spark.range(1000).selectExpr("id")
+    rules = [ic.Rule("unique_id", "child", "unique", own=ic.Keys("child", child, ("id",)))]
+    kept = ic.keep_counts({"child": child}, rules, folders=16)
+    assert kept.counts.select("spread").distinct().count() == 16
+    delta = kept.counts.where("number = 7")
+    plan = kept.counts.join(F.broadcast(delta), "spread", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
