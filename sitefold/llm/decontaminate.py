@@ -7,10 +7,12 @@ words; runs are mapped back to code point offsets of the original text.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitefold.llm.common import utf8
@@ -18,8 +20,8 @@ from sitefold.session import materialize
 
 #: Words in a window; an item of fewer words is one window.
 WINDOW = 13
-#: Bytes of item text per automaton. A larger benchmark is scanned for in several blocks.
-BLOCK_BYTES = 8 << 20
+#: Windows per automaton, about 1 KB of a worker's memory each. A larger benchmark is scanned for in blocks.
+BLOCK_WINDOWS = 200_000
 #: A document is contaminated when hit words make up one word in this many.
 SHARE = 20
 
@@ -81,46 +83,71 @@ class Scanner:
         return len(words), [] if marks is None else _runs(marks), found
 
 
-def _joined(old: list[tuple[int, int]], new: list[tuple[int, int]], n_words: int) -> list[tuple[int, int]]:
-    if not old or not new:
-        return old or new
-    marks = np.zeros(n_words, np.int8)
-    for first, last in (*old, *new):
-        marks[first : last + 1] = 1
-    return _runs(marks)
-
-
-def _scan_column(items: list[tuple[str, str | None]], window: int, text: Column, state: Column | None) -> Column:
-    """Scan ``text`` for the items; adds to the state of earlier blocks where there is one."""
+def _scan_column(items: list[tuple[str, str]], window: int, text: Column) -> Column:
+    """State of each text after a scan for the items."""
     built: list[Scanner] = []
 
-    def scanned(texts: pa.Array, states: pa.Array | None) -> pa.Array:
+    @F.arrow_udf(STATE)
+    def scanned(texts: pa.Array) -> pa.Array:
         if not built:
             built.append(Scanner(items, window))
         out = []
-        for i, text in enumerate(texts):
+        for text in texts:
             n_words, hits, found = built[0].scan(text.as_py())
-            if states is not None:
-                was = states[i].as_py()
-                hits = _joined([(h["first"], h["last"]) for h in was["hits"]], hits, n_words)
-                found.update(was["items"])
-            out.append((n_words, [{"first": a, "last": b} for a, b in hits], sorted(found)))
-        return pa.array(
-            [{"n_words": n, "hits": h, "items": f} for n, h, f in out], type=_STATE_ARROW
-        )
-
-    if state is None:
-        @F.arrow_udf(STATE)
-        def first(texts: pa.Array) -> pa.Array:
-            return scanned(texts, None)
-
-        return first(text)
+            runs = [{"first": a, "last": b} for a, b in hits]
+            out.append({"n_words": n_words, "hits": runs, "items": sorted(found)})
+        return pa.array(out, type=_STATE_ARROW)
+
+    return scanned(text)
 
-    @F.arrow_udf(STATE)
-    def more(texts: pa.Array, states: pa.Array) -> pa.Array:
-        return scanned(texts, states)
 
-    return more(text, state)
+def _merged(hits: pa.Array) -> pa.Array:
+    """Runs of several blocks as runs that neither overlap nor touch."""
+    out = []
+    for runs in hits:
+        merged: list[list[int]] = []
+        for first, last in sorted((h["first"], h["last"]) for h in runs.as_py() or ()):
+            if merged and first <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], last)
+            else:
+                merged.append([first, last])
+        out.append([{"first": a, "last": b} for a, b in merged])
+    return pa.array(out, type=_STATE_ARROW.field("hits").type)
+
+
+def _pieces(items: DataFrame, window: int, limit: int) -> DataFrame:
+    """(name, piece, n_windows) of items (name, item_text): folded words of at most ``limit`` windows.
+    A longer item gives several pieces, each beginning with the windows that follow the last one's."""
+
+    def cut(batches):
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch.column("name"), batch.column("item_text"), strict=True):
+                words = fold(text.as_py()).split()
+                count = max(1, len(words) - window + 1) if words else 0
+                for start in range(0, count, limit):
+                    taken = min(limit, count - start)
+                    piece = b" ".join(words[start : start + taken + window - 1]).decode("utf-8")
+                    rows.append({"name": name.as_py(), "piece": piece, "n_windows": taken})
+            yield pa.RecordBatch.from_pylist(
+                rows, pa.schema([("name", pa.string()), ("piece", pa.string()), ("n_windows", pa.int64())])
+            )
+
+    return items.mapInArrow(cut, "name string, piece string, n_windows long").distinct()
+
+
+def blocks_of(items: DataFrame, window: int = WINDOW, limit: int = BLOCK_WINDOWS) -> DataFrame:
+    """Pieces of items (name, item_text) with the block each belongs to: (bucket, part).
+
+    Pieces are hashed into buckets of ``limit`` windows on average, and a running sum cuts a bucket where
+    the next piece would begin beyond ``limit``: no block has more than twice that, whatever the items.
+    """
+    pieces = materialize(_pieces(items, window, limit), "pieces")
+    total = pieces.agg(F.sum("n_windows")).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("name", "piece"), F.lit(max(1, -(-total // limit)))).cast("int")
+    inside = Window.partitionBy("bucket").orderBy("name", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n_windows").over(inside), F.lit(0))
+    return pieces.withColumn("bucket", bucket).withColumn("part", F.floor(before / limit).cast("int"))
 
 
 def find_items(
@@ -131,30 +158,54 @@ def find_items(
     item_text_col: str = "text",
     out_col: str = "found",
     window: int = WINDOW,
-    block_bytes: int = BLOCK_BYTES,
+    block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """``docs`` with a struct column ``out_col`` (n_words, hits as runs of word numbers, item names).
 
     All rows and columns of ``docs`` stay. A null or empty text has no words and no hits; an item
     without words is found nowhere; items that share a name count as one; a null item name is "null".
-    Only one block of items, of a checked size, is held by a worker at a time; a larger benchmark is
-    scanned for block after block, with the state written in between.
+    A worker holds the automaton of one block at a time (see ``blocks_of``). A benchmark of several
+    blocks writes ``docs`` once under row numbers, reads it for each block, writes only rows with hits,
+    and joins the hits of all blocks to their rows.
     """
     named = items.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("name"),
         F.col(item_text_col).alias("item_text"),
     )
-    size = named.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    part = F.pmod(F.xxhash64("name", "item_text"), F.lit(blocks))
-    out = docs
-    for k in range(blocks):
-        block = [(r.name, r.item_text) for r in named.where(part == k).collect()]  # block_bytes at most
-        state = F.col(out_col) if k else None
-        out = out.withColumn(out_col, _scan_column(block, window, F.col(text_col), state))
-        if k < blocks - 1:
-            out = materialize(out, "decontaminate")
-    return out
+    blocked = materialize(blocks_of(named, window, block_windows), "blocks")
+    keys = blocked.select("bucket", "part").distinct().orderBy("bucket", "part").collect()  # a row for each block
+
+    def block(key) -> list[tuple[str, str]]:  # 2 * block_windows at most
+        rows = blocked.where((F.col("bucket") == key.bucket) & (F.col("part") == key.part))
+        return [(r.name, r.piece) for r in rows.select("name", "piece").collect()]
+
+    if len(keys) < 2:
+        return docs.withColumn(out_col, _scan_column(block(keys[0]) if keys else [], window, F.col(text_col)))
+    row, state = "__row", "__state"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate")
+    found = []
+    for key in keys:
+        scanned = numbered.select(row, _scan_column(block(key), window, F.col(text_col)).alias(state))
+        hit = scanned.where(F.size(f"{state}.hits") > 0).select(row, f"{state}.hits", f"{state}.items")
+        found.append(materialize(hit, "hits"))
+    gathered = reduce(DataFrame.unionByName, found).groupBy(row).agg(
+        _flat("hits").alias("hits"), F.array_sort(F.array_distinct(_flat("items"))).alias("items")
+    )
+    merged = gathered.select(row, F.arrow_udf(_merged, "array<struct<first:long,last:long>>")("hits").alias("__hits"), F.col("items").alias("__items"))
+    none = _scan_column([], window, F.col(text_col))  # counts words
+    whole = numbered.withColumn(state, none).join(merged, row, "left").withColumn(
+        out_col,
+        F.struct(
+            F.col(f"{state}.n_words").alias("n_words"),
+            F.coalesce("__hits", f"{state}.hits").alias("hits"),
+            F.coalesce("__items", f"{state}.items").alias("items"),
+        ),
+    )
+    return whole.select(*[c for c in docs.columns if c != out_col], out_col)
+
+
+def _flat(column: str) -> Column:
+    return F.flatten(F.collect_list(column))
 
 
 def n_hit(found: str = "found") -> Column:

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from sitefold.llm.decontaminate import decontaminate, find_items, n_hit, report
+from sitefold.llm.decontaminate import blocks_of, decontaminate, find_items, n_hit, report
 
 ITEMS = "item_id long, text string, hits string"
 DOCS = "doc_id long, text string, found string, n_words string"
@@ -59,10 +59,25 @@ def test_blocks_give_the_same(spark):
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     items = spark.createDataFrame(items, "item_id long, text string")
     rows = []
-    for size in (1 << 20, 400):
-        found = find_items(docs, items, block_bytes=size)
+    for limit in (1 << 20, 20):
+        found = find_items(docs, items, block_windows=limit)
         rows.append(sorted((r.doc_id, r.n, r.found) for r in found.select("doc_id", n_hit().alias("n"), "found").collect()))
-    assert rows[0] == rows[1]
+    assert rows[0] and rows[0] == rows[1]
+
+
+def test_blocks_are_bounded(spark):
+    draw = random.Random(5)
+    line = lambda n: " ".join(f"w{draw.randrange(1000)}" for _ in range(n))
+    items = [("long", line(5000)), ("again", line(30)), *[("again", line(30))] * 50, ("short", "two words"), ("none", "?")]
+    items += [(f"q{k}", line(20)) for k in range(200)]
+    blocked = blocks_of(spark.createDataFrame(items, "name string, item_text string"), limit=300)
+    sizes = [r["sum(n_windows)"] for r in blocked.groupBy("bucket", "part").sum("n_windows").collect()]
+    assert max(sizes) <= 600 and len(sizes) >= 20
+    windows = {(r.name, " ".join(r.piece.split()[k : k + 13])) for r in blocked.collect() for k in range(r.n_windows)}
+    assert windows == {
+        (name, " ".join(text.split()[k : k + 13])) for name, text in items if text != "?"
+        for k in range(max(1, len(text.split()) - 12))
+    }
 
 
 def test_spans_lie_in_the_original(spark):
