@@ -189,13 +189,14 @@ def _examples(background: list[str], seed: int) -> list[tuple[list[str], int]]:
         picked = [every[int(i)] for i in draw.integers(0, len(every), size)]
         filler = corpus[int(draw.integers(len(corpus)))][: int(draw.integers(3, 30))]
         out.append((picked if k % 2 else [*filler, *picked[:3], *filler[::-1]], len(names)))
-    out += [(w[:200], len(names)) for w in corpus]
+    out += [(w, len(names)) for w in corpus]
     return out
 
 
 def fit(background: list[str], rounds: int = 200, sparsity: float = 2e-4) -> Classifier:
-    """Train on variations of the templates and the background paragraphs; proximal steps make weights zero."""
-    examples = _examples(background, 1)
+    """Train on variations of the templates and every other background paragraph, with proximal steps that
+    make weights zero; the temperature is fitted on other variations and the paragraphs left out."""
+    examples = _examples(background[::2], 1)
     names = [*TEMPLATES, UNKNOWN]
     counts: dict[tuple[str, ...], int] = {}
     for passages in TEMPLATES.values():
@@ -231,7 +232,7 @@ def fit(background: list[str], rounds: int = 200, sparsity: float = 2e-4) -> Cla
         look = new + (t - 1) / (t + 2) * (new - weights)
         weights = new
     model.weights = weights.astype(np.float64)
-    x, y = dense(_examples(background, 2))
+    x, y = dense(_examples(background[1::2], 2))
     z = x @ weights
 
     def loss(temperature: float) -> float:
@@ -253,16 +254,17 @@ def fit(background: list[str], rounds: int = 200, sparsity: float = 2e-4) -> Cla
 
 
 def train(docs: DataFrame, text_col: str = "text", rows: int = BACKGROUND_ROWS) -> Classifier:
-    """Fit with a background of paragraphs from ``rows`` documents, chosen by hash of their text: a
-    bounded sample of whatever the corpus holds, licences left out by their own words."""
-    first_line = F.substring_index(F.col(text_col), "\n", 1)
-    lines = docs.select(first_line.alias("line"), F.xxhash64(text_col).alias("h")).where(
-        (F.length("line") > 0) & ~F.lower("line").rlike("licen[sc]e|copyright|rights reserved|spdx")
-    )
+    """Fit with one paragraph each of ``rows`` documents: a bounded sample of whatever the corpus holds,
+    licences left out by their own words. Documents are chosen by hash of their text, and of each its
+    paragraph with the lowest hash, from the whole text; longer lines are taken in pieces of 4000 characters."""
+    pieces = F.regexp_extract_all(F.col(text_col), F.lit("[^\n]{1,4000}"), F.lit(0))
+    plain = F.filter(pieces, lambda p: ~F.lower(p).rlike("licen[sc]e|copyright|rights reserved|spdx"))
+    chosen_one = F.array_min(F.transform(plain, lambda p: F.struct(F.xxhash64(p).alias("k"), p.alias("line"))))
+    lines = docs.select(chosen_one["line"].alias("line"), F.xxhash64(text_col).alias("h")).where("line IS NOT NULL")
     # Hashes alone are ranked first, so tasks send no texts that are not chosen; equal texts count once.
     cut = lines.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     chosen = lines.where(F.col("h") <= F.lit(cut if cut is not None else 0))
-    sample = chosen.groupBy("h").agg(F.min(F.substring("line", 1, 4000)).alias("line")).orderBy("h")
+    sample = chosen.groupBy("h").agg(F.min("line").alias("line")).orderBy("h")
     return fit([r.line for r in sample.collect()])
 
 
@@ -271,20 +273,25 @@ def train(docs: DataFrame, text_col: str = "text", rows: int = BACKGROUND_ROWS)
 
 def paragraphs(text: str) -> Iterator[tuple[int, int]]:
     """Code point spans [start, end): each line with a character that counts, and each run of two or
-    more short lines joined, in pieces of ``WRAP_LINES`` lines."""
-    at, run = 0, []
+    more short lines joined, a long run in pieces of ``WRAP_LINES`` lines that overlap by half."""
+    at, run, fresh = 0, [], 0
     for line in text.split("\n"):
         end = at + len(line)
+        short = bool(line.strip()) and len(line) <= WRAP_CHARS
         if line.strip():
             yield at, end
-        if line.strip() and len(line) <= WRAP_CHARS:
+        if short:
             run.append((at, end))
-        if not line.strip() or len(line) > WRAP_CHARS or len(run) == WRAP_LINES:
-            if len(run) > 1:
-                yield run[0][0], run[-1][1]
-            run = []
+            fresh += 1
+        if fresh and len(run) > 1 and (not short or len(run) == WRAP_LINES):
+            yield run[0][0], run[-1][1]
+            fresh = 0
+        if not short:
+            run, fresh = [], 0
+        elif len(run) == WRAP_LINES:
+            run = run[WRAP_LINES // 2 :]
         at = end + 1
-    if len(run) > 1:
+    if fresh and len(run) > 1:
         yield run[0][0], run[-1][1]
 
 

@@ -194,3 +194,27 @@ def test_visible_text_and_declared_language():
     assert L.declared_language("<html class=x><html data='>' lang=de>") is None
     assert L.declared_language("<HTML class=x LANG = 'De-at'>") == "de"
     assert L.visible_text("a<script>b") .split() == ["a"]
+
+
+def test_wrapped_passages_across_the_cut_of_a_long_run():
+    from sitefold.llm.license_scan import WRAP_LINES, paragraphs
+
+    text = "\n".join(f"line {k}" for k in range(3 * WRAP_LINES + 5))
+    spans = [text[a:b].split("\n") for a, b in paragraphs(text)]
+    runs = [s for s in spans if len(s) > 1]
+    assert max(map(len, runs)) == WRAP_LINES and [s for s in spans if len(s) == 1] == [[x] for x in text.split("\n")]
+    for first in range(3 * WRAP_LINES + 5 - WRAP_LINES // 2 + 1):
+        wanted = [f"line {k}" for k in range(first, first + WRAP_LINES // 2)]
+        assert any(wanted == r[k : k + len(wanted)] for r in runs for k in range(len(r)))
+
+
+def test_background_comes_from_whole_texts(spark, monkeypatch):
+    from sitefold.llm import license_scan
+
+    seen = []
+    monkeypatch.setattr(license_scan, "fit", seen.extend)
+    rows = [(f"same first line\nsecond of {k}\n\nthird of {k}\nMIT License",) for k in range(40)] + [(None,), ("",)]
+    rows += [("x" * 9000 + "\n",), ("Copyright only",)]
+    license_scan.train(spark.createDataFrame(rows, "text string"), rows=100)
+    assert len(seen) == 41 and any(p.startswith("second") for p in seen) and any(p.startswith("third") for p in seen)
+    assert not any("MIT" in p or "Copyright" in p for p in seen) and max(map(len, seen)) <= 4000
