@@ -14,7 +14,10 @@ lists with many entries cheap:
   compared, and members of different heads only where this leaves a link open. Sets that are known to be in
   one component are not compared.
 
-Identities are 64-bit hashes of grams and of sets.
+Heads, and members that bounds leave open, are first held against each other by the grams that their
+prefixes share: beyond their prefixes linked sets can't have more in common than what is left of either.
+
+Identities are 64-bit hashes of grams and of sets. Each text is split once; its set is kept as its hashes.
 """
 
 from __future__ import annotations
@@ -65,15 +68,26 @@ def set_id(grams: np.ndarray) -> int:
 
 def _describe(texts: pa.Array) -> pa.Array:
     cache = WordHash()
-    sizes, early, ids = [], [], []
+    sizes, early, ids, sets = [], [], [], []
     for text in texts:
         grams = gram_set(text.as_py(), cache)
         sizes.append(len(grams))
         early.append(int(np.searchsorted(grams, np.uint64(EARLY))))
         ids.append(set_id(grams) if len(grams) else None)
-    return pa.StructArray.from_arrays(
-        [pa.array(sizes, pa.int64()), pa.array(early, pa.int64()), pa.array(ids, pa.int64())], ["n", "early", "sid"]
-    )
+        sets.append(grams.tobytes())
+    numbers = [pa.array(column, pa.int64()) for column in (sizes, early, ids)]
+    return pa.StructArray.from_arrays([*numbers, pa.array(sets, pa.binary())], ["n", "early", "sid", "grams"])
+
+
+def _identify(texts: pa.Array) -> pa.Array:
+    cache = WordHash()
+    sets = (gram_set(text.as_py(), cache) for text in texts)
+    return pa.array([set_id(grams) if len(grams) else None for grams in sets], pa.int64())
+
+
+def _held(grams: pa.Scalar) -> np.ndarray:
+    """A set from its stored bytes."""
+    return np.frombuffer(grams.as_py(), np.uint64)
 
 
 def _spare(n: np.ndarray | int) -> np.ndarray | int:
@@ -97,7 +111,6 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     gathered sets have, the rest gets a salt of its own: those rows need no counting, and a gram that
     all sets have stays a bounded share of any task's rows.
     """
-    cache = WordHash()
 
     def pass_on(parts: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
         grams = np.concatenate(parts)
@@ -114,15 +127,11 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     parts, ids, seen, count = [], [], set(), 0
     for batch in batches:
-        for text in batch.column(0):
-            grams = gram_set(text.as_py(), cache)
-            if not len(grams):
-                continue
-            sid = set_id(grams)
+        for sid, early, stored in zip(*(batch.column(c).to_pylist() for c in ("sid", "early", "grams")), strict=True):
             if sid in seen:
                 continue
             seen.add(sid)
-            early = int(np.searchsorted(grams, np.uint64(EARLY)))
+            grams = np.frombuffer(stored, np.uint64)
             part = grams[: max(early, _spare(len(grams)) + 1)]
             parts.append(part)
             ids.append(sid)
@@ -137,7 +146,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- the index ---------------------------------------------------------------------------------
 
 
-def _prefixes(texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _prefixes(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """The index: (gram, sid, n, lone, pos) for the grams of each set's prefix that another set has too.
 
     Prefixes are taken in the order (early grams by count, then the others by hash). Grams that only
@@ -146,7 +155,7 @@ def _prefixes(texts: DataFrame, classes: DataFrame) -> DataFrame:
     """
     counted = Window.partitionBy("gram", "salt")
     shared = (
-        texts.mapInArrow(_postings, "gram long, sid long, salt long")
+        sets.where("sid IS NOT NULL").select("sid", "early", "grams").mapInArrow(_postings, "gram long, sid long, salt long")
         .select(
             "gram", "sid", "salt", F.count(F.lit(1)).over(counted).alias("c"),
             F.min("sid").over(counted).alias("a"), F.max("sid").over(counted).alias("b"),
@@ -181,28 +190,24 @@ def _sizes_fit(small: Column, large: Column) -> Column:
 
 def _overlaps(left: pa.Array, right: pa.Array) -> pa.Array:
     """Overlap and sizes of two sets and, where they are a family, the grams that only one of them has."""
-    cache, last, last_set, out, apart = WordHash(), None, None, [], []
-    for a, b in zip(left, right, strict=True):
-        b = b.as_py()
-        if b != last or last_set is None:
-            last, last_set = b, gram_set(b, cache)
-        grams = gram_set(a.as_py(), cache)
-        both = len(np.intersect1d(grams, last_set, assume_unique=True))
-        out.append((both, len(grams), len(last_set)))
-        family = 100 * both >= FAMILY * (len(grams) + len(last_set) - both)
-        apart.append(np.setxor1d(grams, last_set, assume_unique=True).view(np.int64) if family else None)
+    out, apart = [], []
+    for a, b in zip(map(_held, left), map(_held, right), strict=True):
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        out.append((both, len(a), len(b)))
+        family = 100 * both >= FAMILY * (len(a) + len(b) - both)
+        apart.append(np.setxor1d(a, b, assume_unique=True).view(np.int64) if family else None)
     columns = [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((), (), ()))]
     return pa.StructArray.from_arrays([*columns, pa.array(apart, pa.list_(pa.int64()))], ["both", "na", "nb", "apart"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets with their exact overlap ``both``, their sizes, and the grams ``apart`` that
     only one of them has, where the two are a family."""
     overlap = F.arrow_udf(_overlaps, "struct<both:long,na:long,nb:long,apart:array<long>>")
     return (
-        pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
-        .select("a", "b", overlap("text_a", "text_b").alias("o"))
+        pairs.join(held.select(F.col("sid").alias("a"), F.col("grams").alias("grams_a")), "a")
+        .join(held.select(F.col("sid").alias("b"), F.col("grams").alias("grams_b")), "b")
+        .select("a", "b", overlap("grams_a", "grams_b").alias("o"))
         .select("a", "b", "o.both", "o.na", "o.nb", "o.apart")
     )
 
@@ -211,32 +216,45 @@ def _is_link() -> Column:
     return 100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both"))
 
 
-def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(sid, text) of the needed sets (sid, doc_id of a row that has it; null if only rows without an
-    id do). A filter of fixed size drops most other texts before the join; where it is full, it lets
+def _sets_of(sets: DataFrame, needed: DataFrame) -> DataFrame:
+    """(sid, grams) of the needed sets (sid, doc_id of a row that has it; null if only rows without an
+    id do). A filter of fixed size drops most other sets before the join; where it is full, it lets
     them pass and the join alone decides."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
+    slot = F.pmod(F.xxhash64("doc_id", "sid"), F.lit(FILTER_WORDS * 64))
     bits = (
         needed.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))  # FILTER_WORDS rows at most
     )
-    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
     likely = (
-        docs.withColumns({"word": F.shiftright(slot, 6), "bit": (slot % 64).cast("int")})
+        sets.where("sid IS NOT NULL")
+        .withColumns({"word": F.shiftright(slot, 6), "bit": (slot % 64).cast("int")})
         .join(F.broadcast(bits), "word")
         .where(F.getbit("bits", "bit") == 1)
-        .select("doc_id", "text", described("text")["sid"].alias("sid"))
+        .select("doc_id", "sid", "grams")
     )
-    # An id that is repeated with other texts has several sets, and so has the null id.
-    wanted = needed.select(F.col("sid").alias("wanted"), F.col("doc_id").alias("holder"))
+    wanted = needed.select("sid", F.col("doc_id").alias("holder"))
     return (
-        likely.join(wanted, (F.col("sid") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("holder")))
+        likely.join(wanted, "sid").where(F.col("doc_id").eqNullSafe(F.col("holder")))
         .dropDuplicates(["sid"])
-        .select("sid", "text")
+        .select("sid", "grams")
     )
 
 
+def _shared_front(pairs: DataFrame, fronts: DataFrame, a: str, b: str, n_a: Column, n_b: Column) -> DataFrame:
+    """``pairs`` with ``bound``: the most grams that the sets ``a`` and ``b`` can have in common.
+
+    In the one order of all grams, the prefix that ends first lies within the other's: what both have of it
+    is among the grams that the prefixes share, and the rest of that set can't be more than what its prefix
+    leaves, which is its size less the grams it may lack and one.
+    """
+    left = fronts.select(F.col("sid").alias(a), F.col("front").alias("front_a"))
+    right = fronts.select(F.col("sid").alias(b), F.col("front").alias("front_b"))
+    rest = F.greatest(n_a - _spare_column(n_a), n_b - _spare_column(n_b)) - 1
+    shared = F.coalesce(F.size(F.array_intersect("front_a", "front_b")), F.lit(0))
+    return pairs.join(left, a, "left").join(right, b, "left").withColumn("bound", shared + rest).drop("front_a", "front_b")
+
+
 # --- components --------------------------------------------------------------------------------
 
 
@@ -259,17 +277,18 @@ def components(links: DataFrame) -> DataFrame:
         moved = edges.join(smallest, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return moved.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct()
 
-    def measure(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def forest(edges: DataFrame) -> bool:
+        """All edges point from a node that has one edge to a node that has none of its own."""
+        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("out")),
+                                              F.struct(F.col("b").alias("node"), F.lit(0).alias("out")))).alias("e"))
+        seen = ends.groupBy("e.node").agg(F.sum("e.out").alias("out"), F.count(F.lit(1)).alias("all"))
+        return seen.where("out > 1 OR (out = 1 AND all > 1)").isEmpty()
 
-    edges = materialize(
-        links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "components",
-    )
-    was, now = None, measure(edges)
-    while now != was and now[0]:
+    edges = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    while not forest(edges):
         edges = materialize(smaller(larger(edges).where("a != b")), "components")
-        was, now = now, measure(edges)
+        # A node's edge to itself tells nothing: it is its own component or has another edge.
+        edges = edges.where("a != b")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
@@ -307,10 +326,10 @@ def _is_family() -> Column:
     return F.col("apart").isNotNull()
 
 
-def _gather(index: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _gather(index: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sets around heads: (compared pairs, members). ``members`` has sid, head, n, n_head, share (grams that
     both have) and apart (grams that only one of them has) for each set whose head is another."""
-    near = materialize(_verified(_near(index), texts), "gram-near")
+    near = materialize(_verified(_near(index), held), "gram-near")
     families = components(near.where(_is_family()).select("a", "b"))
     sets = index.select("sid", "n", "lone").distinct()
     central = F.struct("lone", (-F.col("n")).alias("minus"), F.col("sid").alias("head"))
@@ -319,7 +338,7 @@ def _gather(index: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = (
         families.join(heads, "component").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     )
-    again = materialize(_verified(wanted.join(near.select("a", "b"), ["a", "b"], "left_anti"), texts), "gram-again")
+    again = materialize(_verified(wanted.join(near.select("a", "b"), ["a", "b"], "left_anti"), held), "gram-again")
     members = (
         wanted.join(near.unionByName(again), ["a", "b"])
         .where(_is_family())
@@ -490,23 +509,22 @@ def link_components(docs: DataFrame) -> DataFrame:
 def _linked(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n, sid, component (null without words) and component_id."""
     docs = docs.select("doc_id", "text")
-    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
-    sets = materialize(
-        docs.select("doc_id", described("text").alias("s")).select("doc_id", "s.n", "s.early", "s.sid"), "grams"
-    )
+    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long,grams:binary>")
+    sets = materialize(docs.select("doc_id", described("text").alias("s")).select("doc_id", "s.*"), "grams")
     classes = materialize(
         sets.where("sid IS NOT NULL").groupBy("sid").agg(
             F.first("n").alias("n"), F.first("early").alias("early"), F.min("doc_id").alias("doc_id")
         ),
         "gram-classes",
     )
-    index = materialize(_prefixes(docs.select("text"), classes), "gram-prefixes")
+    index = materialize(_prefixes(sets, classes), "gram-prefixes")
     lists = index.groupBy("gram").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1").select("gram")
     index = materialize(index.join(lists, "gram"), "gram-index")
     needed = classes.join(index.select("sid").distinct(), "sid", "left_semi").select("sid", "doc_id")
-    texts = materialize(_texts_of(docs, needed), "gram-texts")
+    held = materialize(_sets_of(sets, needed), "gram-sets")
+    fronts = materialize(index.groupBy("sid").agg(F.collect_list("gram").alias("front")), "gram-fronts")
 
-    tried, members = _gather(index, texts)
+    tried, members = _gather(index, held)
     groups = components(tried.where(_is_link()).select("a", "b"))
     groups = _with_families(members, groups)
     placed = materialize(
@@ -528,9 +546,22 @@ def _linked(docs: DataFrame) -> DataFrame:
         8 * F.col("pos") / (_spare_column(F.col("high")) + 1)
     )
     by_head = materialize(by_head.withColumn("block", block.cast("long")), "gram-lists")
-    pairs = _head_pairs(by_head)
+    spans = materialize(
+        placed.groupBy("head").agg(
+            F.min("n").alias("least"), F.max("over").alias("over"), F.max(F.when(F.col("sid") == F.col("head"), F.col("n"))).alias("size")
+        ),
+        "gram-spans",
+    )
+    side = lambda s: spans.select(F.col("head").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("least", "over", "size")))
+    asked = _need(F.col("least_a") + F.col("least_b")) - F.col("over_a") - F.col("over_b")
+    # Heads whose prefixes share too little for any link of theirs or of their members are not compared.
+    pairs = materialize(
+        _shared_front(_head_pairs(by_head).join(side("a"), "a").join(side("b"), "b"), fronts, "a", "b", F.col("size_a"), F.col("size_b"))
+        .where(F.col("bound") >= asked).select("a", "b"),
+        "gram-pairs",
+    )
     before = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    new = _verified(pairs.join(before, ["a", "b"], "left_anti"), texts).drop("apart")
+    new = _verified(pairs.join(before, ["a", "b"], "left_anti"), held).drop("apart")
     known = tried.unionByName(
         tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "both", F.col("nb").alias("na"), F.col("na").alias("nb"))
     ).join(pairs, ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
@@ -538,14 +569,8 @@ def _linked(docs: DataFrame) -> DataFrame:
 
     # Members of different heads: only where the bounds leave it open.
     groups = joined(groups, compared.where(_is_link()).select("a", "b"))
-    spans = placed.groupBy("head").agg(F.min("n").alias("least"), F.max("over").alias("over"))
-    side = lambda s: spans.select(F.col("head").alias(s), F.col("least").alias(f"least_{s}"), F.col("over").alias(f"over_{s}"))
     undecided = (
-        compared.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(
-            F.col("both") + F.col("over_a") + F.col("over_b") >= _need(F.col("least_a") + F.col("least_b"))
-        )
+        compared.join(side("a"), "a").join(side("b"), "b").where(F.col("both") >= asked)
         .select("a", "b", "both", "over_b", "least_b")
     )
     rows = (
@@ -567,10 +592,11 @@ def _linked(docs: DataFrame) -> DataFrame:
             & (F.col("pos_a") + F.col("pos_b") <= total - 2 * _need(total))
             & ((F.col("sid_a") != F.col("a")) | (F.col("sid_b") != F.col("b")))
         )
-        .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
+        .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), "n_a", "n_b")
         .distinct()
     )
-    derived = materialize(_verified(open_pairs, texts).where(_is_link()).select("a", "b"), "gram-derived")
+    likely = _shared_front(open_pairs, fronts, "a", "b", F.col("n_a"), F.col("n_b")).where(F.col("bound") >= _need(total))
+    derived = materialize(_verified(likely.select("a", "b"), held).where(_is_link()).select("a", "b"), "gram-derived")
     reached = joined(groups, derived)
 
     named = classes.join(reached.withColumnRenamed("node", "sid"), "sid", "left").select(
@@ -610,9 +636,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .groupBy("component", "doc_id").agg(F.min("sid").alias("sid"))
         .select(F.col("doc_id").alias("__doc_id"), F.col("sid").alias("__stay"))
     )
-    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
+    identified = F.arrow_udf(_identify, "long")
     for part in parts:
-        part = part.withColumn("__sid", described("text")["sid"])
+        part = part.withColumn("__sid", identified("text"))
         same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__sid") == F.col("__stay"))
         worded = part.where("__sid IS NOT NULL").dropDuplicates(["doc_id", "__sid"]).join(stay, same, "left_semi")
         bare = part.where("__sid IS NULL")
