@@ -36,7 +36,7 @@ from sitefold.session import materialize
 #: Words of a gram, and the similarity (percent) at which sets link.
 WORDS, PERCENT = 5, 80
 #: Grams whose unsigned hash is below this come first in the global order, by how many sets have them.
-EARLY = 9 << 59  # 9/32 of all grams: more than the fifth that a prefix takes, so rare ones decide
+EARLY = 1 << 63  # half of all grams: rare ones fill a prefix, a fifth, unless 3/5 of a set are in frequent passages
 #: Counts are told apart up to this; more frequent grams are alike, and come last among the early.
 COUNT_CAP = 64
 #: Grams that a task gathers before it passes them on; within them a gram is counted up to the cap.
@@ -163,7 +163,8 @@ def _prefixes(sets: DataFrame, classes: DataFrame) -> DataFrame:
         .where("salt != 0 OR a != b")
         .select("gram", "sid", F.when(F.col("salt") != 0, COUNT_CAP).otherwise(F.least("c", F.lit(COUNT_CAP))).alias("c"))
     )
-    is_early = (F.col("gram") >= 0) & (F.col("gram") < EARLY)
+    sign = -(1 << 63)  # hashes are compared without sign
+    is_early = F.col("gram").bitwiseXOR(F.lit(sign)) < F.lit(EARLY + sign)
     by_set = Window.partitionBy("sid")
     ranked = Window.partitionBy("sid", "is_early").orderBy("c", "gram")
     with_rank = (
