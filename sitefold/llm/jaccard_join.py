@@ -17,7 +17,7 @@ lists with many entries cheap:
 Heads, and members that bounds leave open, are first held against each other by the grams that their
 prefixes share: beyond their prefixes linked sets can't have more in common than what is left of either.
 
-Identities are 64-bit hashes of grams and of sets. Each text is split once; its set is kept as its hashes.
+Identities are 64-bit hashes of grams and of sets.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitefold.llm.common import WordHash, utf8, windows
+from sitefold.llm.common import MIX_1, mix, utf8, windows
 from sitefold.session import materialize
 
 #: Words of a gram, and the similarity (percent) at which sets link.
@@ -52,14 +52,52 @@ FILTER_WORDS = 1 << 18
 # --- sets --------------------------------------------------------------------------------------
 
 
-def gram_set(text: str | None, cache: WordHash, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct gram hashes; of fewer words one hash of all; of no words none."""
-    parts = utf8(text).lower().split()
-    if not parts:
+#: Bytes of a word that are hashed by place; longer words are hashed by themselves.
+LONG = 64
+#: Bytes of a text that are hashed at a time.
+PIECE = 1 << 20
+_CODES = np.arange(256)
+_SOLID = (_CODES != 0x20) & ((_CODES < 0x09) | (_CODES > 0x0D))
+_LOWER = np.where((_CODES >= 0x41) & (_CODES <= 0x5A), _CODES + 32, _CODES)
+#: A number for each byte (capitals as small letters, nothing for blanks) and for each place in a word.
+_LETTER = np.where(_SOLID, mix(mix((_LOWER + 1).astype(np.uint64) * MIX_1) * MIX_1), np.uint64(0))
+_PLACE = mix(mix((np.arange(LONG) + 1001).astype(np.uint64) * MIX_1) * MIX_1) | np.uint64(1)
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of each word of a text, A-Z taken as a-z: the sum of byte number times place number."""
+    codes = np.frombuffer(raw, np.uint8)
+    if not len(codes):
         return np.empty(0, np.uint64)
-    if len(parts) < words:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(parts), 1)], np.uint64)
-    return np.unique(windows(cache.of(parts), words))
+    solid = _SOLID[codes]
+    turns = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    edges = np.concatenate(([0] if solid[0] else [], turns, [len(codes)] if solid[-1] else [])).astype(np.int64)
+    starts, ends = edges[::2], edges[1::2]
+    out = np.empty(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, len(codes) + PIECE, PIECE))
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        if low == high:
+            continue
+        first, last = starts[low], min(ends[high - 1], starts[high - 1] + LONG)
+        at = starts[low:high] - first
+        place = np.arange(last - first) - np.repeat(at, np.diff(np.append(at, last - first)))
+        out[low:high] = np.add.reduceat(_LETTER[codes[first:last]] * _PLACE[np.minimum(place, LONG - 1)], at)
+    out = mix(out + (ends - starts).astype(np.uint64) * MIX_1)
+    for k in np.flatnonzero(ends - starts > LONG):
+        out[k] = xxhash.xxh3_64_intdigest(raw[starts[k] : ends[k]].lower())
+    return out
+
+
+def gram_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct gram hashes; of fewer words one hash of all; of no words none."""
+    raw = utf8(text)
+    hashes = word_hashes(raw)
+    if not len(hashes):
+        return hashes
+    if len(hashes) < words:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(raw.lower().split()), 1)], np.uint64)
+    grams = np.sort(windows(hashes, words))
+    return grams[np.concatenate(([True], grams[1:] != grams[:-1]))]
 
 
 def set_id(grams: np.ndarray) -> int:
@@ -67,22 +105,21 @@ def set_id(grams: np.ndarray) -> int:
 
 
 def _describe(texts: pa.Array) -> pa.Array:
-    cache = WordHash()
-    sizes, early, ids, sets = [], [], [], []
+    sizes, early, ids = [], [], []
     for text in texts:
-        grams = gram_set(text.as_py(), cache)
+        grams = gram_set(text.as_py())
         sizes.append(len(grams))
         early.append(int(np.searchsorted(grams, np.uint64(EARLY))))
         ids.append(set_id(grams) if len(grams) else None)
-        sets.append(grams.tobytes())
-    numbers = [pa.array(column, pa.int64()) for column in (sizes, early, ids)]
-    return pa.StructArray.from_arrays([*numbers, pa.array(sets, pa.binary())], ["n", "early", "sid", "grams"])
+    return pa.StructArray.from_arrays(
+        [pa.array(sizes, pa.int64()), pa.array(early, pa.int64()), pa.array(ids, pa.int64())], ["n", "early", "sid"]
+    )
 
 
-def _identify(texts: pa.Array) -> pa.Array:
-    cache = WordHash()
-    sets = (gram_set(text.as_py(), cache) for text in texts)
-    return pa.array([set_id(grams) if len(grams) else None for grams in sets], pa.int64())
+def _sets(texts: pa.Array) -> pa.Array:
+    sets = [gram_set(text.as_py()) for text in texts]
+    ids = pa.array([set_id(grams) if len(grams) else None for grams in sets], pa.int64())
+    return pa.StructArray.from_arrays([ids, pa.array([grams.tobytes() for grams in sets], pa.binary())], ["sid", "grams"])
 
 
 def _held(grams: pa.Scalar) -> np.ndarray:
@@ -127,11 +164,15 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     parts, ids, seen, count = [], [], set(), 0
     for batch in batches:
-        for sid, early, stored in zip(*(batch.column(c).to_pylist() for c in ("sid", "early", "grams")), strict=True):
+        for text in batch.column(0):
+            grams = gram_set(text.as_py())
+            if not len(grams):
+                continue
+            sid = set_id(grams)
             if sid in seen:
                 continue
             seen.add(sid)
-            grams = np.frombuffer(stored, np.uint64)
+            early = int(np.searchsorted(grams, np.uint64(EARLY)))
             part = grams[: max(early, _spare(len(grams)) + 1)]
             parts.append(part)
             ids.append(sid)
@@ -146,7 +187,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- the index ---------------------------------------------------------------------------------
 
 
-def _prefixes(sets: DataFrame, classes: DataFrame) -> DataFrame:
+def _prefixes(texts: DataFrame, classes: DataFrame) -> DataFrame:
     """The index: (gram, sid, n, lone, pos) for the grams of each set's prefix that another set has too.
 
     Prefixes are taken in the order (early grams by count, then the others by hash). Grams that only
@@ -155,7 +196,7 @@ def _prefixes(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """
     counted = Window.partitionBy("gram", "salt")
     shared = (
-        sets.where("sid IS NOT NULL").select("sid", "early", "grams").mapInArrow(_postings, "gram long, sid long, salt long")
+        texts.mapInArrow(_postings, "gram long, sid long, salt long")
         .select(
             "gram", "sid", "salt", F.count(F.lit(1)).over(counted).alias("c"),
             F.min("sid").over(counted).alias("a"), F.max("sid").over(counted).alias("b"),
@@ -217,23 +258,26 @@ def _is_link() -> Column:
     return 100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both"))
 
 
-def _sets_of(sets: DataFrame, needed: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(sid, grams) of the needed sets (sid, doc_id of a row that has it; null if only rows without an
-    id do). A filter of fixed size drops most other sets before the join; where it is full, it lets
+    id do). A filter of fixed size drops most other texts before they are split; where it is full, it lets
     them pass and the join alone decides."""
-    slot = F.pmod(F.xxhash64("doc_id", "sid"), F.lit(FILTER_WORDS * 64))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
     bits = (
         needed.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))  # FILTER_WORDS rows at most
     )
+    # Declared so that no condition on what it returns is moved below the filter, where all texts would be split.
+    split = F.arrow_udf(_sets, "struct<sid:long,grams:binary>").asNondeterministic()
     likely = (
-        sets.where("sid IS NOT NULL")
-        .withColumns({"word": F.shiftright(slot, 6), "bit": (slot % 64).cast("int")})
+        docs.withColumns({"word": F.shiftright(slot, 6), "bit": (slot % 64).cast("int")})
         .join(F.broadcast(bits), "word")
         .where(F.getbit("bits", "bit") == 1)
-        .select("doc_id", "sid", "grams")
+        .select("doc_id", split("text").alias("s"))
+        .select("doc_id", "s.sid", "s.grams")
     )
+    # An id that is repeated with other texts has several sets, and so has the null id.
     wanted = needed.select("sid", F.col("doc_id").alias("holder"))
     return (
         likely.join(wanted, "sid").where(F.col("doc_id").eqNullSafe(F.col("holder")))
@@ -510,7 +554,7 @@ def link_components(docs: DataFrame) -> DataFrame:
 def _linked(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n, sid, component (null without words) and component_id."""
     docs = docs.select("doc_id", "text")
-    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long,grams:binary>")
+    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
     sets = materialize(docs.select("doc_id", described("text").alias("s")).select("doc_id", "s.*"), "grams")
     classes = materialize(
         sets.where("sid IS NOT NULL").groupBy("sid").agg(
@@ -518,11 +562,11 @@ def _linked(docs: DataFrame) -> DataFrame:
         ),
         "gram-classes",
     )
-    index = materialize(_prefixes(sets, classes), "gram-prefixes")
+    index = materialize(_prefixes(docs.select("text"), classes), "gram-prefixes")
     lists = index.groupBy("gram").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1").select("gram")
     index = materialize(index.join(lists, "gram"), "gram-index")
     needed = classes.join(index.select("sid").distinct(), "sid", "left_semi").select("sid", "doc_id")
-    held = materialize(_sets_of(sets, needed), "gram-sets")
+    held = materialize(_sets_of(docs, needed), "gram-sets")
     fronts = materialize(index.groupBy("sid").agg(F.collect_list("gram").alias("front")), "gram-fronts")
 
     tried, members = _gather(index, held)
@@ -637,9 +681,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .groupBy("component", "doc_id").agg(F.min("sid").alias("sid"))
         .select(F.col("doc_id").alias("__doc_id"), F.col("sid").alias("__stay"))
     )
-    identified = F.arrow_udf(_identify, "long")
+    described = F.arrow_udf(_describe, "struct<n:long,early:long,sid:long>")
     for part in parts:
-        part = part.withColumn("__sid", identified("text"))
+        part = part.withColumn("__sid", described("text")["sid"])
         same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__sid") == F.col("__stay"))
         worded = part.where("__sid IS NOT NULL").dropDuplicates(["doc_id", "__sid"]).join(stay, same, "left_semi")
         bare = part.where("__sid IS NULL")

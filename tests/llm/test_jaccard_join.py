@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from sitefold.llm.jaccard_join import components, keep_one, link_components
+from sitefold.llm import jaccard_join
+from sitefold.llm.jaccard_join import components, keep_one, link_components, word_hashes
 
 SCHEMA = "doc_id long, text string, sid long, n long, gram string"
 
@@ -161,3 +162,31 @@ def test_family_of_many_components(spark, seed):
     want = brute(rows)
     assert len({c for _, _, c in want}) > 15
     assert run(spark, rows) == want
+
+
+def test_word_hashes_follow_split(monkeypatch):
+    """A hash for each word that split finds, the same wherever the word stands and however texts are cut."""
+    draw = random.Random(8)
+    parts = ["a", "B", "b", " ", "\t", "\x0b", "\x1c", "\x00", "é", "\u2003", "x" * 63, "Y" * 65]
+    seen = {}
+    for _ in range(2000):
+        raw = "".join(draw.choice(parts) for _ in range(draw.randrange(60))).encode()
+        monkeypatch.setattr(jaccard_join, "PIECE", draw.choice((1, 7, 100, 1 << 20)))
+        words, hashes = raw.lower().split(), word_hashes(raw).tolist()
+        assert len(words) == len(hashes)
+        for word, value in zip(words, hashes, strict=True):
+            assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_heads_that_share_a_passage(spark):
+    """Texts of which half is one passage: they meet in lists, and few of them link."""
+    draw = random.Random(9)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for k in range(60):
+        own = [f"o{k // 3}x{i}" for i in range(70)]
+        for _ in range(draw.choice((1, 4, 9))):
+            own[draw.randrange(70)] = f"e{draw.randrange(30)}"
+        rows.append((k, " ".join([*own, *passage])))
+    assert run(spark, rows) == brute(rows)
