@@ -126,6 +126,11 @@ def position_lookup(t: Tables) -> DataFrame:
 # --- fragmentation ---------------------------------------------------------------------
 
 
+def _written_bookings(t: Tables) -> DataFrame:
+    """Bookings with their region, joined once: a verification reads them for the source and each fragment."""
+    return materialize(t.rezervare(), "bookings")
+
+
 def _regions() -> dict[str, Column]:
     return {r: F.col("regiune_vanzare") == r for r in ("AM", "EU", "OTHER")}
 
@@ -187,7 +192,7 @@ def minterm_fragments(t: Tables) -> DataFrame:
 
 @query
 def verify_minterms(t: Tables) -> DataFrame:
-    bookings = t.rezervare()
+    bookings = _written_bookings(t)
     predicates = {"am": F.col("regiune_vanzare") == "AM", "large": F.col("total_de_plata") >= 200000}
     design = ds.minterm_design(bookings, predicates, predicates)
     return fr.verify_fragmentation(bookings, fr.fragment_horizontal(bookings, design.fragments()), "id_rezervare")
@@ -209,14 +214,14 @@ def affinity_split(t: Tables) -> DataFrame:
 
 @query
 def verify_fragmentation(t: Tables) -> DataFrame:
-    bookings = t.rezervare()
+    bookings = _written_bookings(t)
     return fr.verify_fragmentation(bookings, fr.fragment_horizontal(bookings, _regions()), "id_rezervare")
 
 
 @query
 def verify_overlap(t: Tables) -> DataFrame:
     # Fragments that share rows, and one whose rows were altered.
-    bookings = t.rezervare()
+    bookings = _written_bookings(t)
     regions = {**_regions(), "CANCELLED": F.col("status") == "ANULATA"}
     parts = fr.fragment_horizontal(bookings, regions)
     parts["EU"] = parts["EU"].withColumn(
@@ -239,7 +244,7 @@ def verify_vertical_broken(t: Tables) -> DataFrame:
 @query
 def verify_incomplete(t: Tables) -> DataFrame:
     # Two regions only: the third one's bookings are missing from the fragments.
-    bookings = t.rezervare()
+    bookings = _written_bookings(t)
     parts = fr.fragment_horizontal(bookings, {k: v for k, v in _regions().items() if k != "OTHER"})
     return fr.verify_fragmentation(bookings, parts, "id_rezervare")
 

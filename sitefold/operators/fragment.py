@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from sitefold.sources.sites import SiteCatalog
 
+#: Source rows that one task of a verification is meant to group; how many tasks there are follows from it.
+TASK_ROWS = 250_000
+
 
 def fragment_horizontal(df: DataFrame, predicates: dict[str, Column]) -> dict[str, DataFrame]:
     """Primary horizontal fragments: the rows that satisfy each predicate.
@@ -44,18 +48,21 @@ def replicate(catalog: SiteCatalog, sites: list[str], name: str, df: DataFrame,
     return catalog.publish({(site, name): (df, key) for site in sites})
 
 
-def bag_difference(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
+def bag_difference(
+    left: DataFrame, right: DataFrame, left_name: str, right_name: str, parts: int | None = None
+) -> DataFrame:
     """Rows whose number of copies differs, with the surplus on either side.
 
     One aggregation over both inputs (copies collapse before the shuffle) instead of two
-    ``exceptAll`` in opposite directions.
+    ``exceptAll`` in opposite directions. With ``parts``, rows are dealt over that many tasks first:
+    each groups its share only, not what a split of the input or a shuffle partition holds.
     """
     tagged = left.withColumn("_n", F.lit(1)).unionByName(
         right.select(*left.columns).withColumn("_n", F.lit(-1))
     )
     net = F.sum("_n")
     return (
-        tagged.groupBy(*left.columns)
+        _dealt(tagged, left.columns, parts).groupBy(*left.columns)
         .agg(net.alias("_net"))
         .filter(F.col("_net") != 0)
         .withColumn(f"only_{left_name}", F.greatest(F.col("_net"), F.lit(0)))
@@ -64,6 +71,10 @@ def bag_difference(left: DataFrame, right: DataFrame, left_name: str, right_name
     )
 
 
+def _dealt(df: DataFrame, keys: list[str], parts: int | None) -> DataFrame:
+    return df if parts is None else df.repartition(parts, *keys)
+
+
 def _verdicts(counted: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """One row per check out of a single row of counts."""
     found = F.array(
@@ -82,15 +93,19 @@ def verify_fragmentation(
     horizontal: no source row is missing, no key is in two fragments, the union has no row
     that the source lacks. vertical: every key is in every fragment, no non-key column is in
     two fragments, the join of the fragments has no row that the source lacks.
+
+    Rows are grouped in as many tasks as the source's row count asks for (``TASK_ROWS``). A source that
+    is costly to compute should be written first: it is read for the count and again by each fragment.
     """
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / TASK_ROWS))
     if mode == "horizontal":
         union = reduce(DataFrame.unionByName, [f.select(*df.columns) for f in fragments.values()])
         keyed = reduce(
             DataFrame.unionByName,
-            [f.select(key, F.lit(name).alias("_f")) for name, f in fragments.items()],
+            [f.select(key, F.lit(k).alias("_f")) for k, f in enumerate(fragments.values())],
         )
         shared = (
-            keyed.groupBy(key)
+            _dealt(keyed, [key], tasks).groupBy(key)
             .agg(F.min("_f").alias("lo"), F.max("_f").alias("hi"))
             .filter(F.col("lo") != F.col("hi"))
             .agg(F.count(F.lit(1)).alias("violations"))
@@ -114,7 +129,7 @@ def verify_fragmentation(
         rebuilt = reduce(lambda a, b: a.join(b, key), parts)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    surplus = bag_difference(df, rebuilt, "source", "rebuilt").agg(
+    surplus = bag_difference(df, rebuilt, "source", "rebuilt", tasks).agg(
         F.coalesce(F.sum("only_source"), F.lit(0)).alias("missing"),
         F.coalesce(F.sum("only_rebuilt"), F.lit(0)).alias("extra"),
     )

@@ -40,6 +40,15 @@ def test_verification_finds_each_fault(spark, bookings):
     }
 
 
+def test_verification_deals_rows_over_tasks_by_their_number(spark, bookings, monkeypatch):
+    monkeypatch.setattr(fr, "TASK_ROWS", 8, raising=False)
+    twice = bookings.unionByName(bookings.filter("id = 3 OR id = 4"))
+    found = fr.verify_fragmentation(twice, {"AM": split(bookings)["AM"], "EU": split(twice)["EU"]}, "id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") >= 2 and plan.count("], 8\n") >= 2  # 61 rows, both groupings
+    assert {r.check: r.violations for r in found.collect()} == {"complete": 1, "disjoint": 0, "rebuild": 0}
+
+
 def test_vertical_fragments(spark):
     users = vw.view_vertical(catalog(spark))
     parts = fr.fragment_vertical(users, "id_user", USER_FRAGMENTS)
