@@ -8,6 +8,7 @@ in Arrow batches.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,8 @@ from sitefold.llm.common import MIX_1, WordHash, mix, utf8, windows
 TRAIN_ROWS = 2_400
 #: Hash tables: words first, then characters.
 WORD_SLOTS, CHAR_SLOTS = 1 << 12, 1 << 12
+#: Feature entries that the fit on the driver goes through at once.
+PIECE = 1 << 16
 #: A document is kept when its calibrated probability of good quality reaches this.
 KEEP_AT = 0.5
 #: Base rule: fewer words fail; more than this share of words in repeated 5-word windows fails.
@@ -163,20 +166,40 @@ def labelled_sample(
     return sorted(((r.doc_id, r.label, r.feature) for r in found.toLocalIterator()), key=lambda r: r[0])
 
 
+def _pieces(indptr: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first entry, end, row of each entry) of runs of whole rows with about ``PIECE`` entries."""
+    start = 0
+    while start < len(indptr) - 1:
+        end = max(start + 1, int(np.searchsorted(indptr, indptr[start] + PIECE, "right")) - 1)
+        yield indptr[start], indptr[end], np.repeat(np.arange(start, end), np.diff(indptr[start : end + 1]))
+        start = end
+
+
+def margins(indptr: np.ndarray, slots: np.ndarray, values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sum of value times weight over the entries of each row."""
+    out = np.zeros(len(indptr) - 1)
+    for low, high, row in _pieces(indptr):
+        np.add.at(out, row, values[low:high] * weights[slots[low:high]])
+    return out
+
+
 def fit_logistic(
     indptr: np.ndarray, slots: np.ndarray, values: np.ndarray, labels: np.ndarray, size: int,
     rounds: int = 150, rate: float = 0.5, decay: float = 1e-4,
 ) -> tuple[np.ndarray, float]:
-    """Sparse logistic regression by full-batch Adam; returns weights and intercept."""
-    row = np.repeat(np.arange(len(labels)), np.diff(indptr))
+    """Sparse logistic regression by full-batch Adam; returns weights and intercept.
+
+    Entries are gone through in pieces of whole rows, in their order: besides the input, the driver holds
+    one piece.
+    """
     weights, intercept = np.zeros(size), 0.0
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
-        margin = np.bincount(row, values * weights[slots], len(labels)) + intercept
-        error = 1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35))) - labels
-        gradient = np.append(
-            np.bincount(slots, values * error[row], size) / len(labels) + decay * weights, error.mean()
-        )
+        error = 1.0 / (1.0 + np.exp(-np.clip(margins(indptr, slots, values, weights) + intercept, -35, 35))) - labels
+        by_slot = np.zeros(size)
+        for low, high, row in _pieces(indptr):
+            np.add.at(by_slot, slots[low:high], values[low:high] * error[row])
+        gradient = np.append(by_slot / len(labels) + decay * weights, error.mean())
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         step = rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
@@ -224,15 +247,14 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
         shares = np.concatenate([np.frombuffer(f.shares, np.float32) for _, f in part])
         return indptr, slots, shares, np.array([label for label, _ in part], np.float64)
 
-    size = WORD_SLOTS + CHAR_SLOTS
-    indptr, slots, shares, target = matrix(parts[False])
-    weights, _ = fit_logistic(indptr, slots, shares, target, size)
-    indptr, slots, shares, target = matrix(parts[True])
-    row = np.repeat(np.arange(len(target)), np.diff(indptr))
+    fitted, held = matrix(parts[False]), matrix(parts[True])
+    del sample, parts, feature  # the same entries once more
+    weights, _ = fit_logistic(*fitted, WORD_SLOTS + CHAR_SLOTS)
+    indptr, slots, shares, target = held
     counts = label_counts(docs, labels, label_col)
     real = np.where(target == 1, counts[1], counts[0]) / (counts[0] + counts[1])
     mass = real / np.where(target == 1, target.mean(), 1 - target.mean())
-    slope, offset = calibrate(np.bincount(row, shares * weights[slots], len(target)), target, mass=mass)
+    slope, offset = calibrate(margins(indptr, slots, shares, weights), target, mass=mass)
     return Model(weights, slope, offset)
 
 

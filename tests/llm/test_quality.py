@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from functools import cache
 
@@ -172,3 +173,26 @@ def test_without_labels_or_rows(spark):
     empty = docs.where(F.lit(False))
     assert Q.assess(empty, Q.train(empty, labels)).count() == 0
     assert P.classify(empty, P.train(empty, labels)).count() == 0
+
+
+def test_fit_holds_one_piece_at_a_time():
+    draw = np.random.default_rng(3)
+    indptr = np.cumsum([0, 0, *draw.integers(0, 2_000, 600), 3 * Q.PIECE])
+    size, labels = 500, draw.integers(0, 2, len(indptr) - 1).astype(float)
+    slots, values = draw.integers(0, size, indptr[-1]).astype(np.int32), draw.random(indptr[-1]).astype(np.float32)
+    row = np.repeat(np.arange(len(labels)), np.diff(indptr))
+    weights = np.zeros(size)
+    error = 1.0 / (1.0 + np.exp(-np.bincount(row, values * weights[slots], len(labels)))) - labels
+    whole = np.bincount(slots, values * error[row], size) / len(labels)
+    small = slice(0, int(indptr[-2]))
+    tracemalloc.start()
+    fitted, _ = Q.fit_logistic(indptr[:-1], slots[small], values[small], labels[:-1], size, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * Q.PIECE  # all entries at once take 9 times a piece
+    assert fitted.any()
+    # The order of the sums is that of one pass over all entries, so results are the same to the bit.
+    got, _ = Q.fit_logistic(indptr, slots, values, labels, size, rounds=1)
+    assert (Q.margins(indptr, slots, values, got) == np.bincount(row, values * got[slots], len(labels))).all()
+    step = 0.5 * (0.1 * whole / (1 - 0.9)) / (np.sqrt(0.001 * whole**2 / (1 - 0.999)) + 1e-8)
+    assert (got == -step).all()
