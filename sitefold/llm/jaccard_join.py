@@ -331,12 +331,15 @@ def components(links: DataFrame) -> DataFrame:
 
     edges = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while not forest(edges):
-        edges = materialize(smaller(larger(edges).where("a != b")), "components")
+        # Written half by half: a plan that reads a step several times holds all of its joins as often.
+        moved = materialize(larger(edges).where("a != b"), "components-larger")
+        edges = materialize(smaller(moved), "components")
         # A node's edge to itself tells nothing: it is its own component or has another edge.
         edges = edges.where("a != b")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+    stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+    return materialize(stars, "components-found")
 
 
 def joined(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -614,9 +617,10 @@ def _linked(docs: DataFrame) -> DataFrame:
 
     # Members of different heads: only where the bounds leave it open.
     groups = joined(groups, compared.where(_is_link()).select("a", "b"))
-    undecided = (
+    undecided = materialize(
         compared.join(side("a"), "a").join(side("b"), "b").where(F.col("both") >= asked)
-        .select("a", "b", "both", "over_b", "least_b")
+        .select("a", "b", "both", "over_b", "least_b"),
+        "gram-undecided",
     )
     rows = (
         open_rows.drop("component")
@@ -625,7 +629,7 @@ def _linked(docs: DataFrame) -> DataFrame:
     )
     row = lambda s: rows.select(F.col("head").alias(s), "gram", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "pos", "over", "component")))
     total = F.col("n_a") + F.col("n_b")
-    open_pairs = (
+    met = (
         undecided.join(row("a"), "a")
         .where(F.col("both") + F.col("over_a") + F.col("over_b") >= _need(F.col("n_a") + F.col("least_b")))
         .drop("over_b")
@@ -640,6 +644,7 @@ def _linked(docs: DataFrame) -> DataFrame:
         .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), "n_a", "n_b")
         .distinct()
     )
+    open_pairs = materialize(met, "gram-open")
     likely = _shared_front(open_pairs, fronts, "a", "b", F.col("n_a"), F.col("n_b")).where(F.col("bound") >= _need(total))
     derived = materialize(_verified(likely.select("a", "b"), held).where(_is_link()).select("a", "b"), "gram-derived")
     reached = joined(groups, derived)

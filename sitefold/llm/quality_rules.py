@@ -8,12 +8,12 @@ in Arrow batches.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from sitefold.llm.common import MIX_1, WordHash, mix, utf8, windows
@@ -24,6 +24,8 @@ TRAIN_ROWS = 2_400
 WORD_SLOTS, CHAR_SLOTS = 1 << 12, 1 << 12
 #: Feature entries that the fit on the driver goes through at once.
 PIECE = 1 << 16
+#: Holds the number of any slot.
+SLOT = np.uint16
 #: A document is kept when its calibrated probability of good quality reaches this.
 KEEP_AT = 0.5
 #: Base rule: fewer words fail; more than this share of words in repeated 5-word windows fails.
@@ -145,6 +147,12 @@ def label_counts(docs: DataFrame, labels: DataFrame, label_col: str = "quality")
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, rows: int, feature: Column, label_col: str = "quality"
 ) -> list[tuple[int, int, object]]:
+    """The rows of ``labelled_rows`` as a list, in the order of their ids."""
+    found = labelled_rows(docs, labels, rows, feature, label_col)
+    return sorted(((r.doc_id, r.label, r.feature) for r in found.toLocalIterator()), key=lambda r: r[0])
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, rows: int, feature: Column, label_col: str = "quality") -> DataFrame:
     """(doc_id, label, feature) of at most ``rows`` labelled documents, half of each label.
 
     The ids are chosen by hash, so all labelled rows have the same chance; only the chosen texts
@@ -156,14 +164,36 @@ def labelled_sample(
     for label in (0, 1):
         part = clean.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
         chosen = part if chosen is None else chosen.unionAll(part)
-    found = (
+    return (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")  # ``rows`` rows at most
         .groupBy("doc_id", "label")
         .agg(F.min("text").alias("text"))  # one row of an id, however many share it
         .select("doc_id", "label", feature.alias("feature"))
     )
-    return sorted(((r.doc_id, r.label, r.feature) for r in found.toLocalIterator()), key=lambda r: r[0])
+
+
+class Entries:
+    """Feature entries of labelled rows, one after another in two buffers: an object for each row would
+    leave the driver's memory in pieces that it can't give back."""
+
+    def __init__(self, found: Iterable[Row]) -> None:
+        self.rows: list[tuple[int, object, int]] = []  # label, doc_id and place, which is that in ``ends`` too
+        self.ends, self._slots, self._shares = [0], bytearray(), bytearray()
+        for r in found:
+            self.rows.append((r.label, r.doc_id, len(self.rows)))
+            self._slots += np.frombuffer(r.feature.slots, np.int32).astype(SLOT).tobytes()
+            self._shares += r.feature.shares
+            self.ends.append(len(self._shares) // 4)
+        self.rows.sort()
+
+    def matrix(self, rows: list[tuple[int, object, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """indptr, slots, shares and labels of some of ``self.rows``."""
+        spans = [(self.ends[k], self.ends[k + 1]) for _, _, k in rows]
+        every = np.frombuffer(self._slots, SLOT), np.frombuffer(self._shares, np.float32)
+        slots, shares = (np.concatenate([part[low:high] for low, high in spans]) for part in every)
+        indptr = np.cumsum([0] + [high - low for low, high in spans])
+        return indptr, slots, shares, np.array([label for label, _, _ in rows], np.float64)
 
 
 def _pieces(indptr: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -234,21 +264,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows:
     The sample has as many rows of each label; for calibration they weigh as much as their label does
     among all usable labels.
     """
-    sample = labelled_sample(docs, labels, rows, sparse_features(F.col("text")), label_col)
-    if len({label for _, label, _ in sample}) < 2 or len(sample) < 6:
+    found = labelled_rows(docs, labels, rows, sparse_features(F.col("text")), label_col)
+    sample = Entries(found.toLocalIterator())
+    if len({label for label, _, _ in sample.rows}) < 2 or len(sample.rows) < 6:
         return Model(np.zeros(WORD_SLOTS + CHAR_SLOTS), 0.0, 35.0)
-    parts = {True: [], False: []}
-    for k, (_, label, feature) in enumerate(sorted(sample, key=lambda s: s[1])):
-        parts[k % 3 == 0].append((label, feature))
-
-    def matrix(part):
-        indptr = np.cumsum([0] + [len(f.slots) // 4 for _, f in part])
-        slots = np.concatenate([np.frombuffer(f.slots, np.int32) for _, f in part])
-        shares = np.concatenate([np.frombuffer(f.shares, np.float32) for _, f in part])
-        return indptr, slots, shares, np.array([label for label, _ in part], np.float64)
-
-    fitted, held = matrix(parts[False]), matrix(parts[True])
-    del sample, parts, feature  # the same entries once more
+    fitted = sample.matrix([r for k, r in enumerate(sample.rows) if k % 3])
+    held = sample.matrix(sample.rows[::3])
+    del sample  # the same entries once more
     weights, _ = fit_logistic(*fitted, WORD_SLOTS + CHAR_SLOTS)
     indptr, slots, shares, target = held
     counts = label_counts(docs, labels, label_col)

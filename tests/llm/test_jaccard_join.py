@@ -190,3 +190,12 @@ def test_heads_that_share_a_passage(spark):
             own[draw.randrange(70)] = f"e{draw.randrange(30)}"
         rows.append((k, " ".join([*own, *passage])))
     assert run(spark, rows) == brute(rows)
+
+
+def test_components_are_read_without_their_steps(spark):
+    """What is returned is a scan of written rows: plans that use it don't hold the rounds once more."""
+    links = spark.createDataFrame([(3, 2), (2, 1), (5, 4)], "a long, b long")
+    found = components(links)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan for step in ("Aggregate", "Union", "Join")), plan
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]

@@ -8,6 +8,7 @@ from functools import cache
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from sitefold.llm import preference_quality as P
@@ -196,3 +197,29 @@ def test_fit_holds_one_piece_at_a_time():
     assert (Q.margins(indptr, slots, values, got) == np.bincount(row, values * got[slots], len(labels))).all()
     step = 0.5 * (0.1 * whole / (1 - 0.9)) / (np.sqrt(0.001 * whole**2 / (1 - 0.999)) + 1e-8)
     assert (got == -step).all()
+
+
+def test_sample_is_held_without_an_object_for_each_feature():
+    """What stays of rows that come one by one is their entries, in order of label and id."""
+    def feature(k):
+        slots = np.arange(k % 7, k % 7 + 3000, dtype=np.int32) + Q.WORD_SLOTS + 1000
+        return Row(slots=slots.tobytes(), shares=np.full(3000, k, np.float32).tobytes())
+
+    def found():
+        for k in reversed(range(400)):
+            yield Row(doc_id=k, label=k % 2, feature=feature(k))
+
+    tracemalloc.start()
+    try:
+        sample = Q.Entries(found())
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert held < 400 * 3000 * 8  # as many bytes as the features themselves have
+    assert [(label, i) for label, i, _ in sample.rows] == sorted((k % 2, k) for k in range(400))
+    indptr, slots, shares, labels = sample.matrix(sample.rows[1::3])
+    ids = [i for _, i, _ in sample.rows[1::3]]
+    assert indptr.tolist() == [3000 * k for k in range(len(ids) + 1)]
+    assert labels.tolist() == [i % 2 for i in ids]
+    assert (shares == np.repeat(np.array(ids, np.float32), 3000)).all()
+    assert (slots == np.concatenate([np.frombuffer(feature(i).slots, np.int32) for i in ids])).all()
