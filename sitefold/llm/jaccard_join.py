@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitefold.llm.common import MIX_1, mix, utf8, windows
-from sitefold.session import materialize
+from sitefold.session import materialize, release
 
 #: Words of a gram, and the similarity (percent) at which sets link.
 WORDS, PERCENT = 5, 80
@@ -425,6 +425,8 @@ def _with_families(members: DataFrame, groups: DataFrame) -> DataFrame:
         F.min("component").alias("x"), F.max("component").alias("y"), F.collect_set("band").alias("bands"),
     ).where("x != y").select("head", "bands")
     mixed = materialize(placed.join(families, "head"), "gram-families")
+    if mixed.isEmpty():
+        return groups
 
     # Differences in the order of how many members have them; only those that several have can be shared.
     each = mixed.select("head", "sid", F.explode("apart").alias("gram"))
@@ -444,6 +446,7 @@ def _with_families(members: DataFrame, groups: DataFrame) -> DataFrame:
         .select("head", "gram", "sid", "component", "cost", "free", "band", "other", "left"),
         "gram-offers",
     )
+    release(members.sparkSession)
     told = lambda s: mixed.select(
         F.col("sid").alias(s), F.col("apart").alias(f"apart_{s}"), F.col("cost").alias(f"cost_{s}"), F.col("free").alias(f"free_{s}")
     )
@@ -469,6 +472,7 @@ def _with_families(members: DataFrame, groups: DataFrame) -> DataFrame:
         .select(F.col("sid").alias("a"), F.col("partner").alias("b"))
     )
     groups = joined(groups, materialize(linked(few), "gram-partners"))
+    release(members.sparkSession)
 
     # Then all pairs that are still in different components.
     moved = materialize(
@@ -543,6 +547,37 @@ def _head_pairs(lists: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _between(
+    undecided: DataFrame, open_rows: DataFrame, groups: DataFrame, fronts: DataFrame, held: DataFrame
+) -> DataFrame:
+    """Links (a, b) between sets of the ``undecided`` pairs of heads that are still in different components."""
+    rows = (
+        open_rows.drop("component")
+        .join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
+        .select("gram", "head", "sid", "n", "pos", "over", F.coalesce("component", "sid").alias("component"))
+    )
+    row = lambda s: rows.select(F.col("head").alias(s), "gram", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "pos", "over", "component")))
+    total = F.col("n_a") + F.col("n_b")
+    met = (
+        undecided.join(row("a"), "a")
+        .where(F.col("both") + F.col("over_a") + F.col("over_b") >= _need(F.col("n_a") + F.col("least_b")))
+        .drop("over_b")
+        .join(row("b"), ["b", "gram"])
+        .where(
+            (F.col("component_a") != F.col("component_b"))
+            & (F.col("both") + F.col("over_a") + F.col("over_b") >= _need(total))
+            & _sizes_fit(F.col("n_a"), F.col("n_b")) & _sizes_fit(F.col("n_b"), F.col("n_a"))
+            & (F.col("pos_a") + F.col("pos_b") <= total - 2 * _need(total))
+            & ((F.col("sid_a") != F.col("a")) | (F.col("sid_b") != F.col("b")))
+        )
+        .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), "n_a", "n_b")
+        .distinct()
+    )
+    open_pairs = materialize(met, "gram-open")
+    likely = _shared_front(open_pairs, fronts, "a", "b", F.col("n_a"), F.col("n_b")).where(F.col("bound") >= _need(total))
+    return materialize(_verified(likely.select("a", "b"), held).where(_is_link()).select("a", "b"), "gram-derived")
+
+
 def link_components(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text; other columns are not read): doc_id, n_shingles, component_id.
 
@@ -568,13 +603,17 @@ def _linked(docs: DataFrame) -> DataFrame:
     index = materialize(_prefixes(docs.select("text"), classes), "gram-prefixes")
     lists = index.groupBy("gram").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1").select("gram")
     index = materialize(index.join(lists, "gram"), "gram-index")
+    release(docs.sparkSession)
     needed = classes.join(index.select("sid").distinct(), "sid", "left_semi").select("sid", "doc_id")
     held = materialize(_sets_of(docs, needed), "gram-sets")
     fronts = materialize(index.groupBy("sid").agg(F.collect_list("gram").alias("front")), "gram-fronts")
+    release(docs.sparkSession)
 
     tried, members = _gather(index, held)
+    release(docs.sparkSession)
     groups = components(tried.where(_is_link()).select("a", "b"))
     groups = _with_families(members, groups)
+    release(docs.sparkSession)
     placed = materialize(
         index.join(members.select("sid", F.col("head").alias("to"), (F.col("n") - F.col("share")).alias("over")), "sid", "left")
         .join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
@@ -600,6 +639,7 @@ def _linked(docs: DataFrame) -> DataFrame:
         ),
         "gram-spans",
     )
+    release(docs.sparkSession)
     side = lambda s: spans.select(F.col("head").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("least", "over", "size")))
     asked = _need(F.col("least_a") + F.col("least_b")) - F.col("over_a") - F.col("over_b")
     # Heads whose prefixes share too little for any link of theirs or of their members are not compared.
@@ -614,6 +654,7 @@ def _linked(docs: DataFrame) -> DataFrame:
         tried.select(F.col("b").alias("a"), F.col("a").alias("b"), "both", F.col("nb").alias("na"), F.col("na").alias("nb"))
     ).join(pairs, ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
     compared = materialize(new.unionByName(known), "gram-compared")
+    release(docs.sparkSession)
 
     # Members of different heads: only where the bounds leave it open.
     groups = joined(groups, compared.where(_is_link()).select("a", "b"))
@@ -622,32 +663,8 @@ def _linked(docs: DataFrame) -> DataFrame:
         .select("a", "b", "both", "over_b", "least_b"),
         "gram-undecided",
     )
-    rows = (
-        open_rows.drop("component")
-        .join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left")
-        .select("gram", "head", "sid", "n", "pos", "over", F.coalesce("component", "sid").alias("component"))
-    )
-    row = lambda s: rows.select(F.col("head").alias(s), "gram", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "pos", "over", "component")))
-    total = F.col("n_a") + F.col("n_b")
-    met = (
-        undecided.join(row("a"), "a")
-        .where(F.col("both") + F.col("over_a") + F.col("over_b") >= _need(F.col("n_a") + F.col("least_b")))
-        .drop("over_b")
-        .join(row("b"), ["b", "gram"])
-        .where(
-            (F.col("component_a") != F.col("component_b"))
-            & (F.col("both") + F.col("over_a") + F.col("over_b") >= _need(total))
-            & _sizes_fit(F.col("n_a"), F.col("n_b")) & _sizes_fit(F.col("n_b"), F.col("n_a"))
-            & (F.col("pos_a") + F.col("pos_b") <= total - 2 * _need(total))
-            & ((F.col("sid_a") != F.col("a")) | (F.col("sid_b") != F.col("b")))
-        )
-        .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), "n_a", "n_b")
-        .distinct()
-    )
-    open_pairs = materialize(met, "gram-open")
-    likely = _shared_front(open_pairs, fronts, "a", "b", F.col("n_a"), F.col("n_b")).where(F.col("bound") >= _need(total))
-    derived = materialize(_verified(likely.select("a", "b"), held).where(_is_link()).select("a", "b"), "gram-derived")
-    reached = joined(groups, derived)
+    release(docs.sparkSession)
+    reached = groups if undecided.isEmpty() else joined(groups, _between(undecided, open_rows, groups, fronts, held))
 
     named = classes.join(reached.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", "doc_id", F.coalesce("component", "sid").alias("component")
@@ -668,6 +685,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     words all stay, but rows that repeat an id and its text are one document.
     """
     found = materialize(_linked(docs), "gram-components")
+    release(docs.sparkSession)
     again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     again = materialize(again, "gram-again")
     # An id of one row: the id alone decides.

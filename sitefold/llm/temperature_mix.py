@@ -45,10 +45,10 @@ def token_size(text: Column) -> Column:
 
 def _measures(totals: DataFrame, exponents: list[float]) -> list:
     """For each exponent: entropy of the weights over its largest value, and most repeats of a source
-    when the least repeated one is dealt out once. One row per exponent comes to the driver."""
+    when the least repeated one is dealt out once. One row per exponent comes to the driver, which sorts them."""
     tried = F.explode(F.array(*[F.lit(float(e)) for e in exponents])).alias("exponent")
     power = F.pow(F.col("tokens") / F.col("all_tokens"), F.col("exponent"))
-    return (
+    found = (
         totals.select("tokens", "all_tokens", tried)
         .withColumn("a", power)
         .withColumn("rate", F.col("a") / F.col("tokens"))
@@ -62,9 +62,9 @@ def _measures(totals: DataFrame, exponents: list[float]) -> list:
             F.when(F.col("n") > 1, (F.log("z") - F.col("s") / F.col("z")) / F.log("n")).otherwise(1.0).alias("entropy"),
             (F.col("fast") / F.col("slow")).alias("spread"),
         )
-        .orderBy("exponent")
         .collect()
     )
+    return sorted(found, key=lambda r: r.exponent)
 
 
 def _largest(totals: DataFrame, holds) -> float:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,3 +43,13 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     else:
         df.repartition(partition_by).write.partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffles and broadcasts that nothing refers to any more.
+
+    Its cleaner learns of them when the driver's JVM collects its garbage. Until then a job of many small
+    steps keeps them on the executors' disks, and the driver's heap grows by what the steps leave.
+    """
+    gc.collect()  # Python's proxies hold the JVM's objects
+    spark.sparkContext._jvm.System.gc()

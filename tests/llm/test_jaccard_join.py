@@ -2,11 +2,13 @@
 
 import random
 import re
+import time
 
 import pytest
 
 from sitefold.llm import jaccard_join
 from sitefold.llm.jaccard_join import components, keep_one, link_components, word_hashes
+from sitefold.session import materialize, release
 
 SCHEMA = "doc_id long, text string, sid long, n long, gram string"
 
@@ -199,3 +201,33 @@ def test_components_are_read_without_their_steps(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert not any(step in plan for step in ("Aggregate", "Union", "Join")), plan
     assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
+
+
+def test_shuffles_are_dropped_on_the_way(spark, monkeypatch):
+    """A join that has run many steps leaves the driver few of their shuffles."""
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    made, left = [], []
+
+    def written(df, label):
+        out = materialize(df, label)
+        made.append(label)
+        if label == "gram-undecided":
+            time.sleep(1)  # the cleaner works beside
+            left.append(tracker.shuffleStatuses().size())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", written)
+    release(spark)
+    time.sleep(1)
+    before = tracker.shuffleStatuses().size()
+    link_components(table(spark, corpus(1)))
+    assert left[0] - before < len(made), (before, left, len(made))
+
+
+def test_steps_without_rows_are_left_out(spark, monkeypatch):
+    """No families in several components and no heads left undecided: nothing is joined for them."""
+    written = []
+    monkeypatch.setattr(jaccard_join, "materialize", lambda df, label: (written.append(label), materialize(df, label))[1])
+    rows = [(k, " ".join(f"{k}-{w}" for w in range(20))) for k in range(4)] + [(9, " ".join(f"0-{w}" for w in range(20)) + " x")]
+    assert run(spark, rows) == brute(rows)
+    assert not {"gram-offers", "gram-inside", "gram-open", "gram-derived"} & set(written), written

@@ -97,3 +97,15 @@ def test_odd_rows(spark):
 def test_no_python_on_the_executors(spark):
     plan = M.mix(frame(spark, SIZES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_exponents_are_tried_without_a_sort(spark):
+    """Rows come back in the order of their exponents, and no job of the search sorts them on the executors."""
+    totals = spark.createDataFrame([(900, 1000.0), (100, 1000.0)], "tokens long, all_tokens double")
+    spark.sparkContext.setJobGroup("measures", "measures")
+    try:
+        found = M._measures(totals, [0.5, 0.0, 1.0, 0.25])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.exponent for r in found] == [0.0, 0.25, 0.5, 1.0]
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("measures")) <= 2
